@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 
 from lendmart.functions.scalars import metric_value  # noqa: E402
 from lendmart.operators import merge, metrics, quality  # noqa: E402
-from lendmart.operators.joins import hot_keys  # noqa: E402
 from lendmart.plans import datamart, dimfact, preparation  # noqa: E402
 from lendmart.schemas import GENRES, METRIC_LABELS, RENTS  # noqa: E402
 from lendmart.session import shared_folder  # noqa: E402
@@ -36,28 +35,31 @@ EVENT_DELAY_DAYS = 1
 
 
 # --- inputs ---------------------------------------------------------------------
-def _sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "users": rental_views.users(spark, sf_dir),
-        "books": rental_views.books(spark, sf_dir),
-        "rents": rental_views.rents(spark, sf_dir),
-    }
+_VIEWS = {"users": rental_views.users, "books": rental_views.books, "rents": rental_views.rents}
 
 
-def _dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    tables = _sources(spark, sf_dir)
-    tables["prep_users"] = preparation.prep_users(tables)
-    tables["prep_books"] = preparation.prep_books(tables)
-    tables["prep_rents"] = preparation.prep_rents(tables)
-    tables["dim_users"] = dimfact.dim_users(tables)
-    tables["dim_books"] = dimfact.dim_books(tables)
-    return tables
+def _sources(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    return {name: _VIEWS[name](spark, sf_dir) for name in names or _VIEWS}
+
+
+def _dim_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prep = preparation.prep_users(_sources(spark, sf_dir, "users"))
+    return dimfact.dim_users({"prep_users": prep})
+
+
+def _dim_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prep = preparation.prep_books(_sources(spark, sf_dir, "books"))
+    return dimfact.dim_books({"prep_books": prep})
 
 
 def _fact(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict]:
     """Dimensions and fact, with the frequent users and books found beforehand."""
-    tables = _dims(spark, sf_dir)
-    hot = hot_keys(tables["prep_rents"], "user_id", "book_id")
+    tables = {
+        "prep_rents": preparation.prep_rents(_sources(spark, sf_dir, "rents")),
+        "dim_users": _dim_users(spark, sf_dir),
+        "dim_books": _dim_books(spark, sf_dir),
+    }
+    hot = rental_views.hot_references(spark, sf_dir)
     tables["fact_rents"] = dimfact.fact_rents(tables, hot)
     return tables, hot
 
@@ -198,12 +200,12 @@ def q_insert_ignore(spark, sf_dir):
 
 
 def q_stock_decrement(spark, sf_dir):
-    tables = _sources(spark, sf_dir)
+    tables = _sources(spark, sf_dir, "books", "rents")
     return merge.apply_stock_decrement(tables["books"], tables["rents"])
 
 
 def q_available_books(spark, sf_dir):
-    tables = _sources(spark, sf_dir)
+    tables = _sources(spark, sf_dir, "books", "rents")
     out = tables["rents"].where(F.col("return_date").isNull())
     return merge.available_books(merge.apply_stock_decrement(tables["books"], out))
 
@@ -240,11 +242,11 @@ def q_table_profile(spark, sf_dir):
 
 def _loose_tables(spark, sf_dir):
     """Library tables before any check: repeated rent numbers, shared emails."""
-    tables = _sources(spark, sf_dir)
+    books = rental_views.books(spark, sf_dir)
     lines = rental_views.rent_lines(spark, sf_dir).select(
         "rent_id", F.lit(None).cast("long").alias("user_id"), F.col("l_partkey").alias("book_id")
     )
-    return {"users": _household_users(spark, sf_dir), "books": tables["books"], "rents": lines}
+    return {"users": _household_users(spark, sf_dir), "books": books, "rents": lines}
 
 
 def q_constraint_report(spark, sf_dir):
@@ -290,18 +292,18 @@ def q_stream_daily_counts(spark, sf_dir):
 def queries() -> dict[str, Query]:
     """One entry per query: ``(spark, sf_dir) -> DataFrame``."""
     return {
-        "prep_users": lambda s, d: preparation.prep_users(_sources(s, d)),
-        "prep_books": lambda s, d: preparation.prep_books(_sources(s, d)),
-        "prep_rents": lambda s, d: preparation.prep_rents(_sources(s, d)),
-        "dim_users": lambda s, d: _dims(s, d)["dim_users"],
-        "dim_books": lambda s, d: _dims(s, d)["dim_books"],
+        "prep_users": lambda s, d: preparation.prep_users(_sources(s, d, "users")),
+        "prep_books": lambda s, d: preparation.prep_books(_sources(s, d, "books")),
+        "prep_rents": lambda s, d: preparation.prep_rents(_sources(s, d, "rents")),
+        "dim_users": _dim_users,
+        "dim_books": _dim_books,
         "fact_rents": q_fact_rents,
         "dmart_user_book": q_user_book,
         "dmart_user_book_calendar": q_user_book_calendar,
         "dmart_gender_book": q_gender_book,
         "dmart_book_gender": q_book_gender,
         "dmart_booktype_stock": q_booktype_stock,
-        "stock_per_type": lambda s, d: datamart.stock_per_type(_dims(s, d)),
+        "stock_per_type": lambda s, d: datamart.stock_per_type({"dim_books": _dim_books(s, d)}),
         "daily_slice": q_daily_slice,
         "normalize_ts": q_normalize_ts,
         "staging_load": q_staging_load,

@@ -141,4 +141,6 @@ def cards(html: Column, block: str, cls: str | None, title: str, value: str) ->
     present = F.lit(True)
     for tag in dict.fromkeys((block, title, value)):
         present = present & F.contains(lowered, F.lit("<" + tag))
-    return parse(F.when(present, html))
+    # Declared non-deterministic only so that a filter on the result is not moved
+    # below it, which would parse every page a second time.
+    return parse.asNondeterministic()(F.when(present, html))

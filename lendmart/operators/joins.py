@@ -49,7 +49,10 @@ def hot_keys(df: DataFrame, *columns: str, share: float = SHARE) -> dict[str, Ho
     floor = row["rows"] * share
     return {
         c: Hot(
-            values=tuple(t["item"] for t in row[f"top_{c}"] or () if t["count"] > floor),
+            values=tuple(
+                t["item"] for t in row[f"top_{c}"] or ()
+                if t["item"] is not None and t["count"] > floor
+            ),
             nulls=row["rows"] - row[f"n_{c}"] > floor,
         )
         for c in columns

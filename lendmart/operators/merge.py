@@ -38,13 +38,14 @@ def new_rows(target: DataFrame, staging: DataFrame, key: str, ts: str = "created
     Rows with a NULL key match nothing and always count as new. Two differing
     staging rows with one new key are both new.
     """
-    batch = staging.where(F.col(ts).isNotNull()).distinct()
-    keyed = batch.where(F.col(key).isNotNull())
-    wanted = staging.where(F.col(ts).isNotNull() & F.col(key).isNotNull()).select(key).distinct()
+    batch = staging.where(F.col(ts).isNotNull())
+    wanted = batch.where(F.col(key).isNotNull()).select(key).distinct()
     known = target.select(key).join(wanted, key, "left_semi").distinct()
-    others = [c for c in staging.columns if c != key]
-    fresh = spread_join(keyed, known, key, "left_anti", others or [key], hot)
-    return fresh.select(staging.columns).unionByName(batch.where(F.col(key).isNull()))
+    others = [c for c in staging.columns if c != key] or [key]
+    fresh = spread_join(
+        batch.distinct(), known, key, "left_anti", others, hot._replace(nulls=True)
+    )
+    return fresh.select(staging.columns)
 
 
 def insert_only_merge(target: DataFrame, staging: DataFrame, key: str,

@@ -1,9 +1,7 @@
 """Writing: interchange CSV, staging, warehouse tables and the metrics table.
 
 Tables are Parquet tables of the session catalog, one database per layer, stored
-by day. Parquet tables are replaced by writing a new table and renaming it, so a
-job that dies half-way leaves the old content, and a table may be rebuilt from
-itself.
+by day. Nothing is deleted before its replacement is written.
 """
 
 from __future__ import annotations
@@ -64,24 +62,54 @@ def _write(df: DataFrame, table: str, mode: str, by: list[str]) -> None:
     df.write.format("parquet").mode(mode).partitionBy(*by).saveAsTable(table)
 
 
+def _overwrite_days(df: DataFrame, table: str) -> None:
+    """Replaces the days that occur in ``df``, at commit; it may read the table."""
+    conf = df.sparkSession.conf
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(name)
+    conf.set(name, "dynamic")
+    try:
+        df.write.insertInto(table, overwrite=True)
+    finally:
+        conf.set(name, before)
+
+
 def write_partitioned(df: DataFrame, table: str, ts: str | None = "created_at",
                       mode: str = "replace", day: str = DAY) -> None:
     """Stores a DataFrame by the day of ``ts`` (``None``: not by day).
 
-    ``replace`` writes aside and renames; ``append`` adds files.
+    ``append`` adds files. ``replace`` never deletes before the new rows are
+    written, so the DataFrame may read the table and a failed job leaves the old
+    content: days are overwritten one by one at commit, days without rows are
+    dropped after it, and a table not stored by day is written aside and renamed.
     """
+    spark = df.sparkSession
     df, by = _by_day(df, ts, day)
-    if mode == "append":
+    if mode == "append" or not table_exists(spark, table):
         _write(df, table, "append", by)
-        return
-    spark = df.sparkSession
-    _write(df, f"{table}__next", "overwrite", by)
-    _swap(spark, f"{table}__next", table)
+    elif by:
+        kept = Observation()
+        df = df.observe(kept, F.collect_set(F.coalesce(F.col(day).cast("string"), F.lit("")))
+                        .alias("days"))
+        _overwrite_days(df.select(spark.table(table).columns), table)
+        present = {d and date.fromisoformat(d) or None for d in kept.get["days"]}
+        _drop_days(spark, table, day, stored_days(spark, table) - present)
+    else:
+        _write(df, f"{table}__next", "overwrite", by)
+        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"ALTER TABLE {table}__next RENAME TO {table}")
+
 
+def stored_days(spark: SparkSession, table: str) -> set[date | None]:
+    """The days a table has a folder for, from the catalog; ``None``: no day."""
+    values = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    return {date.fromisoformat(v) if v[:1].isdigit() else None for v in values}
 
-def _swap(spark: SparkSession, new: str, table: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+
+def _drop_days(spark: SparkSession, table: str, day: str, days: set) -> None:
+    for value in days:
+        spec = f"DATE'{value}'" if value else "NULL"
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({day}={spec})")
 
 
 def stored(spark: SparkSession, table: str, day: str = DAY) -> DataFrame:
@@ -93,11 +121,10 @@ def stored(spark: SparkSession, table: str, day: str = DAY) -> DataFrame:
 def stored_watermark(spark: SparkSession, table: str, ts: str = "created_at",
                      day: str = DAY) -> datetime | None:
     """Newest ``ts`` of a table stored by day; only its last day is read."""
-    days = [row[0].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-    days = [d for d in days if d[:1].isdigit()]
+    days = stored_days(spark, table) - {None}
     if not days:
         return None
-    last = spark.table(table).where(F.col(day) == F.lit(date.fromisoformat(max(days))))
+    last = spark.table(table).where(F.col(day) == F.lit(max(days)))
     return last.agg(F.max(ts)).first()[0]
 
 
@@ -140,7 +167,7 @@ def load_staging(spark: SparkSession, path: str, schema: T.StructType, table: st
     """Replaces a staging table by a CSV folder, allowing ``max_bad`` rejected rows.
 
     The file is parsed once: the rejected rows are counted while the others are
-    written aside, and the table is only swapped in if they are few enough.
+    written aside, and they reach the table only if the rejected are few enough.
     A missing path raises ``FileNotFoundError``.
     """
     try:
@@ -151,31 +178,41 @@ def load_staging(spark: SparkSession, path: str, schema: T.StructType, table: st
         raise
     seen = Observation()
     counted = parsed.observe(seen, F.count_if("_bad").alias("bad"))
-    good, by = _by_day(counted.where(~F.col("_bad")).drop("_bad"), ts, DAY)
-    _write(good, f"{table}__next", "overwrite", by)
+    aside = f"{table}__parsed"
+    write_partitioned(counted.where(~F.col("_bad")).drop("_bad"), aside, None)
     rejected = seen.get["bad"]
     if rejected > max_bad:
         # Work repeated after a lost executor is observed twice, so count again.
         rejected = parsed.agg(F.count_if("_bad")).first()[0]
+    if rejected <= max_bad:
+        write_partitioned(spark.table(aside), table, ts)
+    spark.sql(f"DROP TABLE {aside}")
     if rejected > max_bad:
-        spark.sql(f"DROP TABLE {table}__next")
         raise TooManyBadRows(f"{rejected} rejected rows in {path}, {max_bad} allowed")
-    _swap(spark, f"{table}__next", table)
     return stored(spark, table)
 
 
 # --- merges into stored tables -----------------------------------------------------------
 def append_new_rows(staging: DataFrame, table: str, key: str, ts: str = "created_at",
                     hot: Hot = Hot()) -> None:
-    """Insert-only merge into a stored table: appends the new rows, rewrites nothing."""
+    """Insert-only merge into a stored table: appends the new rows, rewrites nothing.
+
+    Only target rows between the smallest and largest staged key can match. Keys
+    mostly grow with time, so file statistics rule out all but the newest files.
+    """
     spark = staging.sparkSession
-    if not table_exists(spark, table):
-        ensure_table(spark, table, staging.schema, ts)
-    target = stored(spark, table)
+    ensure_table(spark, table, staging.schema, ts)
+    target = _within(stored(spark, table), staging, key)
     fresh = new_rows(target, staging, key, ts, hot).select(target.columns)
     write_partitioned(fresh, table, ts, mode="append")
 
 
+def _within(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """Target rows whose key lies in the key range of the batch."""
+    low, high = batch.agg(F.min(key), F.max(key)).first()
+    return target.where(F.col(key).between(low, high)) if low is not None else target.limit(0)
+
+
 def upsert_table(delta: DataFrame, table: str, keys: list[str], ts: str | None = "created_at",
                  null_safe: bool = False, day: str = DAY) -> None:
     """Upserts into a stored table, rewriting only the days it touches.
@@ -197,19 +234,20 @@ def upsert_table(delta: DataFrame, table: str, keys: list[str], ts: str | None =
     delta = delta.select(target.columns)
     arriving = _days(delta, day)
     # A replaced row may lie on another day than its replacement.
-    touched = arriving if day in keys else arriving | _days(
-        matched(target.select(*keys, day), delta, keys, null_safe), day
-    )
+    touched = arriving
+    if day not in keys:
+        within = target if null_safe else _within(target, delta, keys[0])
+        touched = arriving | _days(
+            matched(within.select(*keys, day), delta, keys, null_safe), day
+        )
     if not touched:
         return
     kept = unmatched(target.where(_on(day, touched)), delta, keys, null_safe)
     gone = touched - arriving
     gone -= _days(kept.where(_on(day, gone)), day) if gone else set()
     content, _ = _by_day(kept.unionByName(delta), day, day)
-    content.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
-    for value in gone:
-        where = f"{day}=DATE'{value}'" if value else f"{day}=NULL"
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({where})")
+    _overwrite_days(content, table)
+    _drop_days(spark, table, day, gone)
 
 
 def _days(df: DataFrame, day: str) -> set:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..operators.joins import Hot, hot_keys
 from ..schemas import METRIC_LABELS
 from .readers import read_pages
 
@@ -111,6 +112,21 @@ def rents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hot_references(spark: SparkSession, sf_dir: str) -> dict[str, Hot]:
+    """Users and books that very many rentals may name, from two key columns.
+
+    Order and line counts stand in for rental counts; a wrong guess costs time,
+    never rows. A frequent number may also occur as a negative reference.
+    """
+    owners = hot_keys(table(spark, sf_dir, "orders"), "o_custkey")["o_custkey"]
+    parts = hot_keys(table(spark, sf_dir, "lineitem"), "l_partkey")["l_partkey"]
+
+    def both(hot: Hot) -> Hot:
+        return hot._replace(values=hot.values + tuple(-1 - v for v in hot.values))
+
+    return {"user_id": both(owners), "book_id": both(parts)}
+
+
 def card_pages(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """The stored pages, each with a block of metric cards ahead of its markup.
 
