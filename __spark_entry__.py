@@ -211,24 +211,24 @@ def q_available_books(spark, sf_dir):
 
 
 def q_page_titles(spark, sf_dir):
-    pages = readers.read_pages(spark, f"{sf_dir}/pages.parquet", _spread(spark))
+    pages = readers.read_pages(spark, f"{sf_dir}/pages.parquet", _tasks(spark))
     return metrics.extract_labeled(pages, "html", None, "title", "h1")
 
 
 def q_metric_values(spark, sf_dir):
-    pages = rental_views.card_pages(spark, sf_dir, _spread(spark))
+    pages = rental_views.card_pages(spark, sf_dir, _tasks(spark))
     return metrics.extract_labeled(pages).select(
         "page_id", "ordinal", "label", metric_value("value").alias("value")
     )
 
 
 def q_metric_snapshot(spark, sf_dir):
-    pages = rental_views.card_pages(spark, sf_dir, _spread(spark))
+    pages = rental_views.card_pages(spark, sf_dir, _tasks(spark))
     return metrics.metric_snapshot(metrics.with_cards(pages))
 
 
-def _spread(spark):
-    """Tasks for the parsing step, which a small file would leave to one task."""
+def _tasks(spark):
+    """Least number of tasks for the parsing step; a small file would make one."""
     return spark.sparkContext.defaultParallelism
 
 

@@ -13,8 +13,9 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Number of tasks a hot key is spread over.
-SALTS = 256
+# Pieces a hot key is cut into, per shuffle partition. Several small pieces per
+# partition even out better than one.
+PIECES = 4
 # A key is hot from this part of all rows on; fewer than 1/SHARE keys can be.
 SHARE = 0.01
 # Entries of the sketch; its error is a few rows in this many.
@@ -60,18 +61,21 @@ def hot_keys(df: DataFrame, *columns: str, share: float = SHARE) -> dict[str, Ho
 
 
 def spread_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str,
-                spread_by: Iterable[str], hot: Hot = Hot(), salts: int = SALTS) -> DataFrame:
+                spread_by: Iterable[str], hot: Hot = Hot(), salts: int | None = None) -> DataFrame:
     """``left.join(right, on, how)`` for how in left, left_semi, left_anti, inner.
 
     ``spread_by`` are left columns that differ between rows of one key. The salt
     is their hash, not a random number: a task that is run again after a lost
     executor must produce the same rows. Without hot keys this is a plain join,
     left to adaptive execution. With a composite key, ``hot.values`` are hashes
-    ``xxhash64(*on)``.
+    ``xxhash64(*on)``. At most ``1/SHARE`` keys are hot, so the repeated right-hand
+    rows stay few: normally one per hot key and salt.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if not hot:
         return left.join(right, keys, how)
+    if salts is None:
+        salts = PIECES * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     is_null = F.lit(False)
     for key in keys:
         is_null = is_null | F.col(key).isNull()

@@ -107,25 +107,40 @@ def dmart_gender_book(inputs: Inputs, hot: Hot = Hot()) -> DataFrame:
     )
 
 
-def dmart_book_gender(inputs: Inputs, hot: Hot = Hot()) -> DataFrame:
+def gender_shares(counts: DataFrame) -> DataFrame:
     """Share of each gender in the rentals of a book type and genre, in percent.
 
-    Groups without a type or genre are left out. The total is a window sum over
-    the handful of genders of a group, so the rentals are counted once.
+    ``counts`` holds gender, book_type, genre and total_rentals. Groups without a
+    type or genre are left out. The total is a window sum over the handful of
+    genders of a group, so the rentals are counted once.
     """
-    counts = _rentals_by_gender(inputs, [], hot).where(
-        F.col("book_type").isNotNull() & F.col("genre").isNotNull()
-    )
     group = Window.partitionBy("book_type", "genre")
     total = F.sum("total_rentals").over(group)
     share = F.col("total_rentals_gender").cast("double") * 100.0 / F.nullif(
         F.col("total_rentals_all"), F.lit(0)
     ).cast("double")
-    return counts.select(
-        "book_type", "genre", "gender",
-        F.col("total_rentals").alias("total_rentals_gender"),
-        total.alias("total_rentals_all"),
-    ).withColumn("percentage_per_gender", F.round(share, 2))
+    return (
+        counts.where(F.col("book_type").isNotNull() & F.col("genre").isNotNull())
+        .select(
+            "book_type", "genre", "gender",
+            F.col("total_rentals").alias("total_rentals_gender"),
+            total.alias("total_rentals_all"),
+        )
+        .withColumn("percentage_per_gender", F.round(share, 2))
+    )
+
+
+def dmart_book_gender(inputs: Inputs, hot: Hot = Hot()) -> DataFrame:
+    """Shares per gender over all days."""
+    return gender_shares(_rentals_by_gender(inputs, [], hot))
+
+
+def book_gender_from_days(gender_book: DataFrame) -> DataFrame:
+    """The same from the stored counts per day, without touching the fact again."""
+    keys = ["gender", "book_type", "genre"]
+    return gender_shares(
+        gender_book.groupBy(*keys).agg(F.sum("total_rentals").alias("total_rentals"))
+    )
 
 
 def stock_per_type(inputs: Inputs) -> DataFrame:

@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.joins import hot_keys
 from ..operators.merge import assert_unique, rows_after
 from ..operators.metrics import metric_snapshot, with_cards
 from ..schemas import KEYS, LAYERS, METRIC_LABELS, TABLES, layer_name
 from ..sources.landing import (
-    append_metrics, append_new_rows, ensure_layer, ensure_table, load_staging, stored,
+    append_metrics, append_new_rows, ensure_layer, load_staging, on_days, stored, stored_days,
     stored_watermark, table_exists, upsert_table, write_csv, write_partitioned,
 )
 from ..sources.readers import daily_slice, normalize_ts
@@ -20,25 +20,25 @@ from . import datamart, dimfact, preparation
 
 Extract = Callable[[str], DataFrame]
 
-# Mart -> its model, merge key, and the column it is stored by (None: not by day).
+# Mart -> its merge key and the column it is stored by (None: not by day).
 MARTS = {
-    "dmart_user_book": (
-        datamart.dmart_user_book, ["user_id", "created_at_date"], "created_at_date"),
+    "dmart_user_book": (["user_id", "created_at_date"], "created_at_date"),
     "dmart_gender_book": (
-        datamart.dmart_gender_book, ["gender", "book_type", "genre", "created_at_date"],
-        "created_at_date"),
-    "dmart_book_gender": (datamart.dmart_book_gender, ["gender", "book_type", "genre"], None),
-    "dmart_booktype_stock": (datamart.dmart_booktype_stock, ["book_type"], None),
+        ["gender", "book_type", "genre", "created_at_date"], "created_at_date"),
+    "dmart_book_gender": (["gender", "book_type", "genre"], None),
+    "dmart_booktype_stock": (["book_type"], None),
 }
 
 
 def daily_load(spark: SparkSession, extract: Extract, day: date | str, landing: str,
-               layers: dict = LAYERS, on_empty: str = "error", exact: bool = False) -> list[str]:
+               layers: dict = LAYERS, on_empty: str = "error", exact: bool = False,
+               through_csv: bool = True) -> list[str]:
     """One day of each source table: slice, CSV, staging, insert-only merge.
 
     ``extract(name)`` returns a source table, ``landing`` is a shared folder for
-    the CSV files. Returns the tables that had rows; an empty slice raises, or is
-    passed over with ``on_empty="skip"``.
+    the CSV files. ``through_csv=False`` stages the slice directly; times are cut
+    to seconds either way. Returns the tables that had rows; an empty slice
+    raises, or is passed over with ``on_empty="skip"``.
     """
     database = ensure_layer(spark, layer_name("warehouse", layers))
     loaded = []
@@ -46,23 +46,34 @@ def daily_load(spark: SparkSession, extract: Extract, day: date | str, landing:
         batch = daily_slice(extract(name), day, exact=exact, on_empty=on_empty)
         if on_empty == "skip" and batch.isEmpty():
             continue
-        path = f"{landing}/{name}/{day}"
-        write_csv(normalize_ts(batch.select(schema.names)), path)
-        staging = load_staging(spark, path, schema, f"{database}.{name}_staging")
-        ensure_table(spark, f"{database}.{name}", schema)
+        batch, staged = normalize_ts(batch.select(schema.names)), f"{database}.{name}_staging"
+        if through_csv:
+            path = f"{landing}/{name}/{day}"
+            write_csv(batch, path)
+            staging = load_staging(spark, path, schema, staged)
+        else:
+            typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+            write_partitioned(batch.select(typed), staged)
+            staging = stored(spark, staged)
         append_new_rows(staging, f"{database}.{name}", KEYS[name])
         loaded.append(name)
     return loaded
 
 
 def run_layers(spark: SparkSession, sources: dict[str, DataFrame] | None = None,
-               layers: dict = LAYERS, rebuild: bool = False, strict: bool = False) -> None:
+               layers: dict = LAYERS, rebuild: bool = False, strict: bool = False,
+               recent_marts: bool = False) -> None:
     """Preparation, then dimensions and fact, then marts.
 
     ``sources`` default to the warehouse tables. The first six models take only
     rows newer than what they hold; marts are computed anew and upserted, with
     NULL as a key value. ``rebuild`` replaces everything instead. ``strict``
     loads nothing into a table that exists but is empty.
+
+    ``recent_marts`` computes the marts per day only for the days that got new
+    rentals, and the shares from the stored counts. It gives the same tables as
+    long as a dimension key never gets a second row, which insert-only loads
+    ensure, and makes a daily run cost one day instead of the whole history.
     """
     names = {layer: layer_name(layer, layers) for layer in layers}
     for database in names.values():
@@ -70,33 +81,48 @@ def run_layers(spark: SparkSession, sources: dict[str, DataFrame] | None = None,
     if sources is None:
         sources = {name: spark.table(f"{names['warehouse']}.{name}") for name in TABLES}
 
-    prep, fact_layer = names["preparation"], names["dimfact"]
+    prep, dimfact_db = names["preparation"], names["dimfact"]
     for name, model in (("users", preparation.prep_users), ("books", preparation.prep_books),
                         ("rents", preparation.prep_rents)):
         table = f"{prep}.prep_{name}"
-        delta = model({name: _newer(spark, sources[name], table, rebuild, strict)
-                       .select(TABLES[name].names)})
+        source = _newer(spark, sources[name], table, rebuild, strict)
+        delta = model({name: source.select(TABLES[name].names)})
         _publish(delta, table, [KEYS[name]], "created_at", rebuild, null_safe=False)
 
     for name, model in (("users", dimfact.dim_users), ("books", dimfact.dim_books)):
-        table = f"{fact_layer}.dim_{name}"
+        table = f"{dimfact_db}.dim_{name}"
         source = _newer(spark, spark.table(f"{prep}.prep_{name}"), table, rebuild, strict)
         delta = model({f"prep_{name}": source.drop("created_date")})
         _publish(delta, table, [KEYS[name]], "created_at", rebuild, null_safe=False)
 
-    dims = {name: stored(spark, f"{fact_layer}.{name}") for name in ("dim_users", "dim_books")}
-    table = f"{fact_layer}.fact_rents"
+    dims = {name: stored(spark, f"{dimfact_db}.{name}") for name in ("dim_users", "dim_books")}
+    table = f"{dimfact_db}.fact_rents"
     rents = _newer(spark, spark.table(f"{prep}.prep_rents"), table, rebuild, strict)
-    hot = hot_keys(rents, "user_id", "book_id")
-    delta = dimfact.fact_rents({"prep_rents": rents, **dims}, hot)
-    _publish(delta, table, ["rent_id"], "created_at", rebuild, null_safe=False)
-
-    inputs = {"fact_rents": stored(spark, table), **dims}
-    hot = hot_keys(inputs["fact_rents"], "user_id")
-    for name, (model, keys, by) in MARTS.items():
-        wants_hot = model in (datamart.dmart_gender_book, datamart.dmart_book_gender)
-        content = model(inputs, hot["user_id"]) if wants_hot else model(inputs)
-        _publish(content, f"{names['datamart']}.{name}", keys, by, rebuild, null_safe=True)
+    delta = dimfact.fact_rents({"prep_rents": rents, **dims}, hot_keys(rents, "user_id", "book_id"))
+    days = _publish(delta, table, ["rent_id"], "created_at", rebuild, null_safe=False)
+    _run_marts(spark, spark.table(table), dims, names["datamart"], rebuild,
+               days if recent_marts else None)
+
+
+def _run_marts(spark: SparkSession, fact: DataFrame, dims: dict[str, DataFrame], database: str,
+               rebuild: bool, days: set | None) -> None:
+    def publish(name: str, content: DataFrame) -> None:
+        keys, by = MARTS[name]
+        _publish(content, f"{database}.{name}", keys, by, rebuild, null_safe=True)
+
+    recent = fact if days is None else fact.where(on_days("created_date", days))
+    hot = hot_keys(recent, "user_id")["user_id"]
+    if days is None or days or not table_exists(spark, f"{database}.dmart_gender_book"):
+        inputs = {"fact_rents": recent, **dims}
+        publish("dmart_user_book", datamart.dmart_user_book(inputs))
+        publish("dmart_gender_book", datamart.dmart_gender_book(inputs, hot))
+    inputs = {"fact_rents": fact, **dims}
+    if days is None:
+        publish("dmart_book_gender", datamart.dmart_book_gender(inputs, hot))
+    else:
+        counts = spark.table(f"{database}.dmart_gender_book")
+        publish("dmart_book_gender", datamart.book_gender_from_days(counts))
+    publish("dmart_booktype_stock", datamart.dmart_booktype_stock(inputs))
 
 
 def _newer(spark: SparkSession, source: DataFrame, table: str, rebuild: bool,
@@ -110,19 +136,24 @@ def _newer(spark: SparkSession, source: DataFrame, table: str, rebuild: bool,
 
 
 def _publish(delta: DataFrame, table: str, keys: list[str], ts: str | None, rebuild: bool,
-             null_safe: bool) -> None:
-    """Writes a model's result. A delta is stored first, so it is computed once."""
+             null_safe: bool) -> set:
+    """Writes a model's result and tells the days it reached.
+
+    A delta for a table that holds rows is stored first, so it is computed once.
+    """
     spark = delta.sparkSession
     day = ts if ts == "created_at_date" else "created_date"
     if rebuild or not table_exists(spark, table):
         write_partitioned(delta, table, ts, day=day)
-        return
+        return stored_days(spark, table) if ts else set()
     aside = f"{table}__delta"
     write_partitioned(delta, aside, None)
     batch = spark.table(aside)
+    days = set()
     if not batch.isEmpty():
-        upsert_table(assert_unique(batch, keys, null_safe), table, keys, ts, null_safe, day)
+        days = upsert_table(assert_unique(batch, keys, null_safe), table, keys, ts, null_safe, day)
     spark.sql(f"DROP TABLE {aside}")
+    return days
 
 
 def metric_feed(pages: DataFrame, table: str) -> bool:

@@ -214,22 +214,18 @@ def _within(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
 
 
 def upsert_table(delta: DataFrame, table: str, keys: list[str], ts: str | None = "created_at",
-                 null_safe: bool = False, day: str = DAY) -> None:
-    """Upserts into a stored table, rewriting only the days it touches.
+                 null_safe: bool = False, day: str = DAY) -> set:
+    """Upserts into a stored table, rewriting only the days it touches, which it returns.
 
     ``ts=None`` is for small tables not stored by day, which are replaced. The
     delta must be cheap to read again, such as a stored table.
     """
     spark = delta.sparkSession
-    if not table_exists(spark, table):
-        write_partitioned(delta, table, ts, day=day)
-        return
+    target = spark.table(table)
     if ts is None:
-        target = spark.table(table)
         kept = unmatched(target, delta, keys, null_safe)
         write_partitioned(kept.unionByName(delta.select(target.columns)), table, None)
-        return
-    target = spark.table(table)
+        return set()
     delta = delta if ts == day else delta.withColumn(day, F.to_date(ts))
     delta = delta.select(target.columns)
     arriving = _days(delta, day)
@@ -241,13 +237,14 @@ def upsert_table(delta: DataFrame, table: str, keys: list[str], ts: str | None =
             matched(within.select(*keys, day), delta, keys, null_safe), day
         )
     if not touched:
-        return
-    kept = unmatched(target.where(_on(day, touched)), delta, keys, null_safe)
+        return touched
+    kept = unmatched(target.where(on_days(day, touched)), delta, keys, null_safe)
     gone = touched - arriving
-    gone -= _days(kept.where(_on(day, gone)), day) if gone else set()
+    gone -= _days(kept.where(on_days(day, gone)), day) if gone else set()
     content, _ = _by_day(kept.unionByName(delta), day, day)
     _overwrite_days(content, table)
     _drop_days(spark, table, day, gone)
+    return touched
 
 
 def _days(df: DataFrame, day: str) -> set:
@@ -255,7 +252,8 @@ def _days(df: DataFrame, day: str) -> set:
     return {row[0] for row in df.select(day).distinct().collect()}
 
 
-def _on(day: str, days: set) -> Column:
+def on_days(day: str, days: set) -> Column:
+    """Condition on a storage day, with ``None`` for rows without one."""
     known = [d for d in days if d is not None]
     chosen = F.col(day).isin(known) if known else F.lit(False)
     return chosen | F.col(day).isNull() if None in days else chosen

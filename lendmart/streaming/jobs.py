@@ -17,7 +17,12 @@ def stream_insert_only(src: DataFrame, table: str, key: str, checkpoint: str,
     """
 
     def merge(batch: DataFrame, _: int) -> None:
-        append_new_rows(batch, table, key, ts)
+        # Read for its key range, its keys and its rows; fetched from the source once.
+        batch.persist()
+        try:
+            append_new_rows(batch, table, key, ts)
+        finally:
+            batch.unpersist()
 
     return (
         src.writeStream.foreachBatch(merge)

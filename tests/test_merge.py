@@ -148,13 +148,14 @@ def test_hot_rows_are_spread_over_tasks(spark):
             return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
 
         plain = largest(left.join(right, "k", "left"))
-        spread = largest(spread_join(left, right, "k", "left", ["id"], hot_keys(left, "k")["k"]))
+        hot = hot_keys(left, "k")["k"]
+        spread = largest(spread_join(left, right, "k", "left", ["id"], hot))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert plain > 10_000
-    assert spread < 2_000
+    assert spread < 3_000
 
 
 # --- stored tables --------------------------------------------------------------------------
@@ -173,7 +174,8 @@ def test_upsert_moves_rows_between_days(spark, database):
     # 1 moves away from a day it had alone, 2 from a day shared with 3, 4 from no day.
     delta = f"{database}.d"
     frame(spark, [(1, "A", T2), (2, "B", T2), (4, "D", T2), (5, "E", T2)]).write.saveAsTable(delta)
-    landing.upsert_table(spark.table(delta), table, ["k"])
+    touched = landing.upsert_table(spark.table(delta), table, ["k"])
+    assert touched == {T0.date(), T1.date(), T2.date(), None}
     assert rows(landing.stored(spark, table)) == [
         (1, "A", T2), (2, "B", T2), (3, "c", T1), (4, "D", T2), (5, "E", T2)]
     days = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
