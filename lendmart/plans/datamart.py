@@ -172,3 +172,18 @@ def dmart_booktype_stock(inputs: Inputs) -> DataFrame:
         "sisa_stock",
         _or_zero(F.col("stock_book_per_type")) - F.col("total_rent_per_type"),
     )
+
+
+# The order each mart is shown in. Stored tables have none.
+SHOWN_BY = {
+    "dmart_user_book": {"sum_of_book": False},
+    "dmart_gender_book": {"gender": True, "total_rentals": False},
+    "dmart_book_gender": {"book_type": True, "genre": True, "total_rentals_gender": False},
+    "dmart_booktype_stock": {"book_type": True},
+}
+
+
+def shown(name: str, mart: DataFrame) -> DataFrame:
+    """A mart in its presentation order."""
+    order = SHOWN_BY[name]
+    return mart.orderBy(*order, ascending=list(order.values()))

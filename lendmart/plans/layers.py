@@ -125,6 +125,31 @@ def _run_marts(spark: SparkSession, fact: DataFrame, dims: dict[str, DataFrame],
     publish("dmart_booktype_stock", datamart.dmart_booktype_stock(inputs))
 
 
+def backfill_fact(spark: SparkSession, layers: dict = LAYERS) -> set:
+    """Fills in users and books that reached the dimensions after their rentals.
+
+    The regular run never looks at a rental again, so this is a job of its own.
+    Only rentals with a gap are joined anew, and only their days are read from
+    the preparation layer. Returns the days that changed.
+    """
+    prep, database = layer_name("preparation", layers), layer_name("dimfact", layers)
+    table = f"{database}.fact_rents"
+    gap = F.col("user_id").isNull() | F.col("book_id").isNull()
+    gaps = spark.table(table).where(gap).select("rent_id", "user_id", "book_id", "created_date")
+    days = {row[0] for row in gaps.select("created_date").distinct().collect()}
+    rents = spark.table(f"{prep}.prep_rents").where(on_days("created_date", days))
+    rents = rents.join(gaps.select("rent_id"), "rent_id", "left_semi")
+    dims = {name: stored(spark, f"{database}.{name}") for name in ("dim_users", "dim_books")}
+    again = dimfact.fact_rents({"prep_rents": rents, **dims}, hot_keys(rents, "user_id", "book_id"))
+    known = gaps.select(
+        "rent_id", F.col("user_id").alias("_user"), F.col("book_id").alias("_book")
+    )
+    filled = again.join(known, "rent_id").where(
+        ~F.col("user_id").eqNullSafe(F.col("_user")) | ~F.col("book_id").eqNullSafe(F.col("_book"))
+    )
+    return _publish(filled.select(again.columns), table, ["rent_id"], "created_at", False, False)
+
+
 def _newer(spark: SparkSession, source: DataFrame, table: str, rebuild: bool,
            strict: bool) -> DataFrame:
     if rebuild or not table_exists(spark, table):

@@ -33,8 +33,14 @@ def _joined_on(start: str, key: str) -> Column:
     )
 
 
-def users(spark: SparkSession, sf_dir: str) -> DataFrame:
+def users(spark: SparkSession, sf_dir: str, shared_email: bool = False) -> DataFrame:
+    """Users; with ``shared_email`` those of one segment, nation and wealth have one email."""
     handle = F.lower(F.replace("c_name", F.lit("#"), F.lit(".")))
+    if shared_email:
+        handle = F.concat_ws(
+            ".", F.lower("c_mktsegment"), F.col("c_nationkey").cast("string"),
+            F.floor(F.col("c_acctbal") / 1000).cast("string"),
+        )
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("user_id"),
         F.col("c_name").alias("name"),

@@ -16,7 +16,7 @@ from lendmart.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     root = tmp_path_factory.mktemp("spark")
     session = build_session(
-        "local[4]", "lendmart-tests",
+        "local[8]", "lendmart-tests",
         spark__sql__shuffle__partitions="4",
         spark__sql__warehouse__dir=str(root / "warehouse"),
         spark__checkpoint__dir=str(root / "shared"),

@@ -206,6 +206,13 @@ def test_totals_agree_between_marts(spark):
     assert all(abs(r[2] - 100) < 0.05 for r in shares.collect())
 
 
+def test_presentation_order(spark):
+    df = spark.createDataFrame(
+        [("Male", 1), (None, 2), ("Female", 3), ("Female", 9)], "gender string, total_rentals long")
+    shown = datamart.shown("dmart_gender_book", df).collect()
+    assert [tuple(r) for r in shown] == [(None, 2), ("Female", 9), ("Female", 3), ("Male", 1)]
+
+
 def test_constraint_report(spark):
     users = spark.createDataFrame(
         [(1, "n", "a@x", "st", "Male"), (1, None, "a@x", "st", "Unspecified"),
