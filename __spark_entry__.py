@@ -410,27 +410,34 @@ _HOUSEHOLDS = f"""{_USERS}, households AS (
   FROM users u JOIN customer ON c_custkey = u.user_id)"""
 
 # Cards of the synthetic pages: number k shows (page_id * (k + 1)) % 97 in one of
-# three notations.
-_CARDS = f"""labels(k, label) AS (VALUES {", ".join(f"({k}, '{label}')" for k, label in
-                                                   enumerate(METRIC_LABELS))}),
-figures AS (
-  SELECT page_id, k, label,
-         CASE k % 3 WHEN 0 THEN base * 1000 + 500 WHEN 1 THEN base * 1000000 ELSE base END AS value
-  FROM (SELECT page_id, k, label, (page_id * (k + 1)) % 97 AS base FROM pages, labels)
-  WHERE NOT (k = 9 AND page_id % 9 = 0))"""
+# three notations. Every page row stands for itself, also if a page is stored twice.
+def _figure(k: int) -> str:
+    base = f"(page_id * {k + 1}) % 97"
+    return (f"{base} * 1000 + 500", f"{base} * 1000000", base)[k % 3]
+
+
+def _card_sql() -> str:
+    def cards(ordinal, label, value, where="TRUE"):
+        return (f"SELECT page_id, CAST({ordinal} AS INTEGER) AS ordinal, '{label}' AS label, "
+                f"CAST({value} AS BIGINT) AS value FROM pages WHERE {where}")
+
+    short = "CASE WHEN page_id % 9 = 0 THEN 1 ELSE 0 END"
+    again = "CASE WHEN page_id % 7 IN (3, 5) THEN 1 ELSE 0 END"
+    last = len(METRIC_LABELS) - 1
+    rows = [cards(k, label, _figure(k), "page_id % 9 <> 0" if k == last else "TRUE")
+            for k, label in enumerate(METRIC_LABELS)]
+    rows.append(cards(f"10 - {short}", METRIC_LABELS[0],
+                      "CASE page_id % 7 WHEN 5 THEN 7000000 END", "page_id % 7 IN (3, 5)"))
+    rows.append(cards(f"10 - {short} + {again}", "Unlisted figure", "1"))
+    return "\nUNION ALL ".join(rows)
 
 
 def _snapshot_sql() -> str:
-    first = """CASE page_id % 7 WHEN 3 THEN NULL WHEN 5 THEN 7000000
-                    ELSE max(CASE WHEN k = 0 THEN value END) END"""
-    columns = [f'{first} AS "{METRIC_LABELS[0]}"'] + [
-        f'max(CASE WHEN k = {k} THEN value END) AS "{label}"'
-        for k, label in enumerate(METRIC_LABELS) if k
-    ]
-    return f"""WITH {_CARDS}
-SELECT page_id, {", ".join(columns)},
+    columns = [f'CASE page_id % 7 WHEN 5 THEN 7000000 ELSE {_figure(0)} END AS "{METRIC_LABELS[0]}"']
+    columns += [f'{_figure(k)} AS "{label}"' for k, label in enumerate(METRIC_LABELS) if k]
+    return f"""SELECT page_id, {", ".join(columns)},
        TIMESTAMP '2025-02-08 03:00:00' + to_days(CAST(page_id AS INTEGER)) AS created_at
-FROM figures GROUP BY page_id HAVING count(*) = 10 AND page_id % 7 <> 3"""
+FROM pages WHERE page_id % 9 <> 0 AND page_id % 7 <> 3"""
 
 
 def _genre_column(genre: str) -> str:
@@ -596,17 +603,7 @@ WHERE left_over > 0""",
         "page_titles": f"""SELECT page_id, 0 AS ordinal, {_text_of("title")} AS label,
        {_text_of("h1")} AS value
 FROM pages""",
-        "metric_values": f"""WITH {_CARDS},
-shown AS (
-  SELECT page_id, k, label, value FROM figures
-  UNION ALL
-  SELECT page_id, 10, '{METRIC_LABELS[0]}', CASE page_id % 7 WHEN 5 THEN 7000000 END
-  FROM pages WHERE page_id % 7 IN (3, 5)
-  UNION ALL
-  SELECT page_id, 11, 'Unlisted figure', 1 FROM pages)
-SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY k) - 1 AS INTEGER) AS ordinal,
-       label, value
-FROM shown""",
+        "metric_values": _card_sql(),
         "metric_snapshot": _snapshot_sql(),
         "table_profile": _profile_sql(),
         "constraint_report": _constraint_sql(),
