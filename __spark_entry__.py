@@ -17,8 +17,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 
 from lendmart.functions.scalars import metric_value  # noqa: E402
-from lendmart.operators import merge, metrics, quality  # noqa: E402
-from lendmart.plans import datamart, dimfact, preparation  # noqa: E402
+from lendmart.operators import generate, merge, metrics, quality  # noqa: E402
+from lendmart.plans import datamart, dimfact, layers, preparation  # noqa: E402
 from lendmart.schemas import GENRES, METRIC_LABELS, RENTS  # noqa: E402
 from lendmart.session import shared_folder  # noqa: E402
 from lendmart.sources import landing, readers, rental_views  # noqa: E402
@@ -77,6 +77,12 @@ def _changed(rents: DataFrame) -> DataFrame:
     return rents.withColumn("return_date", F.col("created_at") + F.expr("INTERVAL '1' DAY"))
 
 
+def _scratch_database(spark: SparkSession, purpose: str) -> str:
+    """A new database in the shared folder."""
+    folder = shared_folder(spark, purpose)
+    return landing.ensure_layer(spark, "lendmart_" + folder[-32:], folder)
+
+
 # --- queries ------------------------------------------------------------------------
 def q_fact_rents(spark, sf_dir):
     return _fact(spark, sf_dir)[0]["fact_rents"]
@@ -132,13 +138,10 @@ def q_normalize_ts(spark, sf_dir):
 
 def q_staging_load(spark, sf_dir):
     """Rentals through CSV: normalised, written, parsed, checked and staged."""
-    folder = shared_folder(spark, "staging")
-    database = landing.ensure_layer(spark, "lendmart_" + folder[-32:], f"{folder}/tables")
+    database, folder = _scratch_database(spark, "staging"), shared_folder(spark, "landing")
     rents = rental_views.rents(spark, sf_dir)
-    landing.write_csv(readers.normalize_ts(rents), f"{folder}/csv")
-    return landing.load_staging(
-        spark, f"{folder}/csv", RENTS, f"{database}.rents_staging", ts=None
-    )
+    landing.write_csv(readers.normalize_ts(rents), folder)
+    return landing.load_staging(spark, folder, RENTS, f"{database}.rents_staging", ts=None)
 
 
 def _stored_rents(spark, sf_dir):
@@ -220,6 +223,31 @@ def q_metric_snapshot(spark, sf_dir):
     return metrics.metric_snapshot(metrics.with_cards(pages))
 
 
+def q_metric_feed(spark, sf_dir):
+    """Complete snapshots of all pages, appended to the metrics table."""
+    database = _scratch_database(spark, "metrics")
+    layers.metric_feed(rental_views.card_pages(spark, sf_dir, _tasks(spark)), f"{database}.metrics")
+    return spark.table(f"{database}.metrics")
+
+
+def q_synth_rents(spark, sf_dir):
+    """One generated rental per order over the given users and books, summed up."""
+    tables = _sources(spark, sf_dir, "users", "books")
+    n = rental_views.table(spark, sf_dir, "orders").count()
+    rents = generate.synth_rents(tables["users"], tables["books"], n, 42, "2025-01-10 12:00:00")
+    ago = F.extract(F.lit("DAY"), F.col("created_at") - F.col("rent_date"))
+    kept = F.extract(F.lit("DAY"), F.col("return_date") - F.col("rent_date"))
+    users = tables["users"].select("user_id", F.lit(1).alias("_user"))
+    books = tables["books"].where(F.col("stock") > 0).select("book_id", F.lit(1).alias("_book"))
+    rents = rents.join(users, "user_id", "left").join(books, "book_id", "left")
+    return rents.agg(
+        F.count("rent_id").alias("rents"), F.count("_user").alias("with_user"),
+        F.count("_book").alias("with_stocked_book"), F.min(ago).alias("least_days_ago"),
+        F.max(ago).alias("most_days_ago"), F.min(kept).alias("least_days_kept"),
+        F.max(kept).alias("most_days_kept"),
+    )
+
+
 def _tasks(spark):
     """Least number of tasks for the parsing step; a small file would make one."""
     return spark.sparkContext.defaultParallelism
@@ -264,8 +292,7 @@ def _event_stream(spark, sf_dir):
 
 def q_stream_insert_only(spark, sf_dir):
     """Events into an insert-only table, delivered twice in full."""
-    folder = shared_folder(spark, "insert-only")
-    database = landing.ensure_layer(spark, "lendmart_" + folder[-32:], f"{folder}/tables")
+    database, folder = _scratch_database(spark, "events"), shared_folder(spark, "checkpoints")
     for delivery in ("first", "again"):
         jobs.stream_insert_only(
             _event_stream(spark, sf_dir), f"{database}.events", "event_id",
@@ -312,9 +339,11 @@ def queries() -> dict[str, Query]:
         "page_titles": q_page_titles,
         "metric_values": q_metric_values,
         "metric_snapshot": q_metric_snapshot,
+        "metric_feed": q_metric_feed,
         "table_profile": q_table_profile,
         "constraint_report": q_constraint_report,
         "fk_orphans": q_fk_orphans,
+        "synth_rents": q_synth_rents,
         "stream_insert_only": q_stream_insert_only,
         "stream_daily_counts": q_stream_daily_counts,
     }
@@ -432,24 +461,25 @@ def _card_sql() -> str:
     return "\nUNION ALL ".join(rows)
 
 
-def _snapshot_sql() -> str:
+def _snapshot_sql(first: str = "") -> str:
     columns = [f'CASE page_id % 7 WHEN 5 THEN 7000000 ELSE {_figure(0)} END AS "{METRIC_LABELS[0]}"']
     columns += [f'{_figure(k)} AS "{label}"' for k, label in enumerate(METRIC_LABELS) if k]
-    return f"""SELECT page_id, {", ".join(columns)},
+    return f"""SELECT {first}{", ".join(columns)},
        TIMESTAMP '2025-02-08 03:00:00' + to_days(CAST(page_id AS INTEGER)) AS created_at
 FROM pages WHERE page_id % 9 <> 0 AND page_id % 7 <> 3"""
 
 
 def _genre_column(genre: str) -> str:
-    return f"""coalesce(CAST(sum(CASE WHEN genre = '{genre}' THEN n END) AS BIGINT), 0) AS "{genre}\""""
+    return f"""count(f.book_id) FILTER (b.genre = '{genre}') AS "{genre}\""""
 
 
 def _text_of(tag: str) -> str:
-    raw = f"regexp_extract(html, '<{tag}>(.*?)</{tag}>', 1, 's')"
-    for entity, character in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"),
-                              ("&nbsp;", " "), ("&amp;", "&")):
-        raw = f"replace({raw}, '{entity}', '{character}')"
-    return f"trim({raw})"
+    text = f"regexp_extract(html, '<{tag}>(.*?)</{tag}>', 1, 's')"
+    for entity, character in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "''"),
+                              ("nbsp", " "), ("amp", "&")):
+        # Cut-off titles may end in an entity without its semicolon.
+        text = f"regexp_replace({text}, '&{entity}(;|$)', '{character}', 'g')"
+    return f"trim({text})"
 
 
 _PROFILE_TYPES = {
@@ -535,29 +565,25 @@ SELECT book_id, title, author, book_type, genre, release_year, stock, created_at
         "dmart_user_book_calendar": _user_book_sql("date_diff('day', f.return_date, f.created_at)"),
         "dmart_gender_book": f"WITH {_FACT} {_gender_book_sql()}",
         "dmart_book_gender": f"""WITH {_FACT},
-per_user AS (
-  SELECT f.user_id, u.gender, b.book_type, b.genre, count(f.book_id) AS n
+counted AS (
+  SELECT b.book_type, b.genre, u.gender, count(f.book_id) AS n
   FROM fact f LEFT JOIN users u ON f.user_id = u.user_id
-              LEFT JOIN books b ON f.book_id = b.book_id
-  GROUP BY ALL),
-totals AS (SELECT book_type, genre, sum(n) AS n FROM per_user GROUP BY book_type, genre)
-SELECT p.book_type, p.genre, p.gender, CAST(sum(p.n) AS BIGINT) AS total_rentals_gender,
-       CAST(t.n AS BIGINT) AS total_rentals_all,
-       round(CAST(sum(p.n) AS DOUBLE) * 100.0 / nullif(CAST(t.n AS DOUBLE), 0), 2)
-         AS percentage_per_gender
-FROM per_user p JOIN totals t ON p.book_type = t.book_type AND p.genre = t.genre
-GROUP BY p.book_type, p.genre, p.gender, t.n""",
-        "dmart_booktype_stock": f"""WITH {_FACT},
-rentals AS (
-  SELECT b.book_type, b.genre, CAST(f.created_at AS DATE) AS day, count(f.book_id) AS n
-  FROM fact f LEFT JOIN books b ON f.book_id = b.book_id GROUP BY ALL),
-stocks AS (SELECT book_type, CAST(sum(stock) AS BIGINT) AS stock FROM books GROUP BY book_type)
-SELECT r.book_type, {", ".join(_genre_column(g) for g in GENRES)},
-       coalesce(CAST(sum(n) AS BIGINT), 0) AS total_rent_per_type,
-       s.stock AS stock_book_per_type,
-       coalesce(s.stock, 0) - coalesce(CAST(sum(n) AS BIGINT), 0) AS sisa_stock
-FROM rentals r LEFT JOIN stocks s ON r.book_type = s.book_type
-GROUP BY r.book_type, s.stock""",
+              JOIN books b ON f.book_id = b.book_id
+  WHERE b.book_type IS NOT NULL AND b.genre IS NOT NULL
+  GROUP BY b.book_type, b.genre, u.gender)
+SELECT book_type, genre, gender, n AS total_rentals_gender,
+       CAST(sum(n) OVER same AS BIGINT) AS total_rentals_all,
+       round(100.0::DOUBLE * n / sum(n) OVER same, 2) AS percentage_per_gender
+FROM counted WINDOW same AS (PARTITION BY book_type, genre)""",
+        "dmart_booktype_stock": f"""WITH {_FACT}
+SELECT b.book_type, {", ".join(_genre_column(g) for g in GENRES)},
+       count(f.book_id) AS total_rent_per_type, s.stock AS stock_book_per_type,
+       coalesce(s.stock, 0) - count(f.book_id) AS sisa_stock
+FROM fact f
+LEFT JOIN books b ON f.book_id = b.book_id
+LEFT JOIN (SELECT book_type, CAST(sum(stock) AS BIGINT) AS stock FROM books GROUP BY book_type) s
+       ON s.book_type = b.book_type
+GROUP BY b.book_type, s.stock""",
         "stock_per_type": f"""WITH {_BOOKS}
 SELECT book_type, CAST(sum(stock) AS BIGINT) AS stock_book_per_type FROM books GROUP BY book_type""",
         "daily_slice": f"""SELECT event_id, ts, user_id, event_type, value FROM events
@@ -604,7 +630,8 @@ WHERE left_over > 0""",
        {_text_of("h1")} AS value
 FROM pages""",
         "metric_values": _card_sql(),
-        "metric_snapshot": _snapshot_sql(),
+        "metric_snapshot": _snapshot_sql("page_id, "),
+        "metric_feed": _snapshot_sql(),
         "table_profile": _profile_sql(),
         "constraint_report": _constraint_sql(),
         "fk_orphans": f"""WITH {_USERS}, {_BOOKS}, {_RENTS}
@@ -613,6 +640,10 @@ FROM rents WHERE user_id NOT IN (SELECT user_id FROM users) GROUP BY user_id
 UNION ALL
 SELECT 'book_id', book_id, count(*)
 FROM rents WHERE book_id NOT IN (SELECT book_id FROM books) GROUP BY book_id""",
+        "synth_rents": """SELECT count(*) AS rents, count(*) AS with_user,
+       count(*) AS with_stocked_book, 3 AS least_days_ago, 7 AS most_days_ago,
+       1 AS least_days_kept, 3 AS most_days_kept
+FROM orders""",
         "stream_insert_only": "SELECT DISTINCT * FROM events",
         "stream_daily_counts": f"""SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS events
 FROM events

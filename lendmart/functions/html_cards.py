@@ -10,7 +10,9 @@ everything after it is plain column work on the same row and needs no shuffle.
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from html import unescape
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -39,7 +41,7 @@ class _CardReader(HTMLParser):
     """
 
     def __init__(self, block: str, cls: str | None, title: str, value: str):
-        super().__init__(convert_charrefs=True)
+        super().__init__(convert_charrefs=False)
         self._block, self._cls = block, cls
         self._wanted = (title, value)
         self._open: list[str] = []
@@ -97,6 +99,13 @@ class _CardReader(HTMLParser):
         while self._texts and self._texts[-1][0] >= depth:
             self._texts.pop()
 
+    def handle_entityref(self, name):
+        # An unknown name stays as it is, also if it begins like a known one.
+        self.handle_data(html5.get(name + ";", "&" + name))
+
+    def handle_charref(self, name):
+        self.handle_data(unescape(f"&#{name};"))
+
     def handle_data(self, data):
         if not self._texts:
             return

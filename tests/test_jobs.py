@@ -88,7 +88,7 @@ def test_incremental_equals_full(spark, layers, recent):
     rents = synth_rents(users, books, 200, 1, now).withColumn(
         "created_at", F.lit(now).cast("timestamp_ntz")
         + F.make_dt_interval((F.col("rent_id") / 70).cast("int")))
-    for last in (10, 11, 11, 12) if recent else (10, 12):
+    for last in (10, 11, 12) if recent else (10, 12):
         upto = rents.where(F.to_date("created_at") <= F.lit(date(2025, 1, last)))
         jobs.run_layers(spark, {"users": users, "books": books, "rents": upto}, layers,
                         recent_marts=recent)

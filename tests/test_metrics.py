@@ -92,6 +92,15 @@ def test_entities_comments_scripts_and_space():
     assert cards('<script><div class="col-md-3 col-12"><p>A</p><h5>1</h5></div></script>') == []
 
 
+@pytest.mark.parametrize("raw, text", [
+    ("a &amp; b", "a & b"), ("a&amp", "a&"), ("&lt;b&gt;", "<b>"), ("&#65;&#x42;", "AB"),
+    ("&ampere;", "&ampere"), ("AT&T", "AT&T"), ("1 & 2", "1 & 2"), ("&amp;lt;", "&lt;"),
+    ("&nbsp;x&nbsp;", "x"), ("&eacute;", "é"), ("&#150;", "–"),
+])
+def test_entities(raw, text):
+    assert cards(card(raw, "1")) == [(text, "1")]
+
+
 def test_open_tags_close_at_the_end():
     assert cards('<div class="col-md-3 col-12"><p>A</p><h5>1') == [("A", "1")]
     # An end tag closes what is open inside; one without a start is ignored.
