@@ -38,14 +38,15 @@ def stream_daily_counts(src: DataFrame, ts: str, by: list[str], delay: str = "1
 
     Counts are combined per task before the shuffle, and a day leaves the state
     once the watermark has passed it. Watermarks need an instant, so zoneless
-    times are read as UTC; the session zone must be UTC.
+    times are read as UTC, whatever the session zone.
     """
+    zone = F.current_timezone()
     return (
-        src.withColumn("_time", F.col(ts).cast("timestamp"))
+        src.withColumn("_time", F.from_utc_timestamp(F.col(ts).cast("timestamp"), zone))
         .withWatermark("_time", delay)
         .groupBy(F.window("_time", "1 day").alias("_day"), *by)
         .agg(F.count(F.lit(1)).alias(name))
-        .select(F.to_date("_day.start").alias("day"), *by, name)
+        .select(F.to_date(F.to_utc_timestamp("_day.start", zone)).alias("day"), *by, name)
     )
 
 
