@@ -89,7 +89,8 @@ def q_fact_rents(spark, sf_dir):
 
 
 def q_user_book(spark, sf_dir):
-    return datamart.dmart_user_book(_fact(spark, sf_dir)[0])
+    tables, hot = _fact(spark, sf_dir)
+    return datamart.dmart_user_book(tables, hot=hot["book_id"])
 
 
 def q_gender_book(spark, sf_dir):
@@ -107,7 +108,8 @@ def q_booktype_stock(spark, sf_dir):
 
 
 def q_user_book_calendar(spark, sf_dir):
-    return datamart.dmart_user_book(_fact(spark, sf_dir)[0], calendar=True)
+    tables, hot = _fact(spark, sf_dir)
+    return datamart.dmart_user_book(tables, calendar=True, hot=hot["book_id"])
 
 
 def q_daily_slice(spark, sf_dir):

@@ -24,7 +24,7 @@ def _or_zero(column: Column) -> Column:
     return F.coalesce(column, F.lit(0).cast("long"))
 
 
-def _copies(fact: DataFrame, books: DataFrame) -> DataFrame:
+def _copies(fact: DataFrame, books: DataFrame, hot: Hot) -> DataFrame:
     """The fact with ``_n``, how many rows of ``books`` each of its rows meets.
 
     Only repeated book numbers matter. They are counted first: normally there is
@@ -39,23 +39,27 @@ def _copies(fact: DataFrame, books: DataFrame) -> DataFrame:
     if few == 0:
         return fact.withColumn("_n", F.lit(1).cast("long"))
     if few <= _FEW:
-        repeated = F.broadcast(repeated)
-    met = fact.join(repeated, "book_id", "left")
+        met = fact.join(F.broadcast(repeated), "book_id", "left")
+    else:
+        met = spread_join(
+            fact, repeated, "book_id", "left", ["rent_id"], hot._replace(nulls=True)
+        )
     return met.withColumn("_n", F.coalesce("_n", F.lit(1).cast("long")))
 
 
-def dmart_user_book(inputs: Inputs, calendar: bool = False) -> DataFrame:
+def dmart_user_book(inputs: Inputs, calendar: bool = False, hot: Hot = Hot()) -> DataFrame:
     """Books and mean rental days per user and day.
 
     The fact is summed per user and day before it meets the users, so a user
-    with very many rentals arrives there with one row per day.
+    with very many rentals arrives there with one row per day. ``hot`` names
+    books with very many rentals, for the case of many repeated book numbers.
     """
     fact = inputs["fact_rents"].select(
-        "user_id", "user_name", "book_id", day_of("created_at").alias("created_at_date"),
+        "rent_id", "user_id", "user_name", "book_id", day_of("created_at").alias("created_at_date"),
         rental_days("created_at", "return_date", calendar).alias("_days"),
     )
     per_day = (
-        _copies(fact, inputs["dim_books"])
+        _copies(fact, inputs["dim_books"], hot)
         .groupBy("user_id", "user_name", "created_at_date")
         .agg(
             F.sum(F.when(F.col("book_id").isNotNull(), F.col("_n"))).alias("_books"),

@@ -111,14 +111,14 @@ def _run_marts(spark: SparkSession, fact: DataFrame, dims: dict[str, DataFrame],
         _publish(content, f"{database}.{name}", keys, by, rebuild, null_safe=True)
 
     recent = fact if days is None else fact.where(on_days("created_date", days))
-    hot = hot_keys(recent, "user_id")["user_id"]
+    hot = hot_keys(recent, "user_id", "book_id")
     if days is None or days or not table_exists(spark, f"{database}.dmart_gender_book"):
         inputs = {"fact_rents": recent, **dims}
-        publish("dmart_user_book", datamart.dmart_user_book(inputs))
-        publish("dmart_gender_book", datamart.dmart_gender_book(inputs, hot))
+        publish("dmart_user_book", datamart.dmart_user_book(inputs, hot=hot["book_id"]))
+        publish("dmart_gender_book", datamart.dmart_gender_book(inputs, hot["user_id"]))
     inputs = {"fact_rents": fact, **dims}
     if days is None:
-        publish("dmart_book_gender", datamart.dmart_book_gender(inputs, hot))
+        publish("dmart_book_gender", datamart.dmart_book_gender(inputs, hot["user_id"]))
     else:
         counts = spark.table(f"{database}.dmart_gender_book")
         publish("dmart_book_gender", datamart.book_gender_from_days(counts))

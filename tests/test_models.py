@@ -183,6 +183,15 @@ def test_marts_equal_plain_joins(spark, mart, broadcast):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
 
 
+def test_many_repeated_books_equal_plain_joins(spark, monkeypatch):
+    monkeypatch.setattr(datamart, "_FEW", 1)
+    inputs = _hot_inputs(spark)
+    hot = hot_keys(inputs["fact_rents"], "book_id")["book_id"]
+    assert 2 in hot.values
+    got = datamart.dmart_user_book(inputs, hot=hot)
+    assert rows(got) == rows(_by_sql(spark, inputs, "dmart_user_book"))
+
+
 def test_fact_with_hot_keys_is_the_same(spark):
     inputs = _hot_inputs(spark)
     hot = hot_keys(inputs["prep_rents"], "user_id", "book_id")
