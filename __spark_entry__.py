@@ -312,8 +312,32 @@ def q_stream_daily_counts(spark, sf_dir):
     return spark.read.parquet(f"{folder}/days")
 
 
+def _text_queries() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the llm subpackage; none if the subpackage is not there."""
+    try:
+        import corpus_pipeline
+        from lendmart.llm import registry
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "lendmart.llm", "lendmart.llm.registry"):
+            raise
+        return {}, {}
+    sql = dict(registry.ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return registry.QUERIES | {"pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Query]:
     """One entry per query: ``(spark, sf_dir) -> DataFrame``."""
+    return _rental_queries() | _text_queries()[0]
+
+
+def oracle_sql() -> dict[str, str]:
+    """DuckDB SQL for each query that SQL can express, over the driver's tables."""
+    return _rental_sql() | _text_queries()[1]
+
+
+def _rental_queries() -> dict[str, Query]:
     return {
         "prep_users": lambda s, d: preparation.prep_users(_sources(s, d, "users")),
         "prep_books": lambda s, d: preparation.prep_books(_sources(s, d, "books")),
@@ -545,8 +569,7 @@ loans AS (SELECT l_orderkey * 8 + l_linenumber AS rent_id, CAST(NULL AS BIGINT)
 """ + "\nUNION ALL ".join(rows)
 
 
-def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL for each query, over the driver's tables."""
+def _rental_sql() -> dict[str, str]:
     target = f"target AS (SELECT * FROM rents WHERE created_at < TIMESTAMP '{TARGET_END}')"
     batch = f"""batch AS (
   SELECT rent_id, user_id, book_id, rent_date, created_at + INTERVAL 1 DAY AS return_date,
