@@ -24,11 +24,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lendmart.llm.common import ship, stored
 
-PROJECTIONS = 128
-THRESHOLD = 0.63
+PROJECTIONS = 64
+THRESHOLD = 0.65
 #: Half a window's width in units of the radius.
 REACH = 1.1
-RADII = tuple(0.25 * 1.3**k for k in range(9))
+RADII = tuple(0.25 * 1.35**k for k in range(8))
 BLOCK_ROWS = 8192
 GROUP_QUERIES = 256
 SEED = 11
@@ -77,7 +77,7 @@ def build_index(rows: DataFrame, blocks: int) -> DataFrame:
     def index(group: pd.DataFrame) -> pd.DataFrame:
         ids, vectors = _pack(group)
         projected = (_unit(vectors) @ directions(vectors.shape[1]).T).T
-        order = np.argsort(projected, axis=1, kind="stable").astype(np.int32)
+        order = np.argsort(projected, axis=1, kind="stable")
         places = np.take_along_axis(projected, order, axis=1).astype(np.float32)
         return pd.DataFrame({
             "dim": [vectors.shape[1]], "block": [int(group["block"].iloc[0])], "ids": [ids.tobytes()],
@@ -101,8 +101,10 @@ def search(ids, vectors, order, places, query_ids, queries, k: int) -> list[tupl
             low[i] = np.searchsorted(places[i], centre[:, i] - REACH * radius)
             high[i] = np.searchsorted(places[i], centre[:, i] + REACH * radius)
         edges.append((low, high))
+    lengths = np.sqrt((vectors * vectors).sum(axis=1))
     out = []
     for q, query_id in enumerate(query_ids):
+        asked = queries[q] / np.sqrt((queries[q] * queries[q]).sum())
         hits, seen = np.zeros(n, np.int64), np.zeros(n, bool)
         found, scores = np.zeros(0, np.int64), np.zeros(0)
         old_low = old_high = None
@@ -125,13 +127,16 @@ def search(ids, vectors, order, places, query_ids, queries, k: int) -> list[tupl
             if len(new):
                 seen[new] = True
                 found = np.concatenate([found, new])
-                scores = np.concatenate([scores, cosines(vectors[new], queries[q])])
+                scores = np.concatenate([scores, vectors[new] @ asked / lengths[new]])
             if len(found) >= wanted:
                 if not wanted:
                     break
                 kth = np.partition(scores, -wanted)[-wanted]
                 if radius is not None and 2 - 2 * kth <= radius * radius:
                     break
+        if wanted:  # the exact sums for all that rounding could bring among the best
+            found = found[scores >= np.partition(scores, -wanted)[-wanted] - 1e-9]
+        scores = cosines(vectors[found], queries[q])
         best = np.lexsort((ids[found], -scores))[:k]
         out += [(int(query_id), int(ids[found[j]]), float(scores[j])) for j in best]
     return out
@@ -165,7 +170,7 @@ def nearest(
         r = group.iloc[0]
         ids = np.frombuffer(r["ids"], np.int64)
         matrix = np.frombuffer(r["vectors"], np.float64).reshape(len(ids), -1)
-        order = np.frombuffer(r["order"], np.int32).reshape(-1, len(ids))
+        order = np.frombuffer(r["order"], np.int64).reshape(-1, len(ids))
         places = np.frombuffer(r["places"], np.float32).reshape(-1, len(ids))
         query_ids = np.frombuffer(r["query_ids"], np.int64)
         asked = np.frombuffer(r["queries"], np.float64).reshape(len(query_ids), -1)
