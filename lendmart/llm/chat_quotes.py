@@ -108,21 +108,25 @@ def conversations(messages: DataFrame) -> DataFrame:
     a conversation in the order of depth and msg_id."""
     parsed = stored(parsed_messages(messages), "quotes")
     links = stored(reply_links(parsed), "quotes")
-    state = links.select("conv_id", "msg_id", F.col("parent").alias("above"), F.lit(1).cast("long").alias("steps"))
+    # A row is open while the message above it has a parent itself; only open rows move.
+    linked = links.select("conv_id", F.col("msg_id").alias("above"), F.lit(True).alias("open"))
+    state = stored(
+        links.select("conv_id", "msg_id", F.col("parent").alias("above"), F.lit(1).cast("long").alias("steps"))
+        .join(linked, ["conv_id", "above"], "left").withColumn("open", F.coalesce("open", F.lit(False))), "quotes",
+    )
     for _ in range(MAX_ROUNDS):
+        if state.where("open").isEmpty():
+            break
         up = state.select(
-            "conv_id", F.col("msg_id").alias("above"), F.col("above").alias("next"), F.col("steps").alias("more")
+            "conv_id", F.col("msg_id").alias("above"), F.col("above").alias("next"), F.col("steps").alias("more"),
+            F.col("open").alias("still"),
         )
-        moved = state.join(up, ["conv_id", "above"], "left").select(
-            "conv_id", "msg_id", F.when(F.col("more").isNotNull(), F.col("next")).otherwise(F.col("above")).alias("above"),
-            (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"), F.col("more").isNotNull().alias("open"),
+        moved = state.where("open").join(up, ["conv_id", "above"]).select(
+            "conv_id", F.col("next").alias("above"), "msg_id", (F.col("steps") + F.col("more")).alias("steps"),
+            F.col("still").alias("open"),
         )
-        moved = stored(moved, "quotes")
-        state = moved.drop("open")
-        if moved.where("open").isEmpty():
-            break
-    else:
-        state = moved.where("not open").drop("open")
+        state = stored(state.where("not open").unionByName(moved), "quotes")
+    state = state.where("not open")  # what is open still runs in a circle
     depths = state.select("conv_id", "msg_id", "steps")
     return parsed.join(links, ["conv_id", "msg_id"], "left").join(depths, ["conv_id", "msg_id"], "left").select(
         "conv_id", "msg_id", "parent",
