@@ -15,9 +15,11 @@ from __future__ import annotations
 
 import heapq
 import json
+import struct
 from functools import lru_cache
 from pathlib import Path
 
+import ahocorasick
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
@@ -28,8 +30,11 @@ from lendmart.llm.common import map_rows
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NEVER = np.int64(1) << 40
 _NONE = int(NEVER)
-#: Words kept with their ids in a worker; beyond it the table starts afresh.
-MAX_KNOWN = 600_000
+# Stands between words whose bytes are written as characters up to 255.
+_BREAK = "\uffff"
+#: Words kept with their ids in a worker, twice over: a full table becomes the old one, from
+#: which words come back when they are met again.
+MAX_KNOWN = 400_000
 LONG_WORD = 128
 #: Characters of texts that are split into words at a time (one text at least).
 GROUP_CHARS = 1_000_000
@@ -63,7 +68,10 @@ class Bpe:
             self.bytes_of[i] = token
         for content, i in self.specials.items():
             self.bytes_of[i] = content.encode()
-        self.longest = max(map(len, self.ids))
+        self.longest = ahocorasick.Automaton()
+        for token, i in self.ids.items():
+            self.longest.add_word(token.decode("latin-1"), i)
+        self.longest.make_automaton()
         self.of_byte = [self.ids[bytes((b,))] for b in range(256)]
 
         n = len(model["merges"])
@@ -91,6 +99,7 @@ class Bpe:
         self.split = regex.compile(WORDS).findall
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True))) + ")")
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.pairs: dict[int, bool] = {}
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -117,15 +126,14 @@ class Bpe:
             rows, x, until_x = rows[go], x[go], until_x[go]
         return good
 
-    def greedy(self, word: bytes) -> list[int]:
-        out, at, end, get = [], 0, len(word), self.ids.get
-        while at < end:
-            for stop in range(min(end, at + self.longest), at, -1):
-                if (found := get(word[at:stop])) is not None:
-                    break
-            out.append(found)
-            at = stop
-        return out
+    def greedy(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Leftmost longest matches of all words at once: the tokens, and whose they are."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        line = _BREAK.join(word.decode("latin-1") for word in words)
+        found = list(self.longest.iter_long(line))
+        ends = np.fromiter((end for end, _ in found), np.int64, len(found))
+        tokens = np.fromiter((token for _, token in found), np.int64, len(found))
+        return tokens, np.searchsorted(np.cumsum(sizes), ends, side="right")
 
     def exact(self, word: bytes) -> list[int]:
         """Merges by rank, leftmost first."""
@@ -172,10 +180,9 @@ class Bpe:
     def learn(self, words: list[str]) -> None:
         """Ids of words not met before."""
         raw = [w.encode() for w in words]
-        proposed = [self.greedy(w) for w in raw]
-        sizes = np.fromiter(map(len, proposed), np.int64, len(raw))
-        flat = np.fromiter((t for p in proposed for t in p), np.int64, int(sizes.sum()))
-        owner = np.repeat(np.arange(len(raw)), sizes)
+        flat, owner = self.greedy(raw)
+        packed = flat.astype("<u4").tobytes()
+        starts = (4 * np.searchsorted(owner, np.arange(len(raw) + 1))).tolist()
         bad = np.zeros(len(raw), bool)
         bad[owner[self.odd[flat]]] = True
         inside = owner[1:] == owner[:-1]
@@ -190,9 +197,12 @@ class Bpe:
             self.pairs.update(zip(new, self.compatible(a, b).tolist()))
         verdict = np.fromiter((self.pairs[k] for k in unique.tolist()), bool, len(unique))
         bad[owner[1:][inside][~verdict[place]]] = True
-        for k, (word, ids) in enumerate(zip(words, proposed)):
-            ids = self.exact(raw[k]) if bad[k] else ids
-            self.known[word] = np.array(ids, "<u4").tobytes()
+        for word, own, wrong, start, stop in zip(words, raw, bad.tolist(), starts, starts[1:]):
+            if wrong:
+                ids = self.exact(own)
+                self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                self.known[word] = packed[start:stop]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -214,16 +224,17 @@ class Bpe:
             else:
                 split.append(self.split(text))
         distinct = set().union(*split)
-        if len(self.known) + len(distinct) > MAX_KNOWN:
-            self.known.clear()
-        plain = [w for w in distinct if w not in self.known and w not in self.specials]
-        self.known.update((s, np.array([i], "<u4").tobytes()) for s, i in self.specials.items())
-        if plain:
-            self.learn(plain)
-        out = [b"".join(map(self.known.__getitem__, words)) for words in split]
         if len(self.known) > MAX_KNOWN:
-            self.known.clear()  # one text with more words than the table is to hold
-        for w in plain:
+            self.old, self.known = self.known, {}
+        known, old = self.known, self.old
+        known.update((s, struct.pack("<I", i)) for s, i in self.specials.items())
+        missing = [w for w in distinct if w not in known]
+        known.update((w, old[w]) for w in missing if w in old)
+        self.learn(new := [w for w in missing if w not in old])
+        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        if len(distinct) > MAX_KNOWN:  # one text of very many words
+            self.old, self.known = {}, {}
+        for w in new:
             if len(w) > LONG_WORD:
                 self.known.pop(w, None)
         return out
