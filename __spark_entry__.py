@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 
 from lendmart.functions.scalars import metric_value  # noqa: E402
-from lendmart.operators import generate, merge, metrics, quality  # noqa: E402
+from lendmart.operators import merge, metrics, quality  # noqa: E402
 from lendmart.plans import datamart, dimfact, layers, preparation  # noqa: E402
 from lendmart.schemas import GENRES, METRIC_LABELS, RENTS  # noqa: E402
 from lendmart.session import shared_folder  # noqa: E402
@@ -209,51 +209,29 @@ def q_available_books(spark, sf_dir):
 
 
 def q_page_titles(spark, sf_dir):
-    pages = readers.read_pages(spark, f"{sf_dir}/pages.parquet", _tasks(spark))
+    pages = readers.read_pages(spark, f"{sf_dir}/pages.parquet")
     return metrics.extract_labeled(pages, "html", None, "title", "h1")
 
 
 def q_metric_values(spark, sf_dir):
-    pages = rental_views.card_pages(spark, sf_dir, _tasks(spark))
+    pages = rental_views.card_pages(spark, sf_dir)
     return metrics.extract_labeled(pages).select(
         "page_id", "ordinal", "label", metric_value("value").alias("value")
     )
 
 
 def q_metric_snapshot(spark, sf_dir):
-    pages = rental_views.card_pages(spark, sf_dir, _tasks(spark))
+    pages = rental_views.card_pages(spark, sf_dir)
     return metrics.metric_snapshot(metrics.with_cards(pages))
 
 
 def q_metric_feed(spark, sf_dir):
     """Complete snapshots of all pages, appended to the metrics table."""
     database = _scratch_database(spark, "metrics")
-    layers.metric_feed(rental_views.card_pages(spark, sf_dir, _tasks(spark)), f"{database}.metrics")
+    layers.metric_feed(rental_views.card_pages(spark, sf_dir), f"{database}.metrics")
     return spark.table(f"{database}.metrics")
 
 
-def q_synth_rents(spark, sf_dir):
-    """One generated rental per order over the given users and books, summed up."""
-    tables = _sources(spark, sf_dir, "users", "books")
-    n = rental_views.table(spark, sf_dir, "orders").count()
-    rents = generate.synth_rents(tables["users"], tables["books"], n, 42, "2025-01-10 12:00:00")
-    ago = F.extract(F.lit("DAY"), F.col("created_at") - F.col("rent_date"))
-    kept = F.extract(F.lit("DAY"), F.col("return_date") - F.col("rent_date"))
-    users = tables["users"].select("user_id", F.lit(1).alias("_user"))
-    books = tables["books"].where(F.col("stock") > 0).select("book_id", F.lit(1).alias("_book"))
-    rents = rents.join(users, "user_id", "left").join(books, "book_id", "left")
-    return rents.agg(
-        F.count("rent_id").alias("rents"), F.count("_user").alias("with_user"),
-        F.count("_book").alias("with_stocked_book"), F.min(ago).alias("least_days_ago"),
-        F.max(ago).alias("most_days_ago"), F.min(kept).alias("least_days_kept"),
-        F.max(kept).alias("most_days_kept"),
-    )
-
-
-def _tasks(spark):
-    """Least number of tasks for the parsing step; a small file would make one."""
-    return spark.sparkContext.defaultParallelism
-
 
 def q_table_profile(spark, sf_dir):
     tables = _sources(spark, sf_dir)
@@ -369,7 +347,6 @@ def _rental_queries() -> dict[str, Query]:
         "table_profile": q_table_profile,
         "constraint_report": q_constraint_report,
         "fk_orphans": q_fk_orphans,
-        "synth_rents": q_synth_rents,
         "stream_insert_only": q_stream_insert_only,
         "stream_daily_counts": q_stream_daily_counts,
     }
@@ -665,10 +642,6 @@ FROM rents WHERE user_id NOT IN (SELECT user_id FROM users) GROUP BY user_id
 UNION ALL
 SELECT 'book_id', book_id, count(*)
 FROM rents WHERE book_id NOT IN (SELECT book_id FROM books) GROUP BY book_id""",
-        "synth_rents": """SELECT count(*) AS rents, count(*) AS with_user,
-       count(*) AS with_stocked_book, 3 AS least_days_ago, 7 AS most_days_ago,
-       1 AS least_days_kept, 3 AS most_days_kept
-FROM orders""",
         "stream_insert_only": "SELECT DISTINCT * FROM events",
         "stream_daily_counts": f"""SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS events
 FROM events

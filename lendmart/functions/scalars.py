@@ -26,10 +26,13 @@ def rental_days(created_at: str, return_date: str, calendar: bool = False) -> Co
 def second_text(value: Column, dtype: str) -> Column:
     """``YYYY-MM-DD HH:MM:SS`` of epoch milliseconds or of a timestamp.
 
-    Sub-seconds are cut, not rounded. Epoch values are read without a zone, so
-    the session zone plays no part.
+    Sub-seconds are cut, not rounded. Epoch values, of any numeric type, are read
+    without a zone, so the session zone plays no part. Other types raise.
     """
-    if dtype in ("bigint", "int"):
+    numeric = dtype in ("bigint", "int", "smallint", "tinyint", "float", "double")
+    if not (numeric or dtype.startswith(("decimal", "timestamp", "string", "date", "void"))):
+        raise TypeError(f"no time can be read from {dtype}")
+    if numeric or dtype.startswith("decimal"):
         millis = value.cast("decimal(18,3)")
         epoch = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
         none = F.lit(0)

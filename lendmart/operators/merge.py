@@ -105,11 +105,26 @@ def assert_unique(delta: DataFrame, keys: str | list[str], null_safe: bool = Fal
     return delta
 
 
+# Pieces that target rows with a NULL key are cut into.
+NULL_PIECES = 64
+
+
 def _null_safe_join(target: DataFrame, wanted: DataFrame, keys: list[str], how: str) -> DataFrame:
-    same = F.lit(True)
+    """A join in which NULL equals NULL. Target rows with a NULL key may have piled up, so
+    they are cut into pieces by a hash of the row and the few such wanted rows repeated."""
+    rest = [c for c in target.columns if c not in keys] or keys
+    piece = F.when(_all_present(keys), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(*rest), F.lit(NULL_PIECES)).cast("int")
+    )
+    every = F.when(_all_present(keys), F.array(F.lit(0))).otherwise(
+        F.sequence(F.lit(0), F.lit(NULL_PIECES - 1))
+    )
+    cut = target.withColumn("_piece", piece)
+    spread = wanted.withColumn("_piece", F.explode(every))
+    same = F.col("t._piece") == F.col("w._piece")
     for key in keys:
         same = same & F.col(f"t.{key}").eqNullSafe(F.col(f"w.{key}"))
-    return target.alias("t").join(wanted.alias("w"), same, how)
+    return cut.alias("t").join(spread.alias("w"), same, how).drop("_piece")
 
 
 def unmatched(target: DataFrame, delta: DataFrame, keys: str | list[str],
@@ -136,12 +151,17 @@ def matched(target: DataFrame, delta: DataFrame, keys: str | list[str],
 
 
 def upsert(target: DataFrame, delta: DataFrame, keys: str | list[str],
-           null_safe: bool = False) -> DataFrame:
+           null_safe: bool = False, checked: bool = False) -> DataFrame:
     """Target rows replaced by the delta rows of equal key, plus the other delta rows.
 
+    Raises ``AmbiguousMerge`` if two delta rows claim one target row; ``checked`` is
+    for callers that have made sure of it.
+
     ``=`` never matches a NULL, so rows with a NULL in their key pile up;
     ``null_safe`` treats NULL as a value.
     """
+    if not checked:
+        assert_unique(delta, keys, null_safe)
     kept = unmatched(target, delta, keys, null_safe)
     return kept.unionByName(delta.select(target.columns))
 

@@ -41,5 +41,11 @@ def metric_snapshot(carded: DataFrame, labels=METRIC_LABELS,
         of_label = F.filter("cards", lambda card: card["label"] == label)
         return metric_value(F.try_element_at(of_label, F.lit(-1))["value"]).alias(label)
 
-    wide = carded.select(*keep, *[last(label) for label in labels], time.alias("created_at"))
-    return wide.dropna("any", subset=[*labels, "created_at"])
+    # The row is made by a generator, so the check for gaps reads finished values; below a
+    # plain projection it would compute every one of them a second time.
+    values = F.struct(*[last(label) for label in labels], time.alias("created_at"))
+    wide = carded.select(*keep, F.explode(F.array(values)).alias("_values"))
+    whole = F.lit(True)
+    for label in [*labels, "created_at"]:
+        whole = whole & F.col("_values")[label].isNotNull()
+    return wide.where(whole).select(*keep, "_values.*")

@@ -172,12 +172,28 @@ def dmart_booktype_stock(inputs: Inputs) -> DataFrame:
             _or_zero(F.sum("_n")).alias("total_rent_per_type"),
         )
     )
+    return _with_stock(per_type, inputs)
+
+
+def _with_stock(per_type: DataFrame, inputs: Inputs) -> DataFrame:
     return per_type.join(stock_per_type(inputs), "book_type", "left").withColumn(
         "sisa_stock",
         _or_zero(F.col("stock_book_per_type")) - F.col("total_rent_per_type"),
     )
 
 
+def booktype_stock_from_days(gender_book: DataFrame, dim_books: DataFrame) -> DataFrame:
+    """The same from the stored counts per day, without touching the fact again."""
+    per_type = gender_book.groupBy("book_type").agg(
+        *[
+            _or_zero(F.sum(F.when(F.col("genre") == genre, F.col("total_rentals")))).alias(genre)
+            for genre in STOCK_GENRES
+        ],
+        _or_zero(F.sum("total_rentals")).alias("total_rent_per_type"),
+    )
+    return _with_stock(per_type, {"dim_books": dim_books})
+
+
 # The order each mart is shown in. Stored tables have none.
 SHOWN_BY = {
     "dmart_user_book": {"sum_of_book": False},

@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.joins import hot_keys
-from ..operators.merge import assert_unique, rows_after
+from ..operators.merge import rows_after
 from ..operators.metrics import metric_snapshot, with_cards
 from ..schemas import KEYS, LAYERS, METRIC_LABELS, TABLES, layer_name
 from ..sources.landing import (
     append_metrics, append_new_rows, ensure_layer, load_staging, on_days, stored, stored_days,
     stored_watermark, table_exists, upsert_table, write_csv, write_partitioned,
 )
-from ..sources.readers import daily_slice, normalize_ts
+from ..sources.readers import EmptySlice, daily_slice, normalize_ts
 from . import datamart, dimfact, preparation
 
 Extract = Callable[[str], DataFrame]
 
+# The table of days that marts owe, in the marts' database.
+OWED = "owed_days"
+
 # Mart -> its merge key and the column it is stored by (None: not by day).
 MARTS = {
     "dmart_user_book": (["user_id", "created_at_date"], "created_at_date"),
@@ -37,14 +41,16 @@ def daily_load(spark: SparkSession, extract: Extract, day: date | str, landing:
 
     ``extract(name)`` returns a source table, ``landing`` is a shared folder for
     the CSV files. ``through_csv=False`` stages the slice directly; times are cut
-    to seconds either way. Returns the tables that had rows; an empty slice
-    raises, or is passed over with ``on_empty="skip"``.
+    to seconds either way. Tables load independently: all that have rows are
+    loaded, then empty slices raise ``EmptySlice`` with the tables' names unless
+    ``on_empty="skip"``. Returns the tables that had rows.
     """
     database = ensure_layer(spark, layer_name("warehouse", layers))
-    loaded = []
+    loaded, empty = [], []
     for name, schema in TABLES.items():
-        batch = daily_slice(extract(name), day, exact=exact, on_empty=on_empty)
-        if on_empty == "skip" and batch.isEmpty():
+        batch = daily_slice(extract(name), day, exact=exact, on_empty="skip")
+        if batch.isEmpty():
+            empty.append(name)
             continue
         batch, staged = normalize_ts(batch.select(schema.names)), f"{database}.{name}_staging"
         if through_csv:
@@ -57,23 +63,28 @@ def daily_load(spark: SparkSession, extract: Extract, day: date | str, landing:
             staging = stored(spark, staged)
         append_new_rows(staging, f"{database}.{name}", KEYS[name])
         loaded.append(name)
+    if empty and on_empty == "error":
+        raise EmptySlice(f"no rows of {day} in {', '.join(empty)}")
     return loaded
 
 
 def run_layers(spark: SparkSession, sources: dict[str, DataFrame] | None = None,
                layers: dict = LAYERS, rebuild: bool = False, strict: bool = False,
-               recent_marts: bool = False) -> None:
+               recent_marts: bool = True) -> None:
     """Preparation, then dimensions and fact, then marts.
 
     ``sources`` default to the warehouse tables. The first six models take only
-    rows newer than what they hold; marts are computed anew and upserted, with
-    NULL as a key value. ``rebuild`` replaces everything instead. ``strict``
-    loads nothing into a table that exists but is empty.
-
-    ``recent_marts`` computes the marts per day only for the days that got new
-    rentals, and the shares from the stored counts. It gives the same tables as
-    long as a dimension key never gets a second row, which insert-only loads
-    ensure, and makes a daily run cost one day instead of the whole history.
+    rows newer than what they hold; marts are upserted, with NULL as a key value.
+    ``rebuild`` replaces everything instead. ``strict`` loads nothing into a table
+    that exists but is empty.
+
+    The marts per day are computed for the days that they still owe, and the other
+    two from the stored counts per day, so a daily run costs one day. Days are
+    noted in a table before the fact changes and crossed out when a mart is
+    written; a run that ended early or a backfill is so caught up by the next run,
+    and a mart that does not exist takes the whole fact. This gives the same tables
+    as long as a dimension key never gets a second row, which insert-only loads
+    ensure. ``recent_marts=False`` computes all marts from the whole fact.
     """
     names = {layer: layer_name(layer, layers) for layer in layers}
     for database in names.values():
@@ -99,30 +110,62 @@ def run_layers(spark: SparkSession, sources: dict[str, DataFrame] | None = None,
     table = f"{dimfact_db}.fact_rents"
     rents = _newer(spark, spark.table(f"{prep}.prep_rents"), table, rebuild, strict)
     delta = dimfact.fact_rents({"prep_rents": rents, **dims}, hot_keys(rents, "user_id", "book_id"))
-    days = _publish(delta, table, ["rent_id"], "created_at", rebuild, null_safe=False)
-    _run_marts(spark, spark.table(table), dims, names["datamart"], rebuild,
-               days if recent_marts else None)
+    database = names["datamart"]
+    _publish(delta, table, ["rent_id"], "created_at", rebuild, null_safe=False,
+             before=lambda days: note_days(spark, database, days))
+    _run_marts(spark, spark.table(table), dims, database, rebuild, recent_marts)
+
+
+# --- days that marts owe ---------------------------------------------------------
+def note_days(spark: SparkSession, database: str, days: set | None) -> None:
+    """Notes for every mart stored by day that it owes these days (``None``: all)."""
+    known = [None] if days is None else list(days)
+    rows = [(mart, day, days is None) for mart, (_, by) in MARTS.items() if by for day in known]
+    if rows:
+        noted = spark.createDataFrame(rows, "mart string, day date, whole boolean")
+        write_partitioned(noted, f"{database}.{OWED}", None, mode="append")
+
+
+def owed_days(spark: SparkSession, database: str, mart: str) -> set | None:
+    """The days a mart owes; ``None`` if it is to be computed from the whole fact."""
+    if not table_exists(spark, f"{database}.{mart}"):
+        return None
+    if not table_exists(spark, f"{database}.{OWED}"):
+        return set()
+    rows = spark.table(f"{database}.{OWED}").where(F.col("mart") == mart).distinct().collect()
+    return None if any(r["whole"] for r in rows) else {r["day"] for r in rows}
+
+
+def _settle(spark: SparkSession, database: str, mart: str) -> None:
+    table = f"{database}.{OWED}"
+    if table_exists(spark, table):
+        write_partitioned(spark.table(table).where(F.col("mart") != mart), table, None)
 
 
 def _run_marts(spark: SparkSession, fact: DataFrame, dims: dict[str, DataFrame], database: str,
-               rebuild: bool, days: set | None) -> None:
+               rebuild: bool, recent: bool) -> None:
     def publish(name: str, content: DataFrame) -> None:
         keys, by = MARTS[name]
         _publish(content, f"{database}.{name}", keys, by, rebuild, null_safe=True)
 
-    recent = fact if days is None else fact.where(on_days("created_date", days))
-    hot = hot_keys(recent, "user_id", "book_id")
-    if days is None or days or not table_exists(spark, f"{database}.dmart_gender_book"):
-        inputs = {"fact_rents": recent, **dims}
-        publish("dmart_user_book", datamart.dmart_user_book(inputs, hot=hot["book_id"]))
-        publish("dmart_gender_book", datamart.dmart_gender_book(inputs, hot["user_id"]))
-    inputs = {"fact_rents": fact, **dims}
-    if days is None:
-        publish("dmart_book_gender", datamart.dmart_book_gender(inputs, hot["user_id"]))
-    else:
+    makers = {"dmart_user_book": (datamart.dmart_user_book, "book_id"),
+              "dmart_gender_book": (datamart.dmart_gender_book, "user_id")}
+    for name, (make, spread_by) in makers.items():
+        days = owed_days(spark, database, name) if recent and not rebuild else None
+        if days is None or days:
+            part = fact if days is None else fact.where(on_days("created_date", days))
+            hot = hot_keys(part, spread_by)
+            publish(name, make({"fact_rents": part, **dims}, hot=hot[spread_by]))
+        _settle(spark, database, name)
+    if recent:
         counts = spark.table(f"{database}.dmart_gender_book")
         publish("dmart_book_gender", datamart.book_gender_from_days(counts))
-    publish("dmart_booktype_stock", datamart.dmart_booktype_stock(inputs))
+        publish("dmart_booktype_stock", datamart.booktype_stock_from_days(counts, dims["dim_books"]))
+    else:
+        inputs = {"fact_rents": fact, **dims}
+        hot = hot_keys(fact, "user_id")
+        publish("dmart_book_gender", datamart.dmart_book_gender(inputs, hot["user_id"]))
+        publish("dmart_booktype_stock", datamart.dmart_booktype_stock(inputs))
 
 
 def backfill_fact(spark: SparkSession, layers: dict = LAYERS) -> set:
@@ -130,7 +173,8 @@ def backfill_fact(spark: SparkSession, layers: dict = LAYERS) -> set:
 
     The regular run never looks at a rental again, so this is a job of its own.
     Only rentals with a gap are joined anew, and only their days are read from
-    the preparation layer. Returns the days that changed.
+    the preparation layer. Returns the days that changed; the marts owe them until
+    the next run.
     """
     prep, database = layer_name("preparation", layers), layer_name("dimfact", layers)
     table = f"{database}.fact_rents"
@@ -147,7 +191,9 @@ def backfill_fact(spark: SparkSession, layers: dict = LAYERS) -> set:
     filled = again.join(known, "rent_id").where(
         ~F.col("user_id").eqNullSafe(F.col("_user")) | ~F.col("book_id").eqNullSafe(F.col("_book"))
     )
-    return _publish(filled.select(again.columns), table, ["rent_id"], "created_at", False, False)
+    marts = ensure_layer(spark, layer_name("datamart", layers))
+    return _publish(filled.select(again.columns), table, ["rent_id"], "created_at", False, False,
+                    before=lambda days: note_days(spark, marts, days))
 
 
 def _newer(spark: SparkSession, source: DataFrame, table: str, rebuild: bool,
@@ -161,22 +207,25 @@ def _newer(spark: SparkSession, source: DataFrame, table: str, rebuild: bool,
 
 
 def _publish(delta: DataFrame, table: str, keys: list[str], ts: str | None, rebuild: bool,
-             null_safe: bool) -> set:
+             null_safe: bool, before: Callable[[set | None], None] | None = None) -> set:
     """Writes a model's result and tells the days it reached.
 
     A delta for a table that holds rows is stored first, so it is computed once.
+    ``before`` is told the days ahead of the write (``None``: the whole table).
     """
     spark = delta.sparkSession
     day = ts if ts == "created_at_date" else "created_date"
     if rebuild or not table_exists(spark, table):
+        if before:
+            before(None)
         write_partitioned(delta, table, ts, day=day)
         return stored_days(spark, table) if ts else set()
-    aside = f"{table}__delta"
+    aside = f"{table}__delta_{uuid.uuid4().hex[:8]}"
     write_partitioned(delta, aside, None)
     batch = spark.table(aside)
     days = set()
     if not batch.isEmpty():
-        days = upsert_table(assert_unique(batch, keys, null_safe), table, keys, ts, null_safe, day)
+        days = upsert_table(batch, table, keys, ts, null_safe, day, before=before)
     spark.sql(f"DROP TABLE {aside}")
     return days
 
@@ -185,7 +234,7 @@ def metric_feed(pages: DataFrame, table: str) -> bool:
     """Stored pages (html, created_at) to appended snapshots; incomplete pages are left out."""
     spark = pages.sparkSession
     complete = metric_snapshot(with_cards(pages), keep=())
-    aside = f"{table}__delta"
+    aside = f"{table}__delta_{uuid.uuid4().hex[:8]}"
     write_partitioned(complete, aside, None)
     done = append_metrics(spark.table(aside).select(*METRIC_LABELS, "created_at"), table)
     spark.sql(f"DROP TABLE {aside}")

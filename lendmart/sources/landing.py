@@ -6,13 +6,14 @@ by day. Nothing is deleted before its replacement is written.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..operators.joins import Hot
-from ..operators.merge import matched, new_rows, unmatched
+from ..operators.merge import assert_unique, matched, new_rows, unmatched
 
 DAY = "created_date"
 
@@ -139,7 +140,8 @@ class TooManyBadRows(ValueError):
 
 
 def parse_staging(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV rows cast to ``schema``, with ``_bad`` on those a load rejects.
+    """CSV rows cast to ``schema``, with ``_bad`` on those a load rejects, and for these
+    the values as read (``_row``) and the ``_reason``.
 
     All columns are read as text. A row is bad if it has too few values or a
     value that is no number or time where one is due. Extra values are ignored.
@@ -150,16 +152,21 @@ def parse_staging(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         **_CSV, mode="PERMISSIVE", columnNameOfCorruptRecord="_line", enforceSchema="true",
         columnPruning="false",
     ).csv(path)
-    # Only rows Spark flags for a wrong number of values carry their line.
-    values = F.size(F.split("_line", r',(?=(?:[^"]*"[^"]*")*[^"]*$)'))
-    bad = F.coalesce(values < len(names), F.lit(False))
+    # Only rows Spark flags for a wrong number of values carry their line. Cut at its
+    # quotes, every second piece lies outside them; doubled quotes leave an empty one.
+    outside = F.array_join(F.filter(F.split("_line", '"'), lambda _, i: i % 2 == 0), "")
+    values = F.length(outside) - F.length(F.replace(outside, F.lit(","), F.lit(""))) + 1
+    short = F.coalesce(values < len(names), F.lit(False))
+    bad, reason = short, F.when(short, F.lit("too few values"))
     cast: list[Column] = []
     for field in schema.fields:
         typed = F.col(field.name).try_cast(field.dataType)
         cast.append(typed.alias(field.name))
         if not isinstance(field.dataType, T.StringType):
-            bad = bad | (F.col(field.name).isNotNull() & typed.isNull())
-    return raw.select(*cast, bad.alias("_bad"))
+            wrong = F.col(field.name).isNotNull() & typed.isNull()
+            bad, reason = bad | wrong, reason.when(wrong, F.lit(f"{field.name} is no {field.dataType.simpleString()}"))
+    row = F.coalesce(F.col("_line"), F.to_csv(F.struct(*names)))
+    return raw.select(*cast, bad.alias("_bad"), F.when(bad, row).alias("_row"), reason.alias("_reason"))
 
 
 def load_staging(spark: SparkSession, path: str, schema: T.StructType, table: str,
@@ -168,6 +175,7 @@ def load_staging(spark: SparkSession, path: str, schema: T.StructType, table: st
 
     The file is parsed once: the rejected rows are counted while the others are
     written aside, and they reach the table only if the rejected are few enough.
+    Rejected rows, if any, go to ``<table>__rejected`` with their reason.
     A missing path raises ``FileNotFoundError``.
     """
     try:
@@ -179,11 +187,16 @@ def load_staging(spark: SparkSession, path: str, schema: T.StructType, table: st
     seen = Observation()
     counted = parsed.observe(seen, F.count_if("_bad").alias("bad"))
     aside = f"{table}__parsed"
-    write_partitioned(counted.where(~F.col("_bad")).drop("_bad"), aside, None)
+    write_partitioned(counted.where(~F.col("_bad")).select(schema.names), aside, None)
     rejected = seen.get["bad"]
     if rejected > max_bad:
         # Work repeated after a lost executor is observed twice, so count again.
         rejected = parsed.agg(F.count_if("_bad")).first()[0]
+    refused = f"{table}__rejected"
+    spark.sql(f"DROP TABLE IF EXISTS {refused}")
+    if rejected:
+        lines = parsed.where("_bad").select(F.col("_row").alias("line"), F.col("_reason").alias("reason"))
+        write_partitioned(lines, refused, None)
     if rejected <= max_bad:
         write_partitioned(spark.table(aside), table, ts)
     spark.sql(f"DROP TABLE {aside}")
@@ -214,13 +227,18 @@ def _within(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
 
 
 def upsert_table(delta: DataFrame, table: str, keys: list[str], ts: str | None = "created_at",
-                 null_safe: bool = False, day: str = DAY) -> set:
+                 null_safe: bool = False, day: str = DAY, checked: bool = False,
+                 before: Callable[[set], None] | None = None) -> set:
     """Upserts into a stored table, rewriting only the days it touches, which it returns.
 
     ``ts=None`` is for small tables not stored by day, which are replaced. The
-    delta must be cheap to read again, such as a stored table.
+    delta must be cheap to read again, such as a stored table. Raises
+    ``AmbiguousMerge`` if two delta rows claim one target row, unless ``checked``.
+    ``before`` is told the days before any of them is written.
     """
     spark = delta.sparkSession
+    if not checked:
+        assert_unique(delta, keys, null_safe)
     target = spark.table(table)
     if ts is None:
         kept = unmatched(target, delta, keys, null_safe)
@@ -238,6 +256,8 @@ def upsert_table(delta: DataFrame, table: str, keys: list[str], ts: str | None =
         )
     if not touched:
         return touched
+    if before:
+        before(touched)
     kept = unmatched(target.where(on_days(day, touched)), delta, keys, null_safe)
     gone = touched - arriving
     gone -= _days(kept.where(on_days(day, gone)), day) if gone else set()

@@ -92,14 +92,7 @@ def normalize_ts(df: DataFrame, cols=TIMESTAMP_COLUMNS) -> DataFrame:
     )
 
 
-def read_pages(spark: SparkSession, path: str, min_tasks: int | None = None) -> DataFrame:
-    """Stored pages (page_id, url, html).
-
-    A scan has no more tasks than the files have pieces. If that is fewer than
-    ``min_tasks`` the pages are dealt out before the parsing step; a data set of
-    many files is read as it lies, without a shuffle.
-    """
-    pages = spark.read.parquet(path)
-    if min_tasks and pages.rdd.getNumPartitions() < min_tasks:
-        pages = pages.repartition(min_tasks)
-    return pages
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Stored pages (page_id, url, html), read as the files lie; ``spark.sql.files``
+    settings decide how finely they are split."""
+    return spark.read.parquet(path)

@@ -133,7 +133,7 @@ def hot_references(spark: SparkSession, sf_dir: str) -> dict[str, Hot]:
     return {"user_id": both(owners), "book_id": both(parts)}
 
 
-def card_pages(spark: SparkSession, sf_dir: str, min_tasks: int | None = None) -> DataFrame:
+def card_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored pages, each with a block of metric cards ahead of its markup.
 
     The figures follow from ``page_id``. Every ninth page lacks the last card;
@@ -160,7 +160,7 @@ def card_pages(spark: SparkSession, sf_dir: str, min_tasks: int | None = None) -
         .otherwise(F.lit(""))
     )
     parts.append(card("Unlisted figure", F.lit("1")))
-    return read_pages(spark, f"{sf_dir}/pages.parquet", min_tasks).select(
+    return read_pages(spark, f"{sf_dir}/pages.parquet").select(
         "page_id",
         F.concat(F.lit("<section>"), *parts, F.lit("</section>"), F.col("html")).alias("html"),
         (F.to_timestamp_ntz(F.lit("2025-02-08 03:00:00"))

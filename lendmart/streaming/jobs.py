@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.landing import append_new_rows
+from ..sources.landing import append_new_rows, write_partitioned
 
 
 def stream_insert_only(src: DataFrame, table: str, key: str, checkpoint: str,
@@ -13,16 +13,17 @@ def stream_insert_only(src: DataFrame, table: str, key: str, checkpoint: str,
     """Keeps an insert-only table up to date from a stream of rows.
 
     A micro-batch may be delivered again after a failure. Each one is merged by
-    key, never blindly appended, so a repeat changes nothing.
+    key, never blindly appended, so a repeat changes nothing. The batch is staged as
+    a table: it is read for its key range, its keys and its rows. Bound its size at
+    the source, with ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``.
     """
+    staged = f"{table}__batch"
 
     def merge(batch: DataFrame, _: int) -> None:
-        # Read for its key range, its keys and its rows; fetched from the source once.
-        batch.persist()
-        try:
-            append_new_rows(batch, table, key, ts)
-        finally:
-            batch.unpersist()
+        spark = batch.sparkSession
+        write_partitioned(batch, staged, None)
+        append_new_rows(spark.table(staged), table, key, ts)
+        spark.sql(f"DROP TABLE {staged}")
 
     return (
         src.writeStream.foreachBatch(merge)

@@ -1,4 +1,4 @@
-"""Every registered query against its SQL counterpart, on whole tables."""
+"""Every rental query against its SQL counterpart, on whole tables."""
 
 from __future__ import annotations
 
@@ -30,10 +30,10 @@ def _plain(value):
 
 
 def test_every_query_has_sql():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert driver._rental_queries().keys() == driver._rental_sql().keys()
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(driver._rental_queries()))
 def test_query_equals_sql(spark, duck, name):
     df = driver.queries()[name](spark, SF)
     columns = sorted(df.columns)
