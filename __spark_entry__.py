@@ -9,17 +9,18 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T  # noqa: E402
 
 from lendmart.functions.scalars import metric_value  # noqa: E402
 from lendmart.operators import merge, metrics, quality  # noqa: E402
 from lendmart.plans import datamart, dimfact, layers, preparation  # noqa: E402
-from lendmart.schemas import GENRES, METRIC_LABELS, RENTS  # noqa: E402
+from lendmart.schemas import GENRES, LAYERS, METRIC_LABELS, RENTS  # noqa: E402
 from lendmart.session import shared_folder  # noqa: E402
 from lendmart.sources import landing, readers, rental_views  # noqa: E402
 from lendmart.streaming import jobs  # noqa: E402
@@ -119,7 +120,19 @@ def q_daily_slice(spark, sf_dir):
     )
 
 
+def q_normalize_ts_numeric(spark, sf_dir):
+    """Epoch milliseconds that arrive as double and as decimal, as nullable columns do."""
+    batch = _epoch_batch(spark, sf_dir)
+    return readers.normalize_ts(batch.withColumns({
+        "rent_date": F.col("rent_date").cast("double"), "return_date": F.col("return_date").cast("decimal(18,2)"),
+    }))
+
+
 def q_normalize_ts(spark, sf_dir):
+    return readers.normalize_ts(_epoch_batch(spark, sf_dir))
+
+
+def _epoch_batch(spark, sf_dir):
     rents = rental_views.rents(spark, sf_dir)
     epoch = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
 
@@ -131,11 +144,10 @@ def q_normalize_ts(spark, sf_dir):
             + 789
         )
 
-    batch = rents.select(
+    return rents.select(
         "rent_id", millis("rent_date").alias("rent_date"),
         millis("return_date").alias("return_date"), "created_at",
     )
-    return readers.normalize_ts(batch)
 
 
 def q_staging_load(spark, sf_dir):
@@ -331,6 +343,11 @@ def _rental_queries() -> dict[str, Query]:
         "stock_per_type": lambda s, d: datamart.stock_per_type({"dim_books": _dim_books(s, d)}),
         "daily_slice": q_daily_slice,
         "normalize_ts": q_normalize_ts,
+        "normalize_ts_numeric": q_normalize_ts_numeric,
+        "layered_run": q_layered_run,
+        "layered_run_after_failure": q_layered_run_after_failure,
+        "upsert_stored": q_upsert_stored,
+        "staging_rejects": q_staging_rejects,
         "staging_load": q_staging_load,
         "insert_only_merge": q_insert_only_merge,
         "watermark_delta": q_watermark_delta,
@@ -357,6 +374,89 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_user_book(spark, "/root/testdata/sf0.001")
 
 
+# --- stored runs ------------------------------------------------------------------
+def _layer_names() -> dict[str, str]:
+    tag = uuid.uuid4().hex[:8]
+    return {layer: f"lendmart_{layer}_{tag}" for layer in LAYERS}
+
+
+def _marts(spark, names) -> DataFrame:
+    """The four stored marts as one table of common columns."""
+    database = names["datamart"]
+    mart = lambda name: spark.table(f"{database}.{name}")
+    return reduce(DataFrame.unionAll, [
+        mart("dmart_user_book").selectExpr(
+            "'user_book' AS mart", "CAST(user_id AS STRING) AS a", "gender AS b", "email AS c",
+            "created_at_date AS day", "sum_of_book AS n", "avg_rent_duration AS x"),
+        mart("dmart_gender_book").selectExpr(
+            "'gender_book' AS mart", "gender AS a", "book_type AS b", "genre AS c",
+            "created_at_date AS day", "total_rentals AS n", "CAST(NULL AS DOUBLE) AS x"),
+        mart("dmart_book_gender").selectExpr(
+            "'book_gender' AS mart", "gender AS a", "book_type AS b", "genre AS c",
+            "CAST(NULL AS DATE) AS day", "total_rentals_gender AS n", "percentage_per_gender AS x"),
+        mart("dmart_booktype_stock").selectExpr(
+            "'booktype_stock' AS mart", "book_type AS a", "CAST(NULL AS STRING) AS b", "CAST(NULL AS STRING) AS c",
+            "CAST(NULL AS DATE) AS day", "total_rent_per_type AS n", "CAST(sisa_stock AS DOUBLE) AS x"),
+    ])
+
+
+def _layered(spark, sf_dir, broken: bool) -> DataFrame:
+    sources, names = _sources(spark, sf_dir), _layer_names()
+    for database in names.values():
+        landing.ensure_layer(spark, database, shared_folder(spark, database))
+    layers.run_layers(spark, sources | {"rents": _before(sources["rents"])}, names)
+    if broken:  # ends after the fact is published
+        layers.run_models(spark, sources, names)
+    layers.run_layers(spark, sources, names)
+    return _marts(spark, names)
+
+
+def q_layered_run(spark, sf_dir):
+    """Two batches of rentals through all layers."""
+    return _layered(spark, sf_dir, False)
+
+
+def q_layered_run_after_failure(spark, sf_dir):
+    """The same, with a second run that ended before the marts and was repeated."""
+    return _layered(spark, sf_dir, True)
+
+
+def q_upsert_stored(spark, sf_dir):
+    """A stored upsert whose rows move to the next day."""
+    rents = _sources(spark, sf_dir, "rents")["rents"]
+    table = _scratch_database(spark, "upsert") + ".rents"
+    landing.write_partitioned(_before(rents), table)
+    moved = _from(rents).withColumn("created_at", F.col("created_at") + F.expr("INTERVAL '1' DAY"))
+    aside = f"{table}_delta"
+    landing.write_partitioned(moved, aside, None)
+    landing.upsert_table(spark.table(aside), table, ["rent_id"])
+    return landing.stored(spark, table)
+
+
+REJECTS = T.StructType([
+    T.StructField("id", T.LongType()), T.StructField("name", T.StringType()), T.StructField("created_at", T.TimestampNTZType()),
+])
+
+
+def q_staging_rejects(spark, sf_dir):
+    """A CSV file with too few, too many and ill-typed values: what is staged, what is not."""
+    customer = rental_views.table(spark, sf_dir, "customer")
+    key, kind = F.col("c_custkey").cast("string"), F.col("c_custkey") % 4
+    name, time = F.concat(F.lit('"'), "c_name", F.lit(', ""x"""')), F.lit("2024-05-06 07:08:09")
+    line = (
+        F.when(kind == 1, F.concat_ws(",", key, name)).when(kind == 2, F.concat_ws(",", key, name, time, F.lit("more")))
+        .when(kind == 3, F.concat_ws(",", F.concat(F.lit("x"), key), name, time)).otherwise(F.concat_ws(",", key, name, time))
+    )
+    path = shared_folder(spark, "rejects")
+    customer.select(line.alias("line")).write.option("header", "false").text(path)
+    table = _scratch_database(spark, "rejects") + ".customers"
+    staged = landing.load_staging(spark, path, REJECTS, table, max_bad=customer.count(), header=False)
+    refused = spark.table(f"{table}__rejected")
+    return staged.selectExpr("'staged' AS fate", "CAST(id AS STRING) AS what", "name", "CAST(NULL AS STRING) AS reason").unionAll(
+        refused.selectExpr("'rejected' AS fate", "regexp_extract(line, '^[^,]*', 0) AS what", "CAST(NULL AS STRING) AS name", "reason")
+    )
+
+
 # --- SQL counterparts ------------------------------------------------------------------
 _USERS = """users AS (
   SELECT c_custkey AS user_id, c_name AS name,
@@ -556,7 +656,7 @@ def _rental_sql() -> dict[str, str]:
     dim_books = f"""WITH {_BOOKS}
 SELECT book_id, title, author, book_type, genre, release_year, stock, created_at FROM books"""
     text = "strftime({}, '%Y-%m-%d %H:%M:%S')"
-    return {
+    sql = {
         "prep_users": dim_users,
         "prep_books": dim_books,
         "prep_rents": f"WITH {_RENTS} SELECT * FROM rents",
@@ -649,3 +749,25 @@ GROUP BY CAST(ts AS DATE), event_type
 HAVING CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY
        <= (SELECT max(ts) FROM events) - INTERVAL {EVENT_DELAY_DAYS} DAY""",
     }
+    numeric = {"normalize_ts_numeric": sql["normalize_ts"]}
+    stored = {
+        "upsert_stored": f"""WITH {_RENTS}, {target},
+batch AS (SELECT rent_id, user_id, book_id, rent_date, return_date, created_at + INTERVAL 1 DAY AS created_at
+          FROM rents WHERE created_at >= TIMESTAMP '{BATCH_START}')
+SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.rent_id = t.rent_id)
+UNION ALL SELECT rent_id, user_id, book_id, rent_date, return_date, created_at FROM batch""",
+        "staging_rejects": """SELECT CASE WHEN c_custkey % 4 IN (1, 3) THEN 'rejected' ELSE 'staged' END AS fate,
+  CASE WHEN c_custkey % 4 = 3 THEN 'x' ELSE '' END || c_custkey AS what,
+  CASE WHEN c_custkey % 4 IN (0, 2) THEN c_name || ', "x"' END AS name,
+  CASE c_custkey % 4 WHEN 1 THEN 'too few values' WHEN 3 THEN 'id is no bigint' END AS reason
+FROM customer""",
+    }
+    marts = f"""SELECT 'user_book' AS mart, CAST(user_id AS VARCHAR) AS a, gender AS b, email AS c,
+  created_at_date AS day, sum_of_book AS n, avg_rent_duration AS x FROM ({sql["dmart_user_book"]}) u
+UNION ALL SELECT 'gender_book', gender, book_type, genre, created_at_date, total_rentals, NULL
+FROM ({sql["dmart_gender_book"]}) g
+UNION ALL SELECT 'book_gender', gender, book_type, genre, NULL, total_rentals_gender, percentage_per_gender
+FROM ({sql["dmart_book_gender"]}) s
+UNION ALL SELECT 'booktype_stock', book_type, NULL, NULL, NULL, total_rent_per_type, CAST(sisa_stock AS DOUBLE)
+FROM ({sql["dmart_booktype_stock"]}) t"""
+    return sql | numeric | stored | {"layered_run": marts, "layered_run_after_failure": marts}

@@ -86,6 +86,13 @@ def run_layers(spark: SparkSession, sources: dict[str, DataFrame] | None = None,
     as long as a dimension key never gets a second row, which insert-only loads
     ensure. ``recent_marts=False`` computes all marts from the whole fact.
     """
+    run_models(spark, sources, layers, rebuild, strict)
+    run_marts(spark, layers, rebuild, recent_marts)
+
+
+def run_models(spark: SparkSession, sources: dict[str, DataFrame] | None = None,
+               layers: dict = LAYERS, rebuild: bool = False, strict: bool = False) -> None:
+    """The first part of ``run_layers``: preparation, dimensions and fact."""
     names = {layer: layer_name(layer, layers) for layer in layers}
     for database in names.values():
         ensure_layer(spark, database)
@@ -113,7 +120,6 @@ def run_layers(spark: SparkSession, sources: dict[str, DataFrame] | None = None,
     database = names["datamart"]
     _publish(delta, table, ["rent_id"], "created_at", rebuild, null_safe=False,
              before=lambda days: note_days(spark, database, days))
-    _run_marts(spark, spark.table(table), dims, database, rebuild, recent_marts)
 
 
 # --- days that marts owe ---------------------------------------------------------
@@ -142,8 +148,13 @@ def _settle(spark: SparkSession, database: str, mart: str) -> None:
         write_partitioned(spark.table(table).where(F.col("mart") != mart), table, None)
 
 
-def _run_marts(spark: SparkSession, fact: DataFrame, dims: dict[str, DataFrame], database: str,
-               rebuild: bool, recent: bool) -> None:
+def run_marts(spark: SparkSession, layers: dict = LAYERS, rebuild: bool = False,
+              recent: bool = True) -> None:
+    """The second part of ``run_layers``: the marts, from the stored fact and dimensions."""
+    source, database = layer_name("dimfact", layers), layer_name("datamart", layers)
+    fact = spark.table(f"{source}.fact_rents")
+    dims = {name: stored(spark, f"{source}.{name}") for name in ("dim_users", "dim_books")}
+
     def publish(name: str, content: DataFrame) -> None:
         keys, by = MARTS[name]
         _publish(content, f"{database}.{name}", keys, by, rebuild, null_safe=True)

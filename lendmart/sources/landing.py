@@ -139,7 +139,7 @@ class TooManyBadRows(ValueError):
     """More rejected rows than the budget allows."""
 
 
-def parse_staging(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def parse_staging(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
     """CSV rows cast to ``schema``, with ``_bad`` on those a load rejects, and for these
     the values as read (``_row``) and the ``_reason``.
 
@@ -149,7 +149,7 @@ def parse_staging(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     names = schema.names
     text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_line"]])
     raw = spark.read.schema(text).options(
-        **_CSV, mode="PERMISSIVE", columnNameOfCorruptRecord="_line", enforceSchema="true",
+        **{**_CSV, "header": str(header).lower()}, mode="PERMISSIVE", columnNameOfCorruptRecord="_line", enforceSchema="true",
         columnPruning="false",
     ).csv(path)
     # Only rows Spark flags for a wrong number of values carry their line. Cut at its
@@ -170,7 +170,8 @@ def parse_staging(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def load_staging(spark: SparkSession, path: str, schema: T.StructType, table: str,
-                 max_bad: int = MAX_BAD, ts: str | None = "created_at") -> DataFrame:
+                 max_bad: int = MAX_BAD, ts: str | None = "created_at",
+                 header: bool = True) -> DataFrame:
     """Replaces a staging table by a CSV folder, allowing ``max_bad`` rejected rows.
 
     The file is parsed once: the rejected rows are counted while the others are
@@ -179,7 +180,7 @@ def load_staging(spark: SparkSession, path: str, schema: T.StructType, table: st
     A missing path raises ``FileNotFoundError``.
     """
     try:
-        parsed = parse_staging(spark, path, schema)
+        parsed = parse_staging(spark, path, schema, header)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             raise FileNotFoundError(path) from error
