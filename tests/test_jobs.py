@@ -114,6 +114,50 @@ def test_empty_target_and_empty_day(spark, layers, tmp_path):
     assert table(spark, layers, "dimfact", "fact_rents").count() == 4
 
 
+def expected_marts(spark, layers):
+    inputs = {"fact_rents": table(spark, layers, "dimfact", "fact_rents").drop("created_date"),
+              "dim_users": table(spark, layers, "dimfact", "dim_users").drop("created_date"),
+              "dim_books": table(spark, layers, "dimfact", "dim_books").drop("created_date")}
+    return {name: rows(getattr(datamart, name)(inputs)) for name in jobs.MARTS}
+
+
+def stored_marts(spark, layers):
+    return {name: rows(table(spark, layers, "datamart", name)) for name in jobs.MARTS}
+
+
+@pytest.mark.parametrize("first", [True, False])
+def test_run_that_ended_before_the_marts_is_caught_up(spark, layers, first):
+    tables = source(spark)
+    if not first:
+        early = tables["rents"].where(F.to_date("created_at") <= F.lit(date(2025, 1, 1)))
+        jobs.run_layers(spark, tables | {"rents": early}, layers)
+    jobs.run_models(spark, tables, layers)
+    jobs.run_layers(spark, tables, layers)
+    assert stored_marts(spark, layers) == expected_marts(spark, layers)
+    assert not any(jobs.owed_days(spark, layers["datamart"], name) for name in jobs.MARTS)
+
+
+def test_marts_follow_a_backfill(spark, layers):
+    tables = source(spark)
+    # user 3 reaches the dimensions after the rentals
+    jobs.run_layers(spark, tables | {"users": tables["users"].where("user_id < 3")}, layers)
+    jobs.run_layers(spark, tables, layers)
+    days = jobs.backfill_fact(spark, layers)
+    assert days and jobs.owed_days(spark, layers["datamart"], "dmart_user_book") == days
+    jobs.run_layers(spark, tables, layers)
+    found = table(spark, layers, "datamart", "dmart_user_book").where("user_id = 3")
+    want = [r for r in expected_marts(spark, layers)["dmart_user_book"] if r[0] == 3]
+    assert want and rows(found) == want
+
+
+def test_empty_table_stops_no_other(spark, layers, tmp_path):
+    tables = source(spark)
+    late = tables | {"users": tables["users"].limit(0)}
+    with pytest.raises(EmptySlice, match="users"):
+        jobs.daily_load(spark, late.get, D1, str(tmp_path), layers)
+    assert not table(spark, layers, "warehouse", "books").isEmpty()
+
+
 def test_watermark_prunes_days(spark, layers):
     tables = source(spark)
     jobs.run_layers(spark, tables, layers)

@@ -215,3 +215,22 @@ def test_layer_names():
 
 def test_schemas_hold_the_keys():
     assert USERS.names[0] == "user_id" and RENTS.names[0] == "rent_id"
+
+
+def test_one_hostile_row_costs_one_bad_row(spark, tmp_path, database):
+    """Very many quotes in one row, with a value too many or too few."""
+    quoted = '"' + '""' * 100_000 + '"'
+    path = _csv(tmp_path, "1,a,2025-01-01 00:00:00", f"2,{quoted},2025-01-01 00:00:00,more", f"3,{quoted}")
+    table = f"{database}.staging"
+    staged = landing.load_staging(spark, path, ITEM, table, max_bad=1)
+    assert sorted(r.id for r in staged.collect()) == [1, 2]
+    refused = spark.table(f"{table}__rejected").collect()
+    assert [r.reason for r in refused] == ["too few values"] and refused[0].line.startswith("3,")
+
+
+def test_epochs_of_every_numeric_type(spark):
+    for kind in ("bigint", "double", "decimal(18,3)"):
+        df = spark.sql(f"SELECT CAST(1736467200789 AS {kind}) AS created_at")
+        assert readers.normalize_ts(df).first()[0] == "2025-01-10 00:00:00"
+    with pytest.raises(TypeError):
+        readers.normalize_ts(spark.sql("SELECT true AS created_at"))

@@ -193,3 +193,19 @@ def test_upsert_leaves_other_days_alone(spark, database):
     after = {r[0] for r in spark.table(table).where("k = 1").selectExpr("_metadata.file_name").collect()}
     assert before == after
     assert sorted(r.v for r in spark.table(table).collect()) == ["B", "a"]
+
+
+def test_upsert_refuses_an_ambiguous_delta(spark):
+    target = spark.createDataFrame([(1, "old")], "k int, v string")
+    delta = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    with pytest.raises(merge.AmbiguousMerge):
+        merge.upsert(target, delta, "k")
+    assert merge.upsert(target, delta, "k", checked=True).count() == 2
+
+
+def test_null_safe_upsert_spreads_null_keys(spark):
+    target = spark.range(500).selectExpr("CAST(NULL AS INT) AS k", "id AS v")
+    delta = spark.createDataFrame([(None, -1), (2, -2)], "k int, v long")
+    kept = merge.upsert(target, delta, "k", null_safe=True)
+    assert sorted(r.v for r in kept.collect()) == [-2, -1]
+    assert "pmod" in kept._jdf.queryExecution().executedPlan().toString()
