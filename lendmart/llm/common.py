@@ -39,10 +39,14 @@ def ship(spark: SparkSession) -> None:
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
-    Cuts the lineage: a lost executor costs a read, not the steps before.
+    Cuts the lineage: a lost executor costs a read, not the steps before. The table is
+    removed when the driver ends.
     """
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
+    context = df.sparkSession.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
