@@ -286,13 +286,16 @@ def library():
     return Tokenizer.from_file(PATH)
 
 
-def test_bpe_equals_the_library(texts):
+def made_texts():
     rng = random.Random(1)
     parts = ["a", "aa", "b", "ab", " ", "  ", "\n", "é", "中", "🙂", "'s", "1", "<|endoftext|>", "!", "\x1c", "\u0085",
              " th", "ing", "e", "r", "ſ", "Ⅷ", "²", "́"]
     made = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(3000)]
-    made += ["a" * 5000, "ab" * 3000, "x" + " " * 999, "<|endoftext|>" * 3, ""]
-    mine, other = bpe.Bpe(PATH), library()
+    return made + ["a" * 5000, "ab" * 3000, "x" + " " * 999, "x" + " \n" * 2500, "<|endoftext|>" * 3, ""]
+
+
+def test_bpe_equals_the_library(texts):
+    made, mine, other = made_texts(), bpe.Bpe(PATH), library()
     for text, ids in zip([*made, *texts.values()], mine.encode([*made, *texts.values()])):
         expected = other.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(ids, "<u4").tolist() == expected
@@ -527,6 +530,21 @@ def check_pieces(pieces, texts):
         assert sum(n for _, n in parts) == min(2048, total - 2048 * sequence)
 
 
+def test_packing_ids_equal_the_library(texts):
+    all_texts, other = [*made_texts(), *texts.values()], library()
+    for text, ids in zip(all_texts, packing.id_encoder(PATH)(all_texts)):
+        assert ids.tolist() == other.encode(text, add_special_tokens=False).ids
+    assert [i.tolist() for i in packing.id_encoder(PATH)([None])] == [[]]
+
+
+def test_packing_sees_files_that_merge_otherwise():
+    odd, twice = bpe.Bpe(PATH), bpe.Bpe(PATH)
+    assert packing._by_rank(odd)
+    odd.odd[300] = True
+    twice.made = [*twice.made[:-1], twice.made[0]]
+    assert not packing._by_rank(odd) and not packing._by_rank(twice)
+
+
 def test_packing_query(spark, texts):
     check_pieces(registry.op10_packing(spark, SF).collect(), list(texts.items()))
 
