@@ -55,19 +55,22 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(
-    docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None
 ) -> DataFrame:
-    """(id, print) per row of ``docs``; the fingerprint as the signed long of its bits."""
+    """(id, print) per row of ``docs``; the fingerprint as the signed long of its bits.
+    ``row_col``, a long, is passed on in front."""
 
     def make():
-        def work(ids, texts):
-            prints = (fingerprint(t, shingle) for t in texts)
-            return [(i, p - (p >> 63 << 64)) for i, p in zip(ids, prints)]
+        def work(*columns):
+            prints = (fingerprint(t, shingle) for t in columns[-1])
+            return [(*own, p - (p >> 63 << 64)) for *own, p in zip(*columns[:-1], prints)]
 
         return work
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_rows(docs, [id_col, text_col], make, f"`{id_col}` {kind}, print long")
+    row = [row_col] if row_col else []
+    schema = "".join(f"`{c}` long, " for c in row) + f"`{id_col}` {kind}, print long"
+    return map_rows(docs, [*row, id_col, text_col], make, schema)
 
 
 def _quarters(prints: np.ndarray) -> np.ndarray:
@@ -172,10 +175,12 @@ def print_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def near_groups(
-    docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text",
+    row_col: str | None = None,
 ) -> DataFrame:
-    """(id, print, component): the least id reachable over links of ``radius`` bits or fewer."""
-    prints = stored(fingerprints(docs, shingle, id_col, text_col), "simhash")
+    """(id, print, component): the least id reachable over links of ``radius`` bits or fewer.
+    ``row_col``, a long, is passed on in front."""
+    prints = stored(fingerprints(docs, shingle, id_col, text_col, row_col), "simhash")
     distinct = stored(prints.groupBy("print").agg(F.min(id_col).alias("least")), "simhash")
     roots = components(stored(print_links(distinct, radius), "simhash"), "simhash")
     rooted = distinct.join(roots.withColumnRenamed("node", "print"), "print", "left").withColumn(
@@ -183,11 +188,17 @@ def near_groups(
     )
     least = rooted.groupBy("root").agg(F.min("least").alias("component"))
     named = rooted.select("print", "root").join(least, "root").select("print", "component")
-    return prints.join(named, "print").select(id_col, "print", "component")
+    row = [row_col] if row_col else []
+    return prints.join(named, "print").select(*row, id_col, "print", "component")
 
 
-def unique_documents(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id") -> DataFrame:
-    """The documents whose id is the least of their group, all columns."""
-    groups = near_groups(docs, shingle, radius, id_col)
-    keep = groups.where(F.col(id_col).eqNullSafe(F.col("component"))).select(F.col(id_col).alias("kept_id")).distinct()
-    return docs.join(keep, docs[id_col].eqNullSafe(keep["kept_id"]), "left_semi")
+def unique_documents(
+    docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The documents whose id is the least of their group, all columns. Rows that share an
+    id, null included, but not the text are judged each by its own group."""
+    own = docs.select(F.xxhash64(text_col).alias("kept_row"), docs[id_col].alias("kept_id"), docs[text_col].alias("kept_text"))
+    groups = near_groups(own, shingle, radius, "kept_id", "kept_text", "kept_row")
+    keep = groups.where(F.col("kept_id").eqNullSafe(F.col("component"))).select("kept_id", "kept_row").distinct()
+    same = docs[id_col].eqNullSafe(keep["kept_id"]) & (F.xxhash64(docs[text_col]) == keep["kept_row"])
+    return docs.join(keep, same, "left_semi")

@@ -215,6 +215,13 @@ def test_simhash_odd_cases(odd, none):
     assert simhash_near.unique_documents(odd).columns == odd.columns
 
 
+def test_unique_documents_judges_rows_of_one_id_apart(spark):
+    one, other = "a text of words that is said by two rows", "something else that no other row has at all"
+    rows = [(1, one), (None, one), (None, other), (None, None), (7, one), (7, "a third text with words of its own alone")]
+    got = simhash_near.unique_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(map(tuple, got)) == Counter([rows[0], rows[2], rows[3], rows[5]])
+
+
 # --- 3 lines ------------------------------------------------------------------------------
 def plain_line_dedup(docs):
     """docs: (id, text). Exact copies and every pair of lines within the radius."""
@@ -281,6 +288,19 @@ def test_line_dedup_odd_cases(odd, none):
     assert line_dedup.without_repeats(none).isEmpty()
 
 
+def test_line_dedup_of_rows_that_share_an_id(spark):
+    line = {c: " ".join(f"{c}{k}" for k in range(9)) for c in "abcdefg"}
+    text = lambda letters: "\n".join(line[c] for c in letters)
+    rows = [(i, text(t)) for i, t in ((None, "ab"), (None, "ca"), (None, "db"), (8, "ef"), (8, "ge"), (9, "ga"), (9, "ga"))]
+    got = line_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"), count_col="n").collect()
+    # One b goes, and it is the one of the two that comes second by the hash of its text.
+    bs = [r for r in got if r["doc_id"] is None and line["b"] in r["text"]]
+    assert len(bs) == 1
+    whole = [(None, text("ab"), 0), (None, text("d"), 1)] if line["a"] in bs[0]["text"] else [(None, text("a"), 1), (None, text("db"), 0)]
+    assert Counter(map(tuple, got)) == Counter([
+        *whole, (None, text("c"), 1), (8, text("ef"), 0), (8, text("g"), 1), (9, "", 2), (9, "", 2)])
+
+
 # --- 4 BPE ---------------------------------------------------------------------------------
 def library():
     return Tokenizer.from_file(PATH)
