@@ -43,7 +43,7 @@ def op2_simhash_near_dedup(spark, sf_dir):
 
 def op3_line_dedup(spark, sf_dir):
     kept = line_dedup.without_repeats(
-        table(spark, sf_dir, "documents").select("doc_id", "text"), count_col="n_removed"
+        table(spark, sf_dir, "documents").select("doc_id", "text"), count_col="n_removed", short_lines=True
     )
     return kept.select("doc_id", "n_removed", "text")
 

@@ -301,6 +301,26 @@ def test_line_dedup_of_rows_that_share_an_id(spark):
         *whole, (None, text("c"), 1), (8, text("ef"), 0), (8, text("g"), 1), (9, "", 2), (9, "", 2)])
 
 
+def test_line_dedup_of_short_lines(spark):
+    rng = random.Random(4)
+    han = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(400))
+    other = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(400))
+    rows = [
+        (1, f"Share this\n{han}\n-----\nA"), (2, f"share  THIS!\n{han[:200]}新{han[201:]}\n-----\nb"),
+        (3, f"share that\n{han}\n{other}\na"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.without_repeats(frame, short_lines=True).collect()}
+    assert got == {1: rows[0][1], 2: "-----\nb", 3: f"share that\n{other}"}
+
+
+def test_line_dedup_query_takes_short_lines_out(spark, texts):
+    norm = lambda line: regex.sub(r"[^\p{L}\p{N}]+", " ", line.lower()).strip(" ")
+    lines = Counter(
+        norm(line) for r in registry.op3_line_dedup(spark, SF).collect() for line in (r["text"] or "").split("\n"))
+    assert [line for line, n in lines.items() if line and n > 1] == []
+
+
 # --- 4 BPE ---------------------------------------------------------------------------------
 def library():
     return Tokenizer.from_file(PATH)
