@@ -2,7 +2,8 @@
 
 Numbers and dates are validated first: card numbers by the Luhn sum, account numbers by
 their remainder of 97, social security numbers by their ranges, addresses of machines by
-their octets, telephone numbers by their length, dates by the calendar; mail addresses by
+their octets or groups, telephone numbers by their length (national, with a trunk prefix 1 or 0,
+and with + or 00), dates by the calendar, in figures or with the month's name; mail addresses by
 their form. What is valid is ranked within its format, the rank is permuted, and the result
 written in the same format, so it is valid again and equal values stay equal in all
 documents, however they were spaced.
@@ -17,6 +18,7 @@ same start the first in the order of ``FINDERS``.
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 from collections.abc import Callable
 from datetime import date, timedelta
@@ -166,6 +168,70 @@ def _date(m: re.Match, key: bytes) -> str | None:
     return None
 
 
+#: Names of the months, a style a row; a name in two rows belongs to the first.
+MONTHS = tuple(row.split() for row in (
+    "january february march april may june july august september october november december",
+    "jan feb mar apr may jun jul aug sep oct nov dec",
+    "januar februar märz april mai juni juli august september oktober november dezember",
+    "janvier février mars avril mai juin juillet août septembre octobre novembre décembre",
+    "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre",
+))
+_MONTH = {name: (row, k) for row in reversed(MONTHS) for k, name in enumerate(row, 1)} | {"sept": (MONTHS[1], 9)}
+
+
+def _named_date(m: re.Match, key: bytes) -> str | None:
+    """A date with the month's name; the rank is that of the date in figures."""
+    row, month = _MONTH[m["month"].lower()]
+    try:
+        day = date(int(m["year"]), month, int(m["day"]))
+    except ValueError:
+        return None
+    new = FIRST_DAY + timedelta(Permutation(key, b"date", DAYS)((day - FIRST_DAY).days))
+    name, old = row[new.month - 1], m["month"]
+    name = name.upper() if old.isupper() else name if old.islower() else name.capitalize()
+    th = m["th"] or ""
+    if th.lower() in ("st", "nd", "rd", "th"):
+        th = "th" if 11 <= new.day <= 13 else {1: "st", 2: "nd", 3: "rd"}.get(new.day % 10, "th")
+    figures = str(new.day).rjust(2 if m["day"][0] == "0" else 1, "0")
+    parts = {"day": figures, "th": th, "month": name, "year": str(new.year)}
+    out, at = [], m.start()
+    for group in sorted((g for g in parts if m[g] is not None), key=m.start):
+        out += [m.string[at : m.start(group)], parts[group]]
+        at = m.end(group)
+    return "".join(out)
+
+
+class _EndsInYear:
+    """Dates with named months: looked for before each year, so a text without costs a search."""
+
+    year = re.compile(r"(?:19|20)[0-9]{2}(?![0-9A-Za-z])")
+    _names = "(?P<month>" + "|".join(sorted(_MONTH, key=len, reverse=True)) + ")"
+    patterns = tuple(re.compile(p + r"(?P<year>[0-9]{4})\Z", re.I) for p in (
+        r"(?<![^\W_])(?<![0-9][-/.])(?P<day>[0-9]{1,2})(?P<th>st|nd|rd|th|er|\.|º)?[ -](?:of |de )?" + _names + r"\.?(?:, ?| de | del |[ -])",
+        r"(?<![^\W_])" + _names + r"\.?[ -](?:the )?(?P<day>[0-9]{1,2})(?P<th>st|nd|rd|th)?(?:, ?|[ -])",
+    ))
+
+    @classmethod
+    def finditer(cls, text: str):
+        for year in cls.year.finditer(text):
+            for pattern in cls.patterns:
+                if m := pattern.search(text, max(0, year.start() - 32), year.end()):
+                    yield m
+                    break
+
+
+def _machine_v6(m: re.Match, key: bytes) -> str | None:
+    if not _DIGIT.search(m[0]):
+        return None
+    try:
+        own = ipaddress.IPv6Address(m[0])
+    except ValueError:
+        return None
+    new = ipaddress.IPv6Address(Permutation(key, b"machine6", 1 << 128)(int(own)))
+    out = new.compressed if "::" in m[0] else new.exploded
+    return out.upper() if m[0] == m[0].upper() and m[0] != m[0].lower() else out
+
+
 def _machine(m: re.Match, key: bytes) -> str | None:
     octets = m[0].split(".")
     if any(int(o) > 255 or o != str(int(o)) for o in octets):
@@ -176,12 +242,24 @@ def _machine(m: re.Match, key: bytes) -> str | None:
 
 def _telephone(m: re.Match, key: bytes) -> str | None:
     digits = _only_digits(m[0])
-    if m[0][0] == "+":
+    head = ""
+    if m[0][0] == "+" or digits[:2] == "00":
+        if m[0][0] != "+":
+            head, digits = "00", digits[2:]
         if not 8 <= len(digits) <= 15:
             return None
         country = digits[:1] if digits[0] in "17" else digits[:2]
         if country[0] == "0":
             return None
+    elif len(digits) == 11 and digits[0] == "1":
+        country = "1"  # the trunk prefix of +1
+    elif digits[0] == "0":
+        # After another trunk prefix the country is unknown; the next digit is never 0.
+        if not 9 <= len(digits) <= 12:
+            return None
+        least = 10 ** (len(digits) - 2)
+        own = Permutation(key, b"telephone/0", 9 * least)(int(digits) - least)
+        return _refill(m[0], "0" + str(own + least))
     else:
         country = ""
         if len(digits) != 10 or digits[0] in "01":
@@ -189,9 +267,10 @@ def _telephone(m: re.Match, key: bytes) -> str | None:
     own = digits[len(country) :]
     tweak = b"telephone/" + (country or "1").encode()
     new = Permutation(key, tweak, 10 ** len(own))(int(own))
-    return _refill(m[0], country + str(new).rjust(len(own), "0"))
+    return _refill(m[0], head + country + str(new).rjust(len(own), "0"))
 
 
+_DIGIT = re.compile("[0-9]")
 _EDGE = r"(?<![0-9A-Za-z])"
 _STOP = r"(?![0-9A-Za-z])"
 FINDERS: tuple[tuple[str, re.Pattern, Callable], ...] = (
@@ -202,17 +281,19 @@ FINDERS: tuple[tuple[str, re.Pattern, Callable], ...] = (
     ("card", re.compile(_EDGE + r"(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,18}+(?![0-9A-Za-z]|[ -][0-9])"), _card),
     ("social", re.compile(_EDGE + r"(?<![0-9]-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])"), _social),
     ("date", re.compile(
-        _EDGE + r"(?<![0-9][-/.])(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})(?![0-9A-Za-z]|[-/.][0-9])"
+        _EDGE + r"(?<![0-9][-/.])(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})(?:(?=T[0-9]{2}(?::?[0-9]{2})?)|(?![0-9A-Za-z]|[-/.][0-9]))"
     ), _date),
+    ("date", _EndsInYear, _named_date),
     ("machine", re.compile(_EDGE + r"(?<![0-9]\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])"), _machine),
+    ("machine", re.compile(
+        r"(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f]{0,4}:)(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![0-9A-Za-z:]|\.[0-9])"
+    ), _machine_v6),
     ("telephone", re.compile(
-        r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9A-Za-z])"
-        r"|" + _EDGE + r"(?<![0-9][ .-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z]|[ .-][0-9])"
+        r"(?:(?<![0-9A-Za-z+])\+|(?<![0-9A-Za-z+])(?<![0-9][ .-])00[ .-]?(?=[1-9]))[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9A-Za-z])"
+        r"|" + _EDGE + r"(?<![0-9][ .-])(?:1[ .-]|1(?=\())?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z]|[ .-][0-9])"
+        r"|" + _EDGE + r"(?<![0-9][ .-])(?:\(0[1-9][0-9]{1,4}\) ?|0[1-9][0-9]{1,4}[ /-])[0-9]{3,8}(?:[ -][0-9]{2,4}){0,3}(?![0-9A-Za-z]|[ .-][0-9])"
     ), _telephone),
 )
-_DIGIT = re.compile("[0-9]")
-
-
 def pseudonymise(text: str | None, key: bytes) -> tuple[str | None, list[tuple[str, int, int]]]:
     """The text with its personal data replaced, and (kind, start, end) in the given text."""
     if not text or ("@" not in text and not _DIGIT.search(text)):

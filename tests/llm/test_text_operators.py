@@ -489,6 +489,34 @@ def test_equal_values_stay_linked_however_written():
     assert digits("+1 (743) 555-3824") == digits("+17435553824")
 
 
+@pytest.mark.parametrize("value, kind", [
+    ("1-415-555-0123", "telephone"), ("1 (415) 555-0123", "telephone"), ("0044 20 7946 0958", "telephone"),
+    ("020 7946 0958", "telephone"), ("(030) 1234567", "telephone"), ("07700 900123", "telephone"),
+    ("12 April 1985", "date"), ("April 12, 1985", "date"), ("Sept. 3rd, 2001", "date"), ("3. Oktober 1990", "date"),
+    ("12 de abril de 1985", "date"), ("2001:db8::8a2e:370:7334", "machine"), ("fe80::1", "machine"),
+    ("2001:0DB8:0000:0000:0000:8A2E:0370:7334", "machine"),
+])
+def test_further_formats(value, kind):
+    text = f"so {value}, then {value}."
+    new, found = pseudonyms.pseudonymise(text, KEY)
+    assert [(k, text[a:b]) for k, a, b in found] == [(kind, value)] * 2 and value not in new
+    one, two = re.fullmatch(r"so (.*), then (.*)\.", new).groups()
+    assert one == two
+    assert [f[0] for f in pseudonyms.pseudonymise(new, KEY)[1]] == [kind, kind]
+
+
+def test_further_formats_stay_linked():
+    done = lambda t: pseudonyms.pseudonymise(t, KEY)[0]
+    assert done("1985-04-12T08:00") == done("1985-04-12") + "T08:00" != "1985-04-12T08:00"
+    year, month, day = map(int, done("1985-04-12").split("-"))
+    assert done("12 April 1985") == f"{day} {pseudonyms.MONTHS[0][month - 1].capitalize()} {year}"
+    digits = lambda t: re.sub("[^0-9]", "", done(t))
+    assert digits("1-743-555-3824") == digits("+1 (743) 555-3824")
+    assert digits("0044 20 7946 0958") == "00" + digits("+44 20 7946 0958")
+    for text in ("at 12:30:45", "31 February 1985", "std::vector", "00:1b:63:84:45:e6", "may 1985", "take 5 May"):
+        assert done(text) == text
+
+
 @pytest.mark.parametrize("text", [
     "4111 1111 1111 1112", "300.1.2.3", "1.2.3.4.5", "2023-02-29", "000-12-3456", "v1.2.3", "a@b", "x" * 70 + "@mail.org",
     "order 12345678901234567890123", "DE00 3704 0044 0532 0130 00", "plain words only",
