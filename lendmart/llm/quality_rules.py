@@ -1,7 +1,8 @@
 """Quality rules: line-first cleaning, then a verdict per document.
 
-Each line with a word is judged on its own; failing lines are taken out, and a document
-that loses more than ``MAX_LOST`` of its words is rejected. A base check comes first: too
+Each line with a word is judged on its own, but for a missing sentence mark: a line that the
+next one continues (a hard-wrapped sentence, up to a line with a mark) is prose. Failing lines
+are taken out, and a document that loses more than ``MAX_LOST`` of its words is rejected. A base check comes first: too
 few words, or too many words inside repeated eight-word windows.
 
 Defined results: a null text counts as empty and is rejected (no words). A line without a
@@ -11,6 +12,8 @@ get the same verdict each; other columns are passed through untouched.
 
 from __future__ import annotations
 
+import unicodedata
+
 import numpy as np
 from pyspark.sql import DataFrame
 
@@ -31,6 +34,8 @@ BOILERPLATE = (
     b"we use cookies", b"accept cookies", b"subscribe to our", b"sign up for our", b"click here",
     b"powered by", b"skip to content", b"javascript is disabled", b"back to top",
 )
+#: A leading one is a list mark, not a separator or noise.
+LIST_MARKS = frozenset((b"-", b"*", b">", b"\xc2\xbb", b"\xc2\xb7", b"\xe2\x80\xa2", b"\xe2\x80\x93"))
 NOISE = tuple(bytes((c,)) for c in b"#*$%&<>")
 
 MAX_SEPARATORS = 0.2
@@ -40,19 +45,65 @@ BOILERPLATE_WORDS = 30
 UNMARKED_WORDS = 8
 
 
-def line_fault(line: bytes, words: list[bytes]) -> str | None:
-    """The first rule that a line (UTF-8, with at least one word) fails."""
+def _marked(words: list[bytes]) -> bool:
+    """Whether a word ends in a sentence mark: one of the ASCII ones, or other punctuation."""
+    for w in words:
+        if w.endswith(SENTENCE_MARKS):
+            return True
+        if w[-1] >= 0x80 and w not in SEPARATORS and unicodedata.category(w.decode(errors="replace")[-1]) in ("Po", "Pe", "Pf", "Pi"):
+            return True
+    return False
+
+
+def _continued(line: bytes, after: bytes, width: int) -> bool:
+    """Whether ``after`` goes on with the sentence of ``line``: it starts with a letter that
+    is no capital, or with a word that a block of ``width`` characters had no room for."""
+    follows = after.split(None, 1)
+    if not follows:
+        return False
+    first = follows[0].decode(errors="replace")
+    if unicodedata.category(first[0]) in ("Ll", "Lo"):
+        return True
+    return len(line.decode(errors="replace").rstrip()) + 1 + len(first) > width
+
+
+def _wrapped(lines: list[bytes]) -> list[bool]:
+    """For each line whether it reaches a sentence mark: it has one, or lines of the same block
+    continue it up to one that has. No line on the way may have a fault of its own."""
+    reach = [False] * len(lines)
+    width, stop = 0, len(lines)
+    for k in range(len(lines) - 1, -1, -1):
+        own = lines[k].split()
+        if not own:
+            continue
+        if k + 1 == len(lines) or not lines[k + 1].split():  # the last line of a block
+            start = k
+            while start and lines[start - 1].split():
+                start -= 1
+            width, stop = max(len(x.decode(errors="replace").rstrip()) for x in lines[start : k + 1]), k + 1
+        if line_fault(lines[k], own, judge_marks=False):
+            continue
+        reach[k] = _marked(own) or (k + 1 < stop and reach[k + 1] and _continued(lines[k], lines[k + 1], width))
+    return reach
+
+
+def line_fault(line: bytes, words: list[bytes], judge_marks: bool = True) -> str | None:
+    """The first rule that a line (UTF-8, with at least one word) fails, seen alone."""
     n = len(words)
+    if words[0] in LIST_MARKS and n > 1:
+        words = words[1:]
     if b"|" in line or b">" in line or b"<" in line or b"-" in line or b"/" in line or b"\xc2" in line or b"\xe2" in line:
-        if sum(w in SEPARATORS for w in words) >= MAX_SEPARATORS * n:
+        separators = sum(w in SEPARATORS for w in words)
+        if separators and separators >= MAX_SEPARATORS * n:
             return "navigation"
     if b"!!" in line or b"??" in line:
         if sum(w.endswith(LOUD) for w in words) >= MAX_LOUD * n:
             return "punctuation"
     if any(c in line for c in NOISE):
-        if sum(any(c in w for c in NOISE) for w in words) >= MAX_NOISE * n:
+        noisy = sum(any(c in w for c in NOISE) for w in words)
+        if noisy and noisy >= MAX_NOISE * n:
             return "symbols"
-    if n >= UNMARKED_WORDS and not any(w.endswith(SENTENCE_MARKS) for w in words):
+    if judge_marks and n >= UNMARKED_WORDS and not _marked(words):
         return "punctuation"
     if n <= BOILERPLATE_WORDS:
         low = line.lower()
@@ -111,14 +162,19 @@ def judge(text: str | None) -> tuple:
     lines = raw.split(b"\n")
     seen: set[bytes] = set()
     repeats, lost, failed, good = 0, 0, 0, []
-    for line in lines:
+    reach: list[bool] = []
+    for k, line in enumerate(lines):
         own = line.split()
         if own:
             if line in seen:
                 repeats += 1
             else:
                 seen.add(line)
-            if line_fault(line, own):
+            fault = line_fault(line, own)
+            if fault == "punctuation":
+                reach = reach or _wrapped(lines)
+                fault = None if reach[k] else fault
+            if fault:
                 lost += len(own)
                 failed += 1
                 continue

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -567,6 +568,29 @@ def test_line_rules(line, fault):
     assert quality_rules.line_fault(line.encode(), line.encode().split()) == fault
 
 
+@pytest.mark.parametrize("line, fault", [
+    ("- item", None), ("• first of five tokens", None), ("* item", None), ("- Home | News | About", "navigation"),
+    ("he said it was all done by then “and so it was”", None),
+    ("यह एक साधारण वाक्य है जो पूरी तरह ठीक है।", None), ("هذه جملة عادية، تماما كما يجب أن تكون في النص", None),
+])
+def test_line_rules_of_lists_and_scripts(line, fault):
+    assert quality_rules.line_fault(line.encode(), line.encode().split()) == fault
+
+
+def test_wrapped_prose_is_kept():
+    prose = ("The committee met on the first day of the month and went through all of the papers that had been sent to "
+             "it by the members who could not come to the meeting in Vienna or Paris because the trains did not run on "
+             "that day. Nobody was surprised.")
+    wrapped = "\n".join(textwrap.wrap(prose, 50))
+    lines = wrapped.split("\n")
+    assert sum(quality_rules.line_fault(x.encode(), x.encode().split()) == "punctuation" for x in lines) >= 3
+    assert quality_rules.judge(wrapped)[6:] == (True, wrapped, 0)
+    loose = "One Two Three Four Five Six Seven Eight Nine"
+    text = f"{loose}\n{prose}\n\n{loose}\n\n{wrapped}\n\n" + "\n".join(["some words that never come to any end at all"] * 2)
+    assert quality_rules.judge(text)[7:] == (f"{prose}\n\n\n{wrapped}\n", 4)
+    assert quality_rules.judge("words without any mark in a line of ten\n" * 20000)[8] == 20000
+
+
 def test_quality_odd_cases(odd, none):
     rows = quality_rules.quality_verdicts(odd).collect()
     assert Counter(tuple(r)[:7] for r in rows) == Counter((i, *plain_counts(t)) for i, t, *_ in ODD)
