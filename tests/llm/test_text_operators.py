@@ -147,6 +147,26 @@ def test_network_finds_held_out_secrets():
     assert secret_scan.train(findings(secret, 1, 3)) is None
 
 
+def test_copies_do_not_fill_the_sample(spark):
+    rows = [(i, f'the token = "{i % 3 and "0" or i:0>40}" was') for i in range(90)]
+    table = secret_scan.scanned(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = secret_scan.labelled_findings(table, 20)
+    assert len(found) == len(set(found)) == 20
+
+
+def test_no_window_is_in_two_parts(monkeypatch):
+    parts = {}
+    monkeypatch.setattr(secret_scan, "_codes", lambda texts, make=secret_scan._codes: parts.setdefault("train", set(texts)) and make(texts))
+    monkeypatch.setattr(secret_scan, "_calibrate", lambda network, part: parts.update(calibration={w for w, _ in part}))
+    monkeypatch.setattr(secret_scan.Network, "scores", lambda self, texts: parts.update(held=set(texts)) or np.zeros(len(texts)))
+    window = lambda text: secret_scan.windows(text, 12, len(text) - 4)[0]
+    secrets = [window(f"the token = {k * 7919:030x} was") for k in range(9)]
+    plain = [window(f"the price = {k * 7919:012d} was") for k in range(9)]
+    secret_scan.train([(w, 1) for w in secrets * 5 + plain[:2]] + [(w, 0) for w in plain * 5])
+    real = {k: v & {*secrets, *plain} for k, v in parts.items()}
+    assert sum(map(len, real.values())) == len(set().union(*real.values())) == 18
+
+
 def test_secret_odd_cases(odd, none):
     rows = secret_scan.find_secrets(odd).collect()
     assert len(rows) == len(ODD) and not any(r["base"] for r in rows)
