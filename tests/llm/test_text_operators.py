@@ -164,7 +164,26 @@ def test_no_window_is_in_two_parts(monkeypatch):
     plain = [window(f"the price = {k * 7919:012d} was") for k in range(9)]
     secret_scan.train([(w, 1) for w in secrets * 5 + plain[:2]] + [(w, 0) for w in plain * 5])
     real = {k: v & {*secrets, *plain} for k, v in parts.items()}
-    assert sum(map(len, real.values())) == len(set().union(*real.values())) == 18
+    assert sum(map(len, real.values())) == len(set().union(*real.values())) >= 15
+
+
+def test_thresholds_hold_the_recall():
+    scores = np.concatenate([np.linspace(0.01, 0.4, 100), np.linspace(0.6, 0.99, 100), [0.2]])
+    groups = [0] * 100 + [1] * 100 + [2]
+    limits = secret_scan._limits(scores, groups)
+    assert [(scores[np.array(groups) == g] >= limits[g]).mean() for g in (0, 1)] == [0.95, 0.95]
+    assert limits[0] < 0.5 and (scores >= limits[2]).mean() >= 0.95
+
+
+def test_held_out_values_are_real(monkeypatch):
+    seen = []
+    monkeypatch.setattr(secret_scan, "_calibrate", lambda network, part: seen.extend(w for w, _ in part))
+    monkeypatch.setattr(secret_scan.Network, "scores", lambda self, texts: seen.extend(texts) or np.zeros(len(texts)))
+    window = lambda text: secret_scan.windows(text, 12, len(text) - 4)[0]
+    findings = [(window(f"the token = {k * 7919:030x} was"), 1) for k in range(12)]
+    findings += [(window(f"the price = {k * 7919:012d} was"), 0) for k in range(12)]
+    secret_scan.train(findings)
+    assert seen and set(seen) <= {w for w, _ in findings}
 
 
 def test_secret_odd_cases(odd, none):
