@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lendmart.llm import (
-    ann, bpe, chat_quotes, line_dedup, packing, pseudonyms, quality_rules, secret_scan, simhash_near, warc_revisits,
+    ann, bpe, chat_quotes, line_dedup, minhash_near, packing, period_runs, phrases, pseudonyms, quality_rules,
+    secret_scan, simhash_near, warc_revisits,
 )
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -150,11 +151,64 @@ def op10_packing(spark, sf_dir):
     )
 
 
+#: Phrases reported of each language.
+TOP_PHRASES = 2000
+
+
+def op11_collocations(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"), TOP_PHRASES)
+
+
+def op12_minhash_near_dedup(spark, sf_dir):
+    near = minhash_near.near_sets(table(spark, sf_dir, "documents"))
+    return near.select(
+        "doc_id", "n_shingles", F.col("component").alias("component_id"),
+        (F.col("doc_id") == F.col("component")).alias("kept"),
+    )
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): of every tenth document by a hash of its id, the words from a place
+    on repeat the first of them."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), 1)
+    split = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("w")).select(
+        "doc_id", "text", "w", F.size("w").alias("n"), F.floor(F.col("h") / 10).alias("g")
+    )
+    first = split.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    period = F.expr("1 + (n - a) DIV (3 + g % 8)")
+    word = lambda i: F.element_at(
+        "w", (F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")) + 1).cast("int")
+    )
+    made = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), F.col("n").cast("long") - 1), word), " ")
+    return first.withColumn("p", period).select(
+        "doc_id", F.when(F.col("n") > 0, made).otherwise(F.col("text")).alias("text")
+    )
+
+
+def op13_period_runs(spark, sf_dir):
+    found = period_runs.periodic_runs(planted_periods(table(spark, sf_dir, "documents")))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")
+    )), "")
+    longest = F.array_min(F.transform("runs", lambda r: F.struct(
+        (-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period")
+    )))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("top"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id", "n_runs", "top.start", (-F.col("top.less")).alias("length"), "top.period",
+        F.expr("(1000 * -top.less) DIV top.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_simhash_near_dedup, op3_line_dedup, op4_bpe, op5_warc_revisits,
-        op6_ann, op7_pii, op8_chat_quotes, op9_quality_rules, op10_packing,
+        op6_ann, op7_pii, op8_chat_quotes, op9_quality_rules, op10_packing, op11_collocations,
+        op12_minhash_near_dedup, op13_period_runs,
     )
 }
 
