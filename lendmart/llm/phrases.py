@@ -1,8 +1,10 @@
 """Phrase collocations by stripes.
 
 A stripe is the counter of the words that follow one prefix: of no word (so a stripe of all
-words), one, two or three. Tasks count stripes over their documents, cut them into slices by
-a hash of the next word, and slices of one stripe are merged elementwise after one shuffle.
+words), one, two or three. Tasks count stripes over their documents, pack them by bucket of
+the prefix, and the stripes of a bucket are merged elementwise after one shuffle. The stripe
+of no word, and those of prefixes that hold over a thousandth of all words, lie in many
+buckets, by their next words; buckets grow in number with the words, so none grows in size.
 The merged stripes give everything at once: an entry is the count of a phrase (its prefix
 and the next word), the sum of the empty prefix's stripe the number of words, an entry of a
 shorter prefix the count of a part, and the largest entries of a phrase's own stripe and of
@@ -23,11 +25,13 @@ Defined results: null, empty or blank texts have no words; a null language count
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -38,8 +42,14 @@ LEAST = 30
 SUBSUMES_PERCENT = 80
 SCALE = 2_000_000
 NO_LANG = "und"
-#: Slices of a stripe, by a hash of the next word: no stripe is merged by one task.
-SLICES = 128
+#: A prefix is heavy if it holds more than one in so many words; so many can be.
+HEAVY = 1024
+#: Slices of a heavy prefix's stripe, by a hash of the next word.
+SLICES = 256
+#: Words that fall into one bucket on average, and buckets of the first level for each
+#: shuffle partition.
+BUCKET_WORDS = 1 << 18
+FIRST_BUCKETS = 64
 #: Bits of the map of phrases that may be extended (a power of two, 2**15 at least).
 FILTER_BITS = 1 << 25
 #: Words that a task counts in one go.
@@ -57,11 +67,7 @@ for _mark in b".,;:!?\n\v\f\r":
 _PLAIN[ord("\t")] = ord(" ")
 _PLAIN = bytes(_PLAIN)
 
-STRIPES = pa.schema([
-    ("lang", pa.string()), ("prefix", pa.string()), ("slice", pa.int32()),
-    ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())),
-])
-STRIPES_SQL = "lang string, prefix string, slice int, words array<string>, counts array<long>"
+STRIPES = pa.schema([("lang", pa.string()), ("bucket", pa.int64()), ("stripes", pa.binary())])
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -89,15 +95,24 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U64(32))
 
 
+def _extended(codes: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Codes of phrases with one word more."""
+    return _mix(codes * _U64(0x9E3779B97F4A7C15) + values)
+
+
 def phrase_codes(values: np.ndarray, length: int, lang: str) -> np.ndarray:
     """Codes of the phrases of ``length`` words that start at each word."""
     n = max(0, len(values) - length + 1)
     total = np.full(n, xxhash.xxh3_64_intdigest(lang.encode()), _U64)
     for k in range(length):
-        total = _mix(total * _U64(0x9E3779B97F4A7C15) + values[k : k + n])
+        total = _extended(total, values[k : k + n])
     return total
 
 
+def _signed(code: int) -> int:
+    return code - (code >> 63 << 64)
+
+
 def phrase_code(words: list[bytes], lang: str, codes: _Codes) -> int:
     """``phrase_codes`` of a single phrase."""
     whole = (1 << 64) - 1
@@ -109,144 +124,162 @@ def phrase_code(words: list[bytes], lang: str, codes: _Codes) -> int:
     return total
 
 
-def _starts(values: np.ndarray, length: int, lang: str, known: np.ndarray | None) -> np.ndarray:
+def _starts(values: np.ndarray, length: int, lang: str, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where a prefix of ``length`` words and a next word stand in one piece, and both the
-    prefix and the phrase that ends in the next word are known."""
-    if length == 0:
-        return np.flatnonzero(values)
-    place = phrase_codes(values, length, lang) & _U64(8 * len(known) - 1)
+    prefix and the phrase that ends in the next word are known; and the prefixes' codes."""
+    front = phrase_codes(values, length, lang)
+    place = front & _U64(8 * len(known) - 1)
     found = known[place >> _U64(3)] >> (place & _U64(7)).astype(np.uint8) & 1 == 1
     breaks = np.cumsum(np.append(0, values == 0))
-    return np.flatnonzero(found[:-1] & found[1:] & (breaks[length + 1 :] == breaks[: -length - 1]))
+    starts = np.flatnonzero(found[:-1] & found[1:] & (breaks[length + 1 :] == breaks[: -length - 1]))
+    return starts, front[starts]
+
 
+def _entry(word: bytes, count: int) -> bytes:
+    return word if count == 1 else b"%s:%d" % (word, count)  # no word holds a colon
 
-def counted(lang: str, words: list[bytes], length: int, known: np.ndarray | None, codes: _Codes) -> pa.RecordBatch | None:
-    """The stripes of a list of words, cut into slices."""
+
+class Filter(NamedTuple):
+    """What tasks know of the level before: a bit map of its phrases' codes, the codes of
+    the phrases that hold a large part of all words, and the buckets to deal into."""
+
+    known: bytes
+    heavy: np.ndarray
+    buckets: int
+
+
+def counted(lang: str, words: list[bytes], length: int, filter_: Filter, codes: _Codes) -> Iterator[tuple[int, bytes]]:
+    """The stripes of a list of words, packed by bucket: a line a stripe, its prefix and its
+    entries apart by tabs, an entry's count behind a colon unless it is one."""
+    if length == 0:
+        stripes: dict[int, list[bytes]] = {}
+        found = Counter(words)
+        del found[_BREAK]
+        for word, count in found.items():
+            stripes.setdefault(crc32(word) % filter_.buckets, [b""]).append(_entry(word, count))
+        for bucket, stripe in stripes.items():
+            yield bucket, b"\t".join(stripe)
+        return
     values = np.fromiter(map(codes.__getitem__, words), _U64, len(words))
-    starts = _starts(values, length, lang, known)
+    starts, front = _starts(values, length, lang, np.frombuffer(filter_.known, np.uint8))
     if not len(starts):
-        return None
-    _, first, counts = np.unique(phrase_codes(values, length + 1, lang)[starts], return_index=True, return_counts=True)
-    starts = starts[first]
-    part = (values[starts + length] % _U64(SLICES)).astype(np.int32)
-    front = phrase_codes(values, length, lang)[starts]
-    order = np.lexsort((part, front))
-    starts, part, front, counts = starts[order], part[order], front[order], counts[order]
-    cuts = np.flatnonzero(np.append(True, (np.diff(part) != 0) | (front[1:] != front[:-1])))
-    offsets = pa.array(np.append(cuts, len(starts)).astype(np.int32))
-    entries = pa.array([words[s + length].decode() for s in starts.tolist()])
-    prefixes = [b" ".join(words[s : s + length]).decode() for s in starts[cuts].tolist()]
-    return pa.RecordBatch.from_arrays([
-        pa.array([lang] * len(cuts)), pa.array(prefixes), pa.array(part[cuts]),
-        pa.ListArray.from_arrays(offsets, entries), pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.int64))),
-    ], schema=STRIPES)
-
-
-def partial_stripes(texts: DataFrame, length: int, known, words: int = WORDS) -> DataFrame:
+        return
+    last = values[starts + length]
+    _, first, counts = np.unique(_extended(front, last), return_index=True, return_counts=True)
+    starts, front, last = starts[first], front[first], last[first]
+    # The stripe of a heavy prefix is cut by its next words, all others stay whole.
+    dealt = np.where(np.isin(front, filter_.heavy), _extended(front, last % _U64(SLICES)), front)
+    bucket = dealt % _U64(filter_.buckets)
+    order = np.lexsort((front, bucket))
+    starts, front, bucket = starts[order].tolist(), front[order], bucket[order]
+    entries = [_entry(words[s + length], n) for s, n in zip(starts, counts[order].tolist())]
+    cuts = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (front[1:] != front[:-1]))).tolist()
+    lines: list[bytes] = []
+    for low, high in zip(cuts, [*cuts[1:], len(starts)]):
+        prefix = b" ".join(words[starts[low] : starts[low] + length])
+        lines.append(b"\t".join([prefix, *entries[low:high]]))
+        if high == len(starts) or bucket[high] != bucket[low]:
+            yield int(bucket[low]), b"\n".join(lines)
+            lines = []
+
+
+def partial_stripes(texts: DataFrame, length: int, filter_, words: int = WORDS) -> DataFrame:
     """Stripes of prefixes of ``length`` words over (lang, text), counted ``words`` words at
-    a time."""
+    a time; ``filter_`` is a broadcast ``Filter``."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = known and np.frombuffer(known.value, np.uint8)
         codes = _Codes()
         waiting: dict[str, list[bytes]] = {}
         held = 0
+
+        def packed() -> Iterator[pa.RecordBatch]:
+            for lang, some in waiting.items():
+                rows = list(counted(lang, some, length, filter_.value, codes)) if some else []
+                if rows:
+                    buckets, stripes = zip(*rows)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(rows)), pa.array(buckets, pa.int64()), pa.array(stripes, pa.binary())],
+                        schema=STRIPES)
+
         for batch in batches:
             for k in range(batch.num_rows):
                 more = words_of(batch.column(1)[k].as_py())
                 waiting.setdefault(batch.column(0)[k].as_py(), []).extend(more)
                 held += len(more)
                 if held >= words:  # languages that are many share the bound
-                    for lang, some in waiting.items():
-                        if some and (made := counted(lang, some, length, bits, codes)):
-                            yield made
+                    yield from packed()
                     waiting, held = {}, 0
-        for lang, some in waiting.items():
-            if some and (made := counted(lang, some, length, bits, codes)):
-                yield made
-
-    return texts.mapInArrow(step, STRIPES_SQL)
-
-
-def merge_elementwise(stripes: pa.RecordBatch) -> pa.RecordBatch:
-    """Adds up neighbouring rows of one stripe (lang, prefix, slice), word by word."""
-    same = np.ones(max(0, stripes.num_rows - 1), bool)
-    for name in ("lang", "prefix", "slice"):
-        column = stripes[name]
-        same &= np.asarray(pc.equal(column[1:], column[:-1]))
-    heads = np.flatnonzero(np.append(True, ~same))
-    stripe = np.cumsum(np.append(True, ~same)) - 1
-    row = np.repeat(stripe, np.asarray(pc.list_value_length(stripes["words"])))
-    coded = stripes["words"].flatten().dictionary_encode()
-    total = max(1, len(coded.dictionary))
-    key = row * total + np.asarray(coded.indices).astype(np.int64)
-    order = np.argsort(key, kind="stable")
-    starts = np.flatnonzero(np.append(True, np.diff(key[order]) != 0))
-    counts = np.add.reduceat(np.asarray(stripes["counts"].flatten())[order], starts)
-    row, word = np.divmod(key[order][starts], total)
-    offsets = pa.array(np.searchsorted(row, np.arange(len(heads) + 1)).astype(np.int32))
-    fronts = stripes.take(pa.array(heads))
-    return pa.RecordBatch.from_arrays([
-        fronts["lang"], fronts["prefix"], fronts["slice"],
-        pa.ListArray.from_arrays(offsets, coded.dictionary.take(pa.array(word))),
-        pa.ListArray.from_arrays(offsets, pa.array(counts)),
-    ], schema=STRIPES)
+        yield from packed()
+
+    return texts.mapInArrow(step, "lang string, bucket long, stripes binary")
+
+
+class _Merged:
+    """The stripes of one bucket, merged elementwise."""
+
+    def __init__(self) -> None:
+        self.stripes: dict[bytes, Counter] = {}
+
+    def add(self, packed: bytes) -> None:
+        for line in packed.split(b"\n"):
+            prefix, *entries = line.split(b"\t")
+            stripe = self.stripes.get(prefix)
+            if stripe is None:
+                stripe = self.stripes[prefix] = Counter()
+            stripe.update(entries)
+
+    def finished(self, least: int) -> Iterator[tuple[bytes, int, list[tuple[bytes, int]]]]:
+        """(prefix, total, entries of ``least`` and more) of every stripe."""
+        for prefix, stripe in self.stripes.items():
+            for entry in [e for e in stripe if b":" in e]:
+                word, count = entry.split(b":")
+                stripe[word] += int(count) * stripe.pop(entry)
+            yield prefix, sum(stripe.values()), [(w, n) for w, n in stripe.items() if n >= least]
 
 
 def merged_stripes(stripes: DataFrame, least: int) -> DataFrame:
-    """(lang, prefix, total, entries): slices of one stripe merged elementwise; the total is
-    over all words of the slice, its entries (word, count, code) reach ``least``. Of a prefix
-    only slices with entries are passed on, of the empty prefix all."""
-    kind = pa.struct([("word", pa.string()), ("count", pa.int64()), ("code", pa.int64())])
-    schema = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("total", pa.int64()), ("entries", pa.list_(kind))])
-
-    def finished(merged: pa.RecordBatch, codes: _Codes) -> pa.RecordBatch | None:
-        offsets = np.asarray(merged["counts"].offsets)
-        counts = np.asarray(merged["counts"].flatten())
-        totals = np.add.reduceat(counts, offsets[:-1])
-        high = np.flatnonzero(counts >= least)
-        row = np.searchsorted(offsets, high, "right") - 1
-        entries: dict[int, list] = {}
-        words = merged["words"].flatten()
-        for r, at in zip(row.tolist(), high.tolist()):
-            prefix, word = merged["prefix"][r].as_py(), words[at].as_py()
-            front = prefix.encode().split(b" ") if prefix else []
-            code = phrase_code([*front, word.encode()], merged["lang"][r].as_py(), codes)
-            entries.setdefault(r, []).append({"word": word, "count": int(counts[at]), "code": code - (code >> 63 << 64)})
-        empty = np.asarray(pc.equal(merged["prefix"], ""))
-        rows = sorted(entries.keys() | set(np.flatnonzero(empty).tolist()))
-        if not rows:
-            return None
-        taken = merged.take(pa.array(rows))
-        return pa.RecordBatch.from_arrays([
-            taken["lang"], taken["prefix"], pa.array(totals[rows]), pa.array([entries.get(r, []) for r in rows], pa.list_(kind)),
-        ], schema=schema)
+    """(lang, prefix, total, entries): stripes merged elementwise, bucket by bucket; the
+    total is over all words of the part of a stripe that lies in the bucket, its entries
+    (word, count, code) reach ``least``. Of a prefix only parts with entries are passed on,
+    of the empty prefix all."""
+    kind = pa.list_(pa.struct([("word", pa.string()), ("count", pa.int64()), ("code", pa.int64())]))
+    schema = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("total", pa.int64()), ("entries", kind)])
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, last = _Codes(), None
+        codes = _Codes()
+        key, merged = None, _Merged()
+
+        def closed() -> Iterator[pa.RecordBatch]:
+            lang, rows = key and key[0], []
+            for prefix, total, found in merged.finished(least):
+                front = prefix.split(b" ") if prefix else []
+                entries = [
+                    {"word": word.decode(), "count": count, "code": _signed(phrase_code([*front, word], lang, codes))}
+                    for word, count in found
+                ]
+                if entries or not prefix:
+                    rows.append((lang, prefix.decode(), total, entries))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows), schema)], schema=schema)
+
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            batch = batch.cast(STRIPES)
-            if last is not None:
-                batch = pa.concat_batches([last, batch])
-            merged = merge_elementwise(batch)
-            # The last stripe may go on in the next batch; a copy frees the others.
-            last = pa.RecordBatch.from_pylist(merged.slice(merged.num_rows - 1).to_pylist(), schema=STRIPES)
-            if merged.num_rows > 1 and (done := finished(merged.slice(0, merged.num_rows - 1), codes)):
-                yield done
-        if last is not None and (done := finished(last, codes)):
-            yield done
-
-    keys = ["lang", "prefix", "slice"]
+            for lang, bucket, packed in zip(*(c.to_pylist() for c in batch.columns)):
+                if (lang, bucket) != key:
+                    yield from closed()
+                    key, merged = (lang, bucket), _Merged()
+                merged.add(packed)
+        yield from closed()
+
+    keys = ["lang", "bucket"]
     dealt = stripes.repartition(*keys).sortWithinPartitions(*keys)
     return dealt.mapInArrow(
         step, "lang string, prefix string, total long, entries array<struct<word:string,count:long,code:long>>"
     )
 
 
-def _known(entries: DataFrame, bits: int):
-    """The bit map of the phrases' codes as bytes, ``bits`` bits whatever their number."""
+def _filter(entries: DataFrame, words: int, bits: int) -> Filter:
+    """The filter for the level after ``entries``, ``bits`` bits and 1,024 codes at most
+    whatever their number."""
     place = F.col("code").bitwiseAND(F.lit(bits - 1)) + 1
     found = entries.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
@@ -255,7 +288,12 @@ def _known(entries: DataFrame, bits: int):
     for bucket, part in found.collect():  # 4,096 bytes a bucket, all of them no more than ``bits``
         start = (bucket - 1) * len(part)
         whole[start : start + len(part)] = part
-    return entries.sparkSession.sparkContext.broadcast(bytes(whole))
+    heavy = entries.where(F.col("count") * HEAVY > words).select("code").collect()  # HEAVY at most
+    return Filter(bytes(whole), np.array([r["code"] for r in heavy], np.int64).view(_U64), _buckets(words))
+
+
+def _buckets(words: int) -> int:
+    return max(256, words // BUCKET_WORDS)
 
 
 def collocations(
@@ -271,17 +309,22 @@ def collocations(
     """
     ship(docs.sparkSession)
     texts = docs.select(F.coalesce(docs[lang_col].cast("string"), F.lit(NO_LANG)).alias("lang"), docs[text_col].cast("binary").alias("text"))
-    levels, known = [], None
+    share = docs.sparkSession.sparkContext.broadcast
+    width = FIRST_BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    levels, filter_ = [], Filter(b"", np.empty(0, _U64), width)
     for length in range(longest):
-        merged = stored(merged_stripes(partial_stripes(texts, length, known, words_at_once), least), "stripes")
+        partial = partial_stripes(texts, length, share(filter_), words_at_once)
+        merged = stored(merged_stripes(partial, least), "stripes")
         phrase = F.when(F.col("prefix") == "", F.col("e.word")).otherwise(F.concat_ws(" ", "prefix", "e.word"))
         entries = merged.select("lang", "prefix", F.explode("entries").alias("e")).select(
             "lang", "prefix", phrase.alias("phrase"), F.col("e.count").alias("count"), F.col("e.code").alias("code")
         )
         if length == 0:
             words = merged.groupBy("lang").agg(F.sum("total").alias("n"))
+            in_all = words.agg(F.sum("n")).first()[0] or 0
         levels.append(entries)
-        known = _known(entries, filter_bits) if length < longest - 1 else None
+        if length < longest - 1:
+            filter_ = _filter(entries, in_all, filter_bits)
     return _ranked(_scored(levels), _subsuming(levels), words, top, percent)
 
 

@@ -9,7 +9,6 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,24 +106,29 @@ def test_collocations_of_nested_phrases(spark, bits, words):
         assert {tuple(r) for r in got.collect()} == plain_collocations(rows, top, least)
 
 
-def test_stripes_add_up_across_batches():
+def test_heavy_stripes_are_cut_and_add_up():
+    """Every entry of a stripe lies in one bucket, a heavy stripe's in several."""
     codes = phrases._Codes()
-    talk = [(lang or "und", phrases.words_of((text * 3).encode())) for lang, text in made_talk(2, 40)]
-    whole = Counter()
-    stripes = []
-    for lang, words in talk:
-        made = phrases.counted(lang, words, 0, None, codes) if words else None
-        if made:
-            stripes.append(made)
-            whole.update((lang, w.decode()) for w in words if w != b"\n")
-    table = pa.Table.from_batches(stripes).sort_by([(c, "ascending") for c in ("lang", "prefix", "slice")])
-    merged = phrases.merge_elementwise(table.combine_chunks().to_batches()[0])
-    got = Counter()
-    for row in merged.to_pylist():
-        for word, count in zip(row["words"], row["counts"], strict=True):
-            assert (row["lang"], word) not in got
-            got[row["lang"], word] = count
-    assert got == whole
+    words = [w for k in range(3000) for w in (b"the", b"w%d" % (k % 700), phrases._BREAK)]
+    whole = Counter((words[k], words[k + 1]) for k in range(0, len(words), 3))
+    values = np.fromiter(map(codes.__getitem__, words), np.uint64)
+    code = phrases.phrase_codes(values, 1, "en")
+    everything = np.full(1 << 12, 255, np.uint8).tobytes()
+    for heavy, several in ((code[:1], True), (code[:0], False)):
+        filter_ = phrases.Filter(everything, heavy, 64)
+        merged = defaultdict(phrases._Merged)
+        for part in (words[:600], words[600:], []):
+            for bucket, packed in phrases.counted("en", part, 1, filter_, codes) if part else ():
+                merged[bucket].add(packed)
+        got, buckets = Counter(), set()
+        for bucket, stripes in merged.items():
+            for prefix, total, entries in stripes.finished(1):
+                assert total == sum(n for _, n in entries)
+                for word, count in entries:
+                    assert (prefix, word) not in got
+                    got[prefix, word] = count
+                    buckets.add(bucket)
+        assert got == whole and (len(buckets) > 30) == several
 
 
 def test_exact_scores_of_large_counts(spark):
