@@ -27,8 +27,8 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -47,17 +47,19 @@ HEAVY = 1024
 #: Slices of a heavy prefix's stripe, by a hash of the next word.
 SLICES = 256
 #: Words that fall into one bucket on average, and buckets of the first level for each
-#: shuffle partition.
-BUCKET_WORDS = 1 << 18
-FIRST_BUCKETS = 64
+#: shuffle partition; ``LEAST_BUCKETS`` at any rate.
+BUCKET_WORDS = 1 << 21
+FIRST_BUCKETS = 4
+LEAST_BUCKETS = 256
 #: Bits of the map of phrases that may be extended (a power of two, 2**15 at least).
 FILTER_BITS = 1 << 25
-#: Words that a task counts in one go.
-WORDS = 1 << 20
+#: Bytes of text that a task counts in one go.
+OCTETS = 1 << 23
 #: Pieces a language's phrases are ranked in before the last ranking.
 RANK_PIECES = 64
 
 _U64 = np.uint64
+_FACTOR = 0x9E3779B97F4A7C15
 _BREAK = b"\n"
 # A-Z to lower case, every mark that ends a piece to a line feed, a tab to a space.
 _PLAIN = bytearray(range(256))
@@ -70,24 +72,65 @@ _PLAIN = bytes(_PLAIN)
 STRIPES = pa.schema([("lang", pa.string()), ("bucket", pa.int64()), ("stripes", pa.binary())])
 
 
-def words_of(text: bytes | None) -> list[bytes]:
-    """The words of a text in UTF-8, a line feed after each piece."""
-    if not text:
-        return []
-    plain = text.translate(_PLAIN).replace(_BREAK, b" \n ")
-    words = [w for w in plain.split(b" ") if w]
-    words.append(_BREAK)
-    return words
-
-
-class _Codes(dict):
-    """Word -> 64-bit code. A break has code zero."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1 << 20:
-            self.clear()
-        value = self[word] = 0 if word == _BREAK else xxhash.xxh3_64_intdigest(word) | 1
-        return value
+class Words(NamedTuple):
+    """The words of a text: where they start and end, a code of each, and its piece."""
+
+    plain: bytes
+    starts: np.ndarray
+    ends: np.ndarray
+    values: np.ndarray
+    pieces: np.ndarray
+
+    def text(self, first: int, last: int) -> bytes:
+        """The words from ``first`` to ``last``, joined by single spaces."""
+        if first == last:
+            return self.plain[self.starts[first] : self.ends[first]]
+        return b" ".join([self.plain[self.starts[k] : self.ends[k]] for k in range(first, last + 1)])
+
+
+# A word's code is a polynomial of its bytes, so the codes of a block come from running sums.
+_BASE = 0x5851F42D4C957F2D
+_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Bytes whose words are coded in one go; a longer word is taken whole.
+BLOCK = 1 << 20
+
+
+@lru_cache(maxsize=4)
+def _powers(base: int, size: int) -> np.ndarray:
+    powers = np.full(size, base, _U64)
+    powers[0] = 1
+    return np.cumprod(powers, dtype=_U64)
+
+
+def _coded(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, values, breaks before) of the words of a block."""
+    octets = np.frombuffer(block, np.uint8)
+    inside = (octets != 32) & (octets != 10)
+    edges = np.diff(inside, prepend=False, append=False)
+    starts, ends = np.flatnonzero(edges).reshape(-1, 2).T
+    size = 1 << max(10, len(block).bit_length())
+    sums = np.zeros(len(block) + 1, _U64)
+    np.cumsum((octets.astype(_U64) + _U64(1)) * _powers(_BASE, size)[: len(block)], out=sums[1:])
+    values = (sums[ends] - sums[starts]) * _powers(_INVERSE, size)[starts]
+    return starts, ends, _mix(values + (ends - starts).astype(_U64) * _U64(_FACTOR)), np.cumsum(octets == 10)[starts]
+
+
+def words_of(texts: list[bytes]) -> Words:
+    """The words of texts in UTF-8; a piece never goes on in the next text."""
+    plain = _BREAK.join(texts).translate(_PLAIN)
+    parts, start, pieces = [], 0, 0
+    while start < len(plain):
+        stop = start + BLOCK
+        if stop < len(plain):  # the next blank or break
+            ends = [k for k in (plain.find(b" ", stop), plain.find(_BREAK, stop)) if k >= 0]
+            stop = min(ends, default=len(plain) - 1) + 1
+        block = plain[start:stop]
+        first, last, values, breaks = _coded(block)
+        parts.append((first + start, last + start, values, breaks + pieces))
+        pieces += block.count(_BREAK)
+        start = stop
+    columns = zip(*parts) if parts else [[np.empty(0, t)] for t in (np.int64, np.int64, _U64, np.int64)]
+    return Words(plain, *map(np.concatenate, columns))
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -97,7 +140,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 def _extended(codes: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Codes of phrases with one word more."""
-    return _mix(codes * _U64(0x9E3779B97F4A7C15) + values)
+    return _mix(codes * _U64(_FACTOR) + values)
 
 
 def phrase_codes(values: np.ndarray, length: int, lang: str) -> np.ndarray:
@@ -109,29 +152,15 @@ def phrase_codes(values: np.ndarray, length: int, lang: str) -> np.ndarray:
     return total
 
 
-def _signed(code: int) -> int:
-    return code - (code >> 63 << 64)
-
-
-def phrase_code(words: list[bytes], lang: str, codes: _Codes) -> int:
-    """``phrase_codes`` of a single phrase."""
-    whole = (1 << 64) - 1
-    total = xxhash.xxh3_64_intdigest(lang.encode())
-    for word in words:
-        total = (total * 0x9E3779B97F4A7C15 + codes[word]) & whole
-        total = ((total ^ total >> 32) * 0xD6E8FEB86659FD93) & whole
-        total ^= total >> 32
-    return total
-
-
-def _starts(values: np.ndarray, length: int, lang: str, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _starts(words: Words, length: int, lang: str, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where a prefix of ``length`` words and a next word stand in one piece, and both the
     prefix and the phrase that ends in the next word are known; and the prefixes' codes."""
-    front = phrase_codes(values, length, lang)
+    front = phrase_codes(words.values, length, lang)
+    if length == 0:
+        return np.arange(len(words.values)), front[:-1]
     place = front & _U64(8 * len(known) - 1)
     found = known[place >> _U64(3)] >> (place & _U64(7)).astype(np.uint8) & 1 == 1
-    breaks = np.cumsum(np.append(0, values == 0))
-    starts = np.flatnonzero(found[:-1] & found[1:] & (breaks[length + 1 :] == breaks[: -length - 1]))
+    starts = np.flatnonzero(found[:-1] & found[1:] & (words.pieces[length:] == words.pieces[:-length]))
     return starts, front[starts]
 
 
@@ -148,53 +177,46 @@ class Filter(NamedTuple):
     buckets: int
 
 
-def counted(lang: str, words: list[bytes], length: int, filter_: Filter, codes: _Codes) -> Iterator[tuple[int, bytes]]:
-    """The stripes of a list of words, packed by bucket: a line a stripe, its prefix and its
+def counted(lang: str, words: Words, length: int, filter_: Filter) -> Iterator[tuple[int, bytes]]:
+    """The stripes of some words, packed by bucket: a line a stripe, its prefix and its
     entries apart by tabs, an entry's count behind a colon unless it is one."""
-    if length == 0:
-        stripes: dict[int, list[bytes]] = {}
-        found = Counter(words)
-        del found[_BREAK]
-        for word, count in found.items():
-            stripes.setdefault(crc32(word) % filter_.buckets, [b""]).append(_entry(word, count))
-        for bucket, stripe in stripes.items():
-            yield bucket, b"\t".join(stripe)
-        return
-    values = np.fromiter(map(codes.__getitem__, words), _U64, len(words))
-    starts, front = _starts(values, length, lang, np.frombuffer(filter_.known, np.uint8))
+    starts, front = _starts(words, length, lang, np.frombuffer(filter_.known, np.uint8))
     if not len(starts):
         return
-    last = values[starts + length]
+    last = words.values[starts + length]
     _, first, counts = np.unique(_extended(front, last), return_index=True, return_counts=True)
     starts, front, last = starts[first], front[first], last[first]
-    # The stripe of a heavy prefix is cut by its next words, all others stay whole.
-    dealt = np.where(np.isin(front, filter_.heavy), _extended(front, last % _U64(SLICES)), front)
+    # The stripes of no word and of a heavy prefix are cut by next words, others stay whole.
+    cut = _extended(front, last if length == 0 else last % _U64(SLICES))
+    dealt = cut if length == 0 else np.where(np.isin(front, filter_.heavy), cut, front)
     bucket = dealt % _U64(filter_.buckets)
     order = np.lexsort((front, bucket))
-    starts, front, bucket = starts[order].tolist(), front[order], bucket[order]
-    entries = [_entry(words[s + length], n) for s, n in zip(starts, counts[order].tolist())]
+    starts, front, bucket = starts[order], front[order], bucket[order]
+    plain, at = words.plain, starts + length
+    spans = zip(words.starts[at].tolist(), words.ends[at].tolist(), counts[order].tolist())
+    entries = [_entry(plain[low:high], n) for low, high, n in spans]
     cuts = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (front[1:] != front[:-1]))).tolist()
+    heads, buckets = starts[cuts].tolist(), bucket[cuts].tolist()
     lines: list[bytes] = []
-    for low, high in zip(cuts, [*cuts[1:], len(starts)]):
-        prefix = b" ".join(words[starts[low] : starts[low] + length])
+    for k, (low, high) in enumerate(zip(cuts, [*cuts[1:], len(starts)])):
+        prefix = words.text(heads[k], heads[k] + length - 1) if length else b""
         lines.append(b"\t".join([prefix, *entries[low:high]]))
-        if high == len(starts) or bucket[high] != bucket[low]:
-            yield int(bucket[low]), b"\n".join(lines)
+        if k + 1 == len(cuts) or buckets[k + 1] != buckets[k]:
+            yield buckets[k], b"\n".join(lines)
             lines = []
 
 
-def partial_stripes(texts: DataFrame, length: int, filter_, words: int = WORDS) -> DataFrame:
-    """Stripes of prefixes of ``length`` words over (lang, text), counted ``words`` words at
-    a time; ``filter_`` is a broadcast ``Filter``."""
+def partial_stripes(texts: DataFrame, length: int, filter_, octets: int = OCTETS) -> DataFrame:
+    """Stripes of prefixes of ``length`` words over (lang, text), counted ``octets`` of text
+    at a time; ``filter_`` is a broadcast ``Filter``."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = _Codes()
         waiting: dict[str, list[bytes]] = {}
         held = 0
 
         def packed() -> Iterator[pa.RecordBatch]:
             for lang, some in waiting.items():
-                rows = list(counted(lang, some, length, filter_.value, codes)) if some else []
+                rows = list(counted(lang, words_of(some), length, filter_.value))
                 if rows:
                     buckets, stripes = zip(*rows)
                     yield pa.RecordBatch.from_arrays(
@@ -202,11 +224,11 @@ def partial_stripes(texts: DataFrame, length: int, filter_, words: int = WORDS)
                         schema=STRIPES)
 
         for batch in batches:
-            for k in range(batch.num_rows):
-                more = words_of(batch.column(1)[k].as_py())
-                waiting.setdefault(batch.column(0)[k].as_py(), []).extend(more)
-                held += len(more)
-                if held >= words:  # languages that are many share the bound
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if text.is_valid:
+                    waiting.setdefault(lang, []).append(text.as_py())
+                    held += len(waiting[lang][-1])
+                if held >= octets:  # languages that are many share the bound
                     yield from packed()
                     waiting, held = {}, 0
         yield from packed()
@@ -246,21 +268,21 @@ def merged_stripes(stripes: DataFrame, least: int) -> DataFrame:
     schema = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("total", pa.int64()), ("entries", kind)])
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = _Codes()
         key, merged = None, _Merged()
 
         def closed() -> Iterator[pa.RecordBatch]:
-            lang, rows = key and key[0], []
-            for prefix, total, found in merged.finished(least):
-                front = prefix.split(b" ") if prefix else []
-                entries = [
-                    {"word": word.decode(), "count": count, "code": _signed(phrase_code([*front, word], lang, codes))}
-                    for word, count in found
-                ]
-                if entries or not prefix:
-                    rows.append((lang, prefix.decode(), total, entries))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows), schema)], schema=schema)
+            lang, found = key and key[0], [s for s in merged.finished(least) if s[2] or not s[0]]
+            if not found:
+                return
+            phrases = [prefix + b" " * (prefix != b"") + word for prefix, _, some in found for word, _ in some]
+            words = words_of([_BREAK.join(phrases)])
+            length = found[0][0].count(b" ") + 1 + (found[0][0] != b"")  # the same of all
+            codes = iter(phrase_codes(words.values, length, lang)[::length].view(np.int64).tolist())
+            rows = [
+                (lang, prefix.decode(), total, [{"word": w.decode(), "count": n, "code": next(codes)} for w, n in some])
+                for prefix, total, some in found
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows), schema)], schema=schema)
 
         for batch in batches:
             for lang, bucket, packed in zip(*(c.to_pylist() for c in batch.columns)):
@@ -293,12 +315,12 @@ def _filter(entries: DataFrame, words: int, bits: int) -> Filter:
 
 
 def _buckets(words: int) -> int:
-    return max(256, words // BUCKET_WORDS)
+    return max(LEAST_BUCKETS, words // BUCKET_WORDS)
 
 
 def collocations(
     docs: DataFrame, top: int, least: int = LEAST, percent: int = SUBSUMES_PERCENT, longest: int = LONGEST,
-    lang_col: str = "lang", text_col: str = "text", filter_bits: int = FILTER_BITS, words_at_once: int = WORDS,
+    lang_col: str = "lang", text_col: str = "text", filter_bits: int = FILTER_BITS, octets: int = OCTETS,
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's ``top`` phrases of two to
     ``longest`` words that occur ``least`` times and are not subsumed.
@@ -311,9 +333,9 @@ def collocations(
     texts = docs.select(F.coalesce(docs[lang_col].cast("string"), F.lit(NO_LANG)).alias("lang"), docs[text_col].cast("binary").alias("text"))
     share = docs.sparkSession.sparkContext.broadcast
     width = FIRST_BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    levels, filter_ = [], Filter(b"", np.empty(0, _U64), width)
+    levels, filter_ = [], Filter(b"", np.empty(0, _U64), max(LEAST_BUCKETS, width))
     for length in range(longest):
-        partial = partial_stripes(texts, length, share(filter_), words_at_once)
+        partial = partial_stripes(texts, length, share(filter_), octets)
         merged = stored(merged_stripes(partial, least), "stripes")
         phrase = F.when(F.col("prefix") == "", F.col("e.word")).otherwise(F.concat_ws(" ", "prefix", "e.word"))
         entries = merged.select("lang", "prefix", F.explode("entries").alias("e")).select(

@@ -96,29 +96,46 @@ def made_talk(seed, n):
     ]
 
 
-@pytest.mark.parametrize("bits, words", [(1 << 25, 1 << 20), (1 << 15, 64)])
-def test_collocations_of_nested_phrases(spark, bits, words):
+@pytest.mark.parametrize("bits, octets", [(1 << 25, 1 << 23), (1 << 15, 200)])
+def test_collocations_of_nested_phrases(spark, bits, octets):
     """Also with a crowded bit map and with stripes counted a few words at a time."""
     rows = made_talk(1, 200)
     docs = spark.createDataFrame(rows, "lang string, text string").repartition(5)
     for top, least in ((2000, 30), (7, 12)):
-        got = phrases.collocations(docs, top, least, filter_bits=bits, words_at_once=words)
+        got = phrases.collocations(docs, top, least, filter_bits=bits, octets=octets)
         assert {tuple(r) for r in got.collect()} == plain_collocations(rows, top, least)
 
 
+def test_words_and_codes(monkeypatch):
+    """Blocks of any size give the same words, codes and pieces."""
+    texts = [lower(t or "").encode() for _, t in made_talk(5, 60)] + [b"", b"x" * 300, b" \t.", b"aa ab a b"]
+    whole = phrases.words_of(texts)
+    plain = [
+        (piece, word) for piece, part in enumerate(re.split(b"[.,;:!?\x0a-\x0d]", b"\n".join(texts)))
+        for word in re.findall(b"[^\x20\x09]+", part)
+    ]
+    assert [(p, whole.text(k, k)) for k, p in enumerate(whole.pieces.tolist())] == plain
+    code = {}
+    for (_, word), value in zip(plain, whole.values.tolist(), strict=True):
+        assert code.setdefault(word, value) == value
+    assert len(set(code.values())) == len(code)
+    for block in (1, 7, 64):
+        monkeypatch.setattr(phrases, "BLOCK", block)
+        cut = phrases.words_of(texts)
+        assert all(np.array_equal(a, b) for a, b in zip(whole[1:], cut[1:], strict=True))
+
+
 def test_heavy_stripes_are_cut_and_add_up():
     """Every entry of a stripe lies in one bucket, a heavy stripe's in several."""
-    codes = phrases._Codes()
-    words = [w for k in range(3000) for w in (b"the", b"w%d" % (k % 700), phrases._BREAK)]
-    whole = Counter((words[k], words[k + 1]) for k in range(0, len(words), 3))
-    values = np.fromiter(map(codes.__getitem__, words), np.uint64)
-    code = phrases.phrase_codes(values, 1, "en")
+    text = [b"the w%d\n" % (k % 700) for k in range(3000)]
+    whole = Counter(tuple(t.split()) for t in text)
+    code = phrases.phrase_codes(phrases.words_of(text[:1]).values, 1, "en")
     everything = np.full(1 << 12, 255, np.uint8).tobytes()
     for heavy, several in ((code[:1], True), (code[:0], False)):
         filter_ = phrases.Filter(everything, heavy, 64)
         merged = defaultdict(phrases._Merged)
-        for part in (words[:600], words[600:], []):
-            for bucket, packed in phrases.counted("en", part, 1, filter_, codes) if part else ():
+        for part in (text[:200], text[200:], []):
+            for bucket, packed in phrases.counted("en", phrases.words_of(part), 1, filter_):
                 merged[bucket].add(packed)
         got, buckets = Counter(), set()
         for bucket, stripes in merged.items():
