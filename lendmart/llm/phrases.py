@@ -54,7 +54,7 @@ LEAST_BUCKETS = 256
 #: Bits of the map of phrases that may be extended (a power of two, 2**15 at least).
 FILTER_BITS = 1 << 25
 #: Bytes of text that a task counts in one go.
-OCTETS = 1 << 23
+OCTETS = 1 << 22
 #: Pieces a language's phrases are ranked in before the last ranking.
 RANK_PIECES = 64
 
