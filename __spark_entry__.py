@@ -10,7 +10,9 @@ from __future__ import annotations
 import os
 import sys
 import uuid
+import warnings
 from collections.abc import Callable
+from datetime import datetime, timezone
 from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -19,11 +21,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T  # n
 
 from lendmart.functions.scalars import metric_value  # noqa: E402
 from lendmart.operators import merge, metrics, quality  # noqa: E402
-from lendmart.plans import datamart, dimfact, layers, preparation  # noqa: E402
-from lendmart.schemas import GENRES, LAYERS, METRIC_LABELS, RENTS  # noqa: E402
-from lendmart.session import shared_folder  # noqa: E402
+from lendmart.plans import datamart, dimfact, layers, preparation, repair  # noqa: E402
+from lendmart.schemas import GENRES, LAYERS, METRIC_LABELS, RENTS, TABLES  # noqa: E402
+from lendmart.session import temporary_folder  # noqa: E402
 from lendmart.sources import landing, readers, rental_views  # noqa: E402
-from lendmart.streaming import jobs  # noqa: E402
+from lendmart.streaming import jobs, late_counts  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,8 +82,7 @@ def _changed(rents: DataFrame) -> DataFrame:
 
 def _scratch_database(spark: SparkSession, purpose: str) -> str:
     """A new database in the shared folder."""
-    folder = shared_folder(spark, purpose)
-    return landing.ensure_layer(spark, "lendmart_" + folder[-32:], folder)
+    return landing.ensure_layer(spark, "lendmart_" + uuid.uuid4().hex, temporary_folder(spark, purpose))
 
 
 # --- queries ------------------------------------------------------------------------
@@ -152,7 +153,7 @@ def _epoch_batch(spark, sf_dir):
 
 def q_staging_load(spark, sf_dir):
     """Rentals through CSV: normalised, written, parsed, checked and staged."""
-    database, folder = _scratch_database(spark, "staging"), shared_folder(spark, "landing")
+    database, folder = _scratch_database(spark, "staging"), temporary_folder(spark, "landing")
     rents = rental_views.rents(spark, sf_dir)
     landing.write_csv(readers.normalize_ts(rents), folder)
     return landing.load_staging(spark, folder, RENTS, f"{database}.rents_staging", ts=None)
@@ -160,7 +161,7 @@ def q_staging_load(spark, sf_dir):
 
 def _stored_rents(spark, sf_dir):
     """Rentals as a written table, which a merge may read several times over."""
-    path = shared_folder(spark, "rents")
+    path = temporary_folder(spark, "rents")
     rental_views.rents(spark, sf_dir).write.parquet(path)
     return spark.read.parquet(path)
 
@@ -257,7 +258,8 @@ def _loose_tables(spark, sf_dir):
     """Library tables before any check: repeated rent numbers, shared emails."""
     books = rental_views.books(spark, sf_dir)
     lines = rental_views.rent_lines(spark, sf_dir).select(
-        "rent_id", F.lit(None).cast("long").alias("user_id"), F.col("l_partkey").alias("book_id")
+        "rent_id", F.when(F.col("l_partkey") % 5 > 0, F.col("l_orderkey")).alias("user_id"),
+        F.when(F.col("l_quantity") < 48, F.col("l_partkey")).alias("book_id"),
     )
     users = rental_views.users(spark, sf_dir, shared_email=True)
     return {"users": users, "books": books, "rents": lines}
@@ -284,7 +286,7 @@ def _event_stream(spark, sf_dir):
 
 def q_stream_insert_only(spark, sf_dir):
     """Events into an insert-only table, delivered twice in full."""
-    database, folder = _scratch_database(spark, "events"), shared_folder(spark, "checkpoints")
+    database, folder = _scratch_database(spark, "events"), temporary_folder(spark, "checkpoints")
     for delivery in ("first", "again"):
         jobs.stream_insert_only(
             _event_stream(spark, sf_dir), f"{database}.events", "event_id",
@@ -294,7 +296,7 @@ def q_stream_insert_only(spark, sf_dir):
 
 
 def q_stream_daily_counts(spark, sf_dir):
-    folder = shared_folder(spark, "daily-counts")
+    folder = temporary_folder(spark, "daily-counts")
     counts = jobs.stream_daily_counts(
         _event_stream(spark, sf_dir), "ts", ["event_type"], f"{EVENT_DELAY_DAYS} day", "events"
     )
@@ -307,9 +309,8 @@ def _text_queries() -> tuple[dict[str, Query], dict[str, str]]:
     try:
         import corpus_pipeline
         from lendmart.llm import registry
-    except ModuleNotFoundError as missing:
-        if missing.name not in ("corpus_pipeline", "lendmart.llm", "lendmart.llm.registry"):
-            raise
+    except ImportError as missing:
+        warnings.warn(f"no text queries: {missing}", stacklevel=2)
         return {}, {}
     sql = dict(registry.ORACLE_SQL)
     if corpus_pipeline.ORACLE_SQL:
@@ -366,6 +367,14 @@ def _rental_queries() -> dict[str, Query]:
         "fk_orphans": q_fk_orphans,
         "stream_insert_only": q_stream_insert_only,
         "stream_daily_counts": q_stream_daily_counts,
+        "append_new_rows": q_append_new_rows,
+        "late_day_repair": q_late_day_repair,
+        "backfill_fact": q_backfill_fact,
+        "daily_load": q_daily_load,
+        "mart_shown": q_mart_shown,
+        "split_read": q_split_read,
+        "stream_redelivered": q_stream_redelivered,
+        "stream_counts_with_late": q_stream_counts_with_late,
     }
 
 
@@ -403,7 +412,7 @@ def _marts(spark, names) -> DataFrame:
 def _layered(spark, sf_dir, broken: bool) -> DataFrame:
     sources, names = _sources(spark, sf_dir), _layer_names()
     for database in names.values():
-        landing.ensure_layer(spark, database, shared_folder(spark, database))
+        landing.ensure_layer(spark, database, temporary_folder(spark, database))
     layers.run_layers(spark, sources | {"rents": _before(sources["rents"])}, names)
     if broken:  # ends after the fact is published
         layers.run_models(spark, sources, names)
@@ -433,6 +442,127 @@ def q_upsert_stored(spark, sf_dir):
     return landing.stored(spark, table)
 
 
+def q_append_new_rows(spark, sf_dir):
+    """A stored insert-only merge over an older target; part of the batch comes twice."""
+    rents = _sources(spark, sf_dir, "rents")["rents"]
+    database = _scratch_database(spark, "append")
+    landing.write_partitioned(_before(rents), f"{database}.rents")
+    batch = _changed(_from(rents))
+    landing.write_partitioned(batch.unionAll(_from(batch, "2000-01-01")), f"{database}.batch", None)
+    landing.append_new_rows(spark.table(f"{database}.batch"), f"{database}.rents", "rent_id")
+    return landing.stored(spark, f"{database}.rents")
+
+
+# Rentals that reach the source after later ones have been taken: some of the first batch,
+# some of those with its newest time, and some that have no time.
+_LATE = "(rent_id % 500 = 3 OR created_at = (SELECT max(created_at) FROM earlier) AND rent_id % 2 = 1)"
+
+
+def q_late_day_repair(spark, sf_dir):
+    """Two incremental loads that skip late rows, then a repair; which days it reloaded."""
+    rents = _stored_rents(spark, sf_dir).withColumn(
+        "created_at", F.when(F.col("rent_id") % 1009 != 0, F.col("created_at")))
+    newest = _before(rents).agg(F.max("created_at")).first()[0]
+    tied = (F.col("created_at") == F.to_timestamp_ntz(F.lit(str(newest)))) & (F.col("rent_id") % 2 == 1)
+    held = (F.col("rent_id") % 500 == 3) | tied
+    table, identity = _scratch_database(spark, "repair") + ".rents", ["rent_id", "created_at"]
+    landing.write_partitioned(_before(rents).where(~held), table)
+    repair.note_digests(spark, table, identity)
+    delta = merge.rows_after(rents, landing.stored_watermark(spark, table))
+    landing.write_partitioned(delta, table, mode="append")
+    repair.absorb_digests(spark, table, delta, identity)
+    days = repair.repair_table(spark, rents, table, "rent_id")
+    return spark.table(table).withColumn("reloaded", landing.on_days(landing.DAY, days)).drop(landing.DAY)
+
+
+def q_backfill_fact(spark, sf_dir):
+    """Rentals of users that reach the dimensions later, filled in afterwards."""
+    sources, names = _sources(spark, sf_dir), _layer_names()
+    for database in names.values():
+        landing.ensure_layer(spark, database, temporary_folder(spark, database))
+    layers.run_models(spark, sources | {"users": _before(sources["users"], "1995-07-01")}, names)
+    layers.run_models(spark, sources, names)
+    layers.backfill_fact(spark, names)
+    return landing.stored(spark, f"{names['dimfact']}.fact_rents")
+
+
+def q_daily_load(spark, sf_dir):
+    """Days through CSV, staging and the warehouse; one comes twice, one has no rows."""
+    folder, names = temporary_folder(spark, "operational"), _layer_names()
+    for name, df in _sources(spark, sf_dir).items():
+        df.write.parquet(f"{folder}/{name}.parquet")
+    landing.ensure_layer(spark, names["warehouse"], temporary_folder(spark, "warehouse"))
+    for name, schema in TABLES.items():
+        landing.ensure_table(spark, f"{names['warehouse']}.{name}", schema)
+    first = readers.slice_day(datetime(1995, 6, 10, 20, tzinfo=timezone.utc))  # already the 11th in its zone
+    for day in (first, "1995-06-11", first, "1970-01-01"):
+        layers.daily_load(
+            spark, lambda name: readers.read_source(spark, f"{name}_data", path=folder), day,
+            temporary_folder(spark, "landing"), names, on_empty="skip")
+    return reduce(DataFrame.unionAll, [
+        landing.stored(spark, f"{names['warehouse']}.{name}").select(
+            F.lit(name).alias("name"), F.col(key).alias("id"), "created_at")
+        for name, key in (("users", "user_id"), ("books", "book_id"), ("rents", "rent_id"))
+    ])
+
+
+def q_mart_shown(spark, sf_dir):
+    """The stock report in its presentation order: one row a book type."""
+    mart = datamart.shown("dmart_booktype_stock", q_booktype_stock(spark, sf_dir))
+    return mart.coalesce(1).select("book_type", F.monotonically_increasing_id().alias("place"))
+
+
+def q_split_read(spark, sf_dir):
+    """How many ranges of a split by return date each rental falls into: always one."""
+    rents = _stored_rents(spark, sf_dir)
+    points = readers.split_points(rents, "return_date", 16)
+    ranges = readers.split_predicates(["return_date"], points)
+    met = [F.coalesce(F.expr(p).cast("int"), F.lit(0)) for p in ranges]
+    return rents.select("rent_id", reduce(lambda a, b: a + b, met).alias("reads"))
+
+
+def _deliveries(spark, sf_dir, *parts):
+    """A folder that takes events in parts, and the stream of its files, one a micro-batch."""
+    events = rental_views.table(spark, sf_dir, "events")
+    folder = temporary_folder(spark, "deliveries")
+    for part in parts:
+        rows = part(events)
+        yield rows.coalesce(1).write.mode("append").parquet(folder), jobs.stream_files(
+            spark, folder, events.schema, files=1)
+
+
+def q_stream_redelivered(spark, sf_dir):
+    """Events with rows repeated inside and across files, deduplicated by a bounded state
+    ahead of the merge."""
+    table = _scratch_database(spark, "redelivered") + ".events"
+    again = lambda df, n: df.unionAll(df.where(F.col("event_id") % n == 0))
+    early = F.col("ts") < F.to_timestamp_ntz(F.lit("2024-01-15 00:00:00"))
+    parts = [lambda e: again(e.where(early), 10), lambda e: e.where(early), lambda e: again(e, 7)]
+    *_, (_, stream) = _deliveries(spark, sf_dir, *parts)
+    jobs.stream_insert_only(
+        stream, table, "event_id", temporary_folder(spark, "checkpoint"), ts="ts", within="1 hour").awaitTermination()
+    return landing.stored(spark, table)
+
+
+# Deliveries of the late events: by thirds of the month, some one or two later.
+_DELIVERY = ("CAST((CASE WHEN ts < TIMESTAMP '2024-01-11 00:00:00' THEN 0 WHEN ts < TIMESTAMP '2024-01-21 00:00:00' "
+             "THEN 1 ELSE 2 END) + (CASE WHEN event_id % 29 = 0 THEN 2 WHEN event_id % 13 = 0 THEN 1 ELSE 0 END) AS INT)")
+
+
+def q_stream_counts_with_late(spark, sf_dir):
+    """Counts of closed days with late rows kept aside and merged in, and how many were late."""
+    table = _scratch_database(spark, "late") + ".counts"
+    checkpoint, delivery = temporary_folder(spark, "checkpoint"), F.expr(_DELIVERY.replace("TIMESTAMP '", "TIMESTAMP_NTZ '"))
+    parts = [lambda e, k=k: e.where(delivery == k) for k in range(5)]
+    for _, stream in _deliveries(spark, sf_dir, *parts):
+        late_counts.stream_counts_with_late(
+            stream, table, "ts", ["event_type"], checkpoint, f"{EVENT_DELAY_DAYS} day", "events").awaitTermination()
+    late_counts.merge_late(spark, table, ["event_type"], "events")
+    late = spark.table(late_counts.side(table, "late")).groupBy("day", "event_type").agg(F.count(F.lit(1)).alias("late"))
+    return spark.table(table).join(late, ["day", "event_type"], "left").select(
+        "day", "event_type", "events", F.coalesce("late", F.lit(0).cast("long")).alias("late"))
+
+
 REJECTS = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("name", T.StringType()), T.StructField("created_at", T.TimestampNTZType()),
 ])
@@ -447,7 +577,7 @@ def q_staging_rejects(spark, sf_dir):
         F.when(kind == 1, F.concat_ws(",", key, name)).when(kind == 2, F.concat_ws(",", key, name, time, F.lit("more")))
         .when(kind == 3, F.concat_ws(",", F.concat(F.lit("x"), key), name, time)).otherwise(F.concat_ws(",", key, name, time))
     )
-    path = shared_folder(spark, "rejects")
+    path = temporary_folder(spark, "rejects")
     customer.select(line.alias("line")).write.option("header", "false").text(path)
     table = _scratch_database(spark, "rejects") + ".customers"
     staged = landing.load_staging(spark, path, REJECTS, table, max_bad=customer.count(), header=False)
@@ -641,8 +771,9 @@ def _constraint_sql() -> str:
     rows = [r.replace("SELECT 'members'", "SELECT 'users'").replace("SELECT 'loans'", "SELECT 'rents'")
             for r in rows]
     return f"""WITH {_HOUSEHOLDS}, {_BOOKS}, members AS (SELECT * FROM households),
-loans AS (SELECT l_orderkey * 8 + l_linenumber AS rent_id, CAST(NULL AS BIGINT) AS user_id,
-                 l_partkey AS book_id FROM lineitem)
+loans AS (SELECT l_orderkey * 8 + l_linenumber AS rent_id,
+                 CASE WHEN l_partkey % 5 > 0 THEN l_orderkey END AS user_id,
+                 CASE WHEN l_quantity < 48 THEN l_partkey END AS book_id FROM lineitem)
 """ + "\nUNION ALL ".join(rows)
 
 
@@ -761,6 +892,34 @@ UNION ALL SELECT rent_id, user_id, book_id, rent_date, return_date, created_at F
   CASE WHEN c_custkey % 4 IN (0, 2) THEN c_name || ', "x"' END AS name,
   CASE c_custkey % 4 WHEN 1 THEN 'too few values' WHEN 3 THEN 'id is no bigint' END AS reason
 FROM customer""",
+    }
+    untimed = "SELECT * REPLACE (CASE WHEN rent_id % 1009 <> 0 THEN created_at END AS created_at) FROM rents"
+    stored |= {
+        "append_new_rows": sql["insert_only_merge"],
+        "late_day_repair": f"""WITH {_RENTS}, source AS ({untimed}),
+earlier AS (SELECT * FROM source WHERE created_at < TIMESTAMP '{TARGET_END}'),
+first AS (SELECT * FROM earlier WHERE NOT {_LATE}),
+skipped AS (SELECT DISTINCT CAST(created_at AS DATE) AS day FROM source
+            WHERE created_at IS NULL OR (created_at <= (SELECT max(created_at) FROM first)
+                  AND rent_id NOT IN (SELECT rent_id FROM first)))
+SELECT s.*, EXISTS (SELECT 1 FROM skipped k WHERE k.day IS NOT DISTINCT FROM CAST(s.created_at AS DATE)) AS reloaded
+FROM source s""",
+        "backfill_fact": sql["fact_rents"],
+        "daily_load": f"""WITH {_USERS}, {_BOOKS}, {_RENTS}, loaded AS (
+  SELECT 'users' AS name, user_id AS id, created_at FROM users
+  UNION ALL SELECT 'books', book_id, created_at FROM books
+  UNION ALL SELECT 'rents', rent_id, created_at FROM rents)
+SELECT * FROM loaded WHERE (created_at >= TIMESTAMP '1995-06-10' AND created_at < TIMESTAMP '1995-06-10 23:59:59')
+  OR (created_at >= TIMESTAMP '1995-06-11' AND created_at < TIMESTAMP '1995-06-11 23:59:59')""",
+        "mart_shown": f"""SELECT book_type, row_number() OVER (ORDER BY book_type NULLS FIRST) - 1 AS place
+FROM ({sql["dmart_booktype_stock"]}) m""",
+        "split_read": f"WITH {_RENTS} SELECT rent_id, CAST(1 AS INTEGER) AS reads FROM rents",
+        "stream_redelivered": "SELECT DISTINCT * FROM events",
+        "stream_counts_with_late": f"""WITH e AS (SELECT *, CAST(ts AS DATE) AS day, {_DELIVERY} AS k FROM events),
+marks AS (SELECT k, CAST(max(max(ts)) OVER (ORDER BY k) - INTERVAL {EVENT_DELAY_DAYS} DAY AS DATE) AS closed FROM e GROUP BY k),
+seen AS (SELECT e.*, coalesce(day < (SELECT max(closed) FROM marks m WHERE m.k < e.k), FALSE) AS late FROM e)
+SELECT day, event_type, count(*) AS events, count(*) FILTER (late) AS late FROM seen
+WHERE day < (SELECT max(closed) FROM marks) GROUP BY day, event_type""",
     }
     marts = f"""SELECT 'user_book' AS mart, CAST(user_id AS VARCHAR) AS a, gender AS b, email AS c,
   created_at_date AS day, sum_of_book AS n, avg_rent_duration AS x FROM ({sql["dmart_user_book"]}) u

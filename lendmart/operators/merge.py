@@ -8,11 +8,15 @@ are few, Spark broadcasts them and the target is scanned without a shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime
+from typing import NamedTuple
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .joins import Hot, NULLS_ONLY, spread_join
+from .joins import Hot, SHARE, hot_keys, spread_join
 
 
 class AmbiguousMerge(ValueError):
@@ -93,7 +97,8 @@ def watermark_delta(src: DataFrame, target: DataFrame | None, ts: str = "created
 
 # --- upsert --------------------------------------------------------------------
 def assert_unique(delta: DataFrame, keys: str | list[str], null_safe: bool = False) -> DataFrame:
-    """Returns the delta, or raises if two of its rows claim one target row.
+    """Returns the delta, or raises if two of its rows claim one target row, by a job of its
+    own ahead of a merge; ``upsert`` has its own guard.
 
     Keys with a NULL match nothing, so they cannot clash unless ``null_safe``.
     """
@@ -105,85 +110,158 @@ def assert_unique(delta: DataFrame, keys: str | list[str], null_safe: bool = Fal
     return delta
 
 
-# Pieces that target rows with a NULL key are cut into.
-NULL_PIECES = 64
+# Names of the encoded key: which parts are NULL, and the parts with NULLs filled in.
+_FLAGS, _PART = "__nulls", "__key"
+_GUARD = "several delta rows share one key of"
 
 
-def _null_safe_join(target: DataFrame, wanted: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """A join in which NULL equals NULL. Target rows with a NULL key may have piled up, so
-    they are cut into pieces by a hash of the row and the few such wanted rows repeated."""
+def _filler(dtype: T.DataType) -> Column:
+    """Any fixed value of a type; the flags tell it from the same value in the data."""
+    if isinstance(dtype, T.StringType):
+        return F.lit("")
+    if isinstance(dtype, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dtype, T.BinaryType):
+        return F.lit(b"")
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01").cast(dtype)
+    return F.lit(0).cast(dtype)
+
+
+def _flags(keys: list[str]) -> Column:
+    bits = F.lit(0)
+    for k, key in enumerate(keys):
+        bits = bits + F.when(F.col(key).isNull(), F.lit(1 << k)).otherwise(F.lit(0))
+    return bits.cast("long")
+
+
+def encoded(df: DataFrame, keys: list[str], null_safe: bool, side: int) -> DataFrame:
+    """``df`` with its key as (flags, filled values) without NULLs, for a plain equi-join.
+
+    If NULL matches nothing, rows with a NULL get a negative flag that the other ``side``
+    (0 or 1) never has; it follows from the row, so such rows also spread over all tasks.
+    """
+    flags = _flags(keys)
+    if not null_safe:
+        own = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+        apart = -1 - side - 2 * F.pmod(own, F.lit(1 << 30))
+        flags = F.when(flags > 0, apart).otherwise(F.lit(0).cast("long"))
+    filled = {f"{_PART}{k}": F.coalesce(F.col(key), _filler(df.schema[key].dataType)) for k, key in enumerate(keys)}
+    return df.withColumns({_FLAGS: flags, **filled})
+
+
+def hot_composite(df: DataFrame, keys: list[str], share: float = SHARE) -> Hot:
+    """The frequent composite keys of ``df``, NULL patterns included, for a null-safe join."""
+    on = [_FLAGS, *(f"{_PART}{k}" for k in range(len(keys)))]
+    hashed = encoded(df.select(*keys), keys, True, 0).select(F.xxhash64(*on).alias("key"))
+    return hot_keys(hashed, "key", share=share)["key"]
+
+
+class _Probe(NamedTuple):
+    """A delta prepared for meeting a target: its rows, its distinct keys, the join columns."""
+
+    rows: DataFrame
+    wanted: DataFrame
+    on: list[str]
+
+
+def _probe(delta: DataFrame, keys: list[str], null_safe: bool, guarded: bool) -> _Probe:
+    """Deals a delta out by key once; its rows and its distinct keys are both read from that.
+
+    The keys come from one aggregation that also counts their rows: a key that several rows
+    claim ends the run. The digest in its message makes both readers ask for the same
+    columns, so the dealing out, and what the delta is computed from, happens once.
+    """
+    on = [_FLAGS, *(f"{_PART}{k}" for k in range(len(keys)))]
+    dealt = encoded(delta, keys, null_safe, 1).repartition(*on)
+    if not guarded:
+        return _Probe(dealt, dealt.select(*on).distinct(), on)
+    every = F.xxhash64(*[F.col(f"`{c}`") for c in delta.columns])
+    counted = dealt.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows"), F.bit_xor(every).alias("__digest"))
+    clash = (F.col("__rows") > 1) & (F.col(_FLAGS) >= 0)
+    message = F.concat(F.lit(f"{_GUARD} {keys}, digest "), F.col("__digest").cast("string"))
+    flags = F.when(clash, F.raise_error(message).cast("long")).otherwise(F.col(_FLAGS))
+    return _Probe(dealt, counted.select(flags.alias(_FLAGS), *on[1:]), on)
+
+
+def _meet(target: DataFrame, probe: _Probe, keys: list[str], null_safe: bool, how: str, hot: Hot) -> DataFrame:
+    own = encoded(target, keys, null_safe, 0)
     rest = [c for c in target.columns if c not in keys] or keys
-    piece = F.when(_all_present(keys), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*rest), F.lit(NULL_PIECES)).cast("int")
-    )
-    every = F.when(_all_present(keys), F.array(F.lit(0))).otherwise(
-        F.sequence(F.lit(0), F.lit(NULL_PIECES - 1))
-    )
-    cut = target.withColumn("_piece", piece)
-    spread = wanted.withColumn("_piece", F.explode(every))
-    same = F.col("t._piece") == F.col("w._piece")
-    for key in keys:
-        same = same & F.col(f"t.{key}").eqNullSafe(F.col(f"w.{key}"))
-    return cut.alias("t").join(spread.alias("w"), same, how).drop("_piece")
+    return spread_join(own, probe.wanted, probe.on, how, rest, hot).select(target.columns)
 
 
 def unmatched(target: DataFrame, delta: DataFrame, keys: str | list[str],
-              null_safe: bool = False) -> DataFrame:
+              null_safe: bool = False, hot: Hot = Hot()) -> DataFrame:
     """Target rows that no delta row replaces."""
     keys = _names(keys)
-    wanted = delta.select(*keys).distinct()
-    if null_safe:
-        return _null_safe_join(target, wanted, keys, "left_anti")
-    wanted = wanted.where(_all_present(keys))
-    rest = [c for c in target.columns if c not in keys]
-    kept = spread_join(target, wanted, keys, "left_anti", rest or keys, NULLS_ONLY)
-    return kept.select(target.columns)
+    return _meet(target, _probe(delta, keys, null_safe, False), keys, null_safe, "left_anti", hot)
 
 
 def matched(target: DataFrame, delta: DataFrame, keys: str | list[str],
-            null_safe: bool = False) -> DataFrame:
+            null_safe: bool = False, hot: Hot = Hot()) -> DataFrame:
     """Target rows that a delta row replaces."""
     keys = _names(keys)
-    wanted = delta.select(*keys).distinct()
-    if null_safe:
-        return _null_safe_join(target, wanted, keys, "left_semi")
-    return target.where(_all_present(keys)).join(wanted, keys, "left_semi")
+    return _meet(target, _probe(delta, keys, null_safe, False), keys, null_safe, "left_semi", hot)
 
 
 def upsert(target: DataFrame, delta: DataFrame, keys: str | list[str],
-           null_safe: bool = False, checked: bool = False) -> DataFrame:
+           null_safe: bool = False, checked: bool = False, hot: Hot = Hot()) -> DataFrame:
     """Target rows replaced by the delta rows of equal key, plus the other delta rows.
 
-    Raises ``AmbiguousMerge`` if two delta rows claim one target row; ``checked`` is
-    for callers that have made sure of it.
+    The result raises when it is run if two delta rows claim one target row (see
+    ``ambiguous``); ``checked`` is for callers that have made sure of it. Nothing runs while
+    the plan is built, and the delta is computed once.
 
     ``=`` never matches a NULL, so rows with a NULL in their key pile up;
-    ``null_safe`` treats NULL as a value.
+    ``null_safe`` treats NULL as a value. ``hot`` (see ``hot_composite``) names keys that very
+    many target rows share; others are left to adaptive execution.
     """
-    if not checked:
-        assert_unique(delta, keys, null_safe)
-    kept = unmatched(target, delta, keys, null_safe)
-    return kept.unionByName(delta.select(target.columns))
+    keys = _names(keys)
+    probe = _probe(delta, keys, null_safe, not checked)
+    kept = _meet(target, probe, keys, null_safe, "left_anti", hot)
+    return kept.unionByName(probe.rows.select(target.columns))
+
+
+@contextmanager
+def ambiguous() -> Iterator[None]:
+    """Turns the guard's error, raised as a merge runs, into ``AmbiguousMerge``."""
+    try:
+        yield
+    except PySparkException as error:
+        if _GUARD in str(error):
+            raise AmbiguousMerge(_GUARD + str(error).split(_GUARD, 1)[1].split("\n", 1)[0]) from error
+        raise
 
 
 # --- operational tables -----------------------------------------------------------
+# Bits of the hash that settles ties of the order.
+_TIE_BITS = 60
+
+
 def insert_ignore(target: DataFrame, batch: DataFrame, unique_cols: str | list[str],
                   order_by: str | list[str]) -> DataFrame:
     """The target with those batch rows that break no unique key.
 
-    Of several batch rows with one new key the first by ``order_by`` wins. It is
-    picked by an aggregate, which combines before the shuffle, not by a window
-    over the whole group. NULL keys never conflict.
+    Of several batch rows with one new key the first by ``order_by`` wins, of equal ones the
+    one with the least hash. The least order of each key comes from an aggregate over
+    numbers, which combines in a hash table before the shuffle, and the rows are found by it.
+    NULL keys never conflict.
     """
     keys = _names(unique_cols)
-    rest = [c for c in batch.columns if c not in keys]
-    order = F.struct(*_names(order_by))
-    keyed = batch.where(_all_present(keys))
-    first = (
-        keyed.groupBy(*keys)
-        .agg(F.min_by(F.struct(*rest), order).alias("_row"))
-        .select(*keys, "_row.*")
-    )
+    order = _names(order_by)
+    columns = batch.columns
+    rows = batch.where(_all_present(keys))
+    tie = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.lit(1 << _TIE_BITS))
+    whole = isinstance(batch.schema[order[-1]].dataType, T.IntegralType)
+    number = F.col(order[-1]).cast("decimal(20,0)") if whole else F.lit(0).cast("decimal(20,0)")
+    ahead = F.lit(str(-(1 << 63) - 1)).cast("decimal(20,0)")  # NULL, before any number
+    last = F.coalesce(number, ahead) * F.lit(str(1 << _TIE_BITS)).cast("decimal(19,0)")
+    places = [F.col(c) for c in order[: -1 if whole else None]] + [(last + tie).cast("decimal(38,0)")]
+    for place in places:  # one round for a single whole number
+        rows = rows.withColumn("__place", place)
+        least = rows.groupBy(*keys).agg(F.min("__place").alias("__least"))
+        rows = rows.join(least, keys).where(F.col("__place").eqNullSafe(F.col("__least"))).select(columns)
+    first = rows.distinct()  # what is left of a key is one row, repeated
     taken = target.select(*keys).distinct()
     fresh = first.join(taken, keys, "left_anti").unionByName(batch.where(~_all_present(keys)))
     return target.unionByName(fresh.select(target.columns))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..schemas import CONSTRAINTS
 
@@ -37,42 +38,55 @@ def table_head(df: DataFrame, n: int = 5) -> DataFrame:
 def constraint_report(tables: dict[str, DataFrame], constraints=CONSTRAINTS) -> DataFrame:
     """(table_name, column_name, rule, violations) for every declared rule.
 
-    ``unique`` and ``primary_key`` count the rows beyond the first of each value.
-    NULL and length rules of a table share one scan.
+    ``unique`` and ``primary_key`` count the rows beyond the first of each value. Each table
+    is read once: a row gives a (rule, hash) pair for every unique value it holds and every
+    rule it breaks, the pairs of all tables are counted together per task and in one
+    shuffle, and what is left is a row a rule (so broadcast). The hash has 96 bits.
     """
-    parts = []
+    rules: list[tuple[str, str, str]] = []
+    pairs = []
     for name, df in tables.items():
-        rules = constraints[name]
-        parts.append(_row_rules(name, df, rules))
-        parts.append(_repeats(name, df, rules["key"], "primary_key"))
-        parts += [_repeats(name, df, column, "unique") for column in rules["unique"]]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _row_rules(table: str, df: DataFrame, rules: dict) -> DataFrame:
-    checks = [(c, "not_null", F.col(c).isNull()) for c in (rules["key"], *rules["required"])]
-    checks += [
-        (c, f"max_length_{limit}", F.length(c) > limit)
-        for c, limit in rules["max_length"].items()
-    ]
-    counts = df.agg(*[F.count_if(bad).alias(f"_v{i}") for i, (_, _, bad) in enumerate(checks)])
-    facts = [
-        F.struct(
-            F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
-            F.lit(rule).alias("rule"), F.col(f"_v{i}").alias("violations"),
-        )
-        for i, (column, rule, _) in enumerate(checks)
+        declared = constraints[name]
+        known = []
+        for column, rule, pair in _checks(declared):
+            known.append(pair(len(rules)))
+            rules.append((name, column, rule))
+        present = F.filter(F.array(*known), lambda p: p.isNotNull())
+        pairs.append(df.select(F.inline(present)))
+    counted = reduce(DataFrame.unionAll, pairs).groupBy("rule", "high", "low", "unique").agg(F.count(F.lit(1)).alias("n"))
+    broken = counted.groupBy("rule").agg(F.sum(F.col("n") - F.col("unique").cast("int")).alias("violations"))
+    listed = F.array(*[
+        F.struct(F.lit(k).alias("rule"), *[F.lit(v).alias(c) for c, v in zip(("table_name", "column_name", "name"), rule)])
+        for k, rule in enumerate(rules)
+    ])
+    every = pairs[0].sparkSession.range(1).select(F.inline(listed))
+    return every.join(F.broadcast(broken), "rule", "left").select(
+        "table_name", "column_name", F.col("name").alias("rule"),
+        F.coalesce("violations", F.lit(0).cast("long")).alias("violations"),
+    )
+
+
+def _checks(rules: dict) -> list[tuple[str, str, Callable[[int], Column]]]:
+    """(column, rule, pair) of the rules of a table; ``pair`` gives the (rule, hash) that a
+    row adds to the count of the rule with a given number, or NULL."""
+
+    def breaks(bad: Column) -> Callable[[int], Column]:
+        return lambda k: F.when(bad, _pair(k, F.lit(0).cast("long"), F.lit(0), False))
+
+    def repeats(column: str) -> Callable[[int], Column]:
+        return lambda k: F.when(F.col(column).isNotNull(), _pair(k, F.xxhash64(column), F.hash(column), True))
+
+    return [
+        *[(c, "not_null", breaks(F.col(c).isNull())) for c in (rules["key"], *rules["required"])],
+        *[(c, f"max_length_{limit}", breaks(F.length(c) > limit)) for c, limit in rules["max_length"].items()],
+        (rules["key"], "primary_key", repeats(rules["key"])),
+        *[(c, "unique", repeats(c)) for c in rules["unique"]],
     ]
-    return counts.select(F.inline(F.array(*facts)))
 
 
-def _repeats(table: str, df: DataFrame, column: str, rule: str) -> DataFrame:
-    per_value = df.where(F.col(column).isNotNull()).groupBy(column).count()
-    return per_value.agg(
-        F.coalesce(F.sum(F.col("count") - 1), F.lit(0).cast("long")).alias("violations")
-    ).select(
-        F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
-        F.lit(rule).alias("rule"), "violations",
+def _pair(number: int, high: Column, low: Column, unique: bool) -> Column:
+    return F.struct(
+        F.lit(number).alias("rule"), high.alias("high"), low.alias("low"), F.lit(unique).alias("unique")
     )
 
 

@@ -46,3 +46,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="lendmart-")
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def temporary_folder(spark: SparkSession, purpose: str) -> str:
+    """The same for what a driver needs no longer than it lives: removed when it ends."""
+    path = shared_folder(spark, purpose)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(folder)
+    store.deleteOnExit(folder)
+    return f"{path}/data"

@@ -1,19 +1,22 @@
 """Writing: interchange CSV, staging, warehouse tables and the metrics table.
 
 Tables are Parquet tables of the session catalog, one database per layer, stored
-by day. Nothing is deleted before its replacement is written.
+by day. Nothing is deleted before its replacement is written, a table is never
+missing while it is replaced, and what a write needs is set on that write, not on
+the session, so jobs may run side by side.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from datetime import date, datetime
+import uuid
+from collections.abc import Callable, Iterable
+from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..operators.joins import Hot
-from ..operators.merge import assert_unique, matched, new_rows, unmatched
+from ..operators.merge import ambiguous, matched, new_rows, upsert
 
 DAY = "created_date"
 
@@ -59,20 +62,50 @@ def _by_day(df: DataFrame, ts: str | None, day: str) -> tuple[DataFrame, list[st
     return df.select(columns).hint("rebalance", day), [day]
 
 
-def _write(df: DataFrame, table: str, mode: str, by: list[str]) -> None:
-    df.write.format("parquet").mode(mode).partitionBy(*by).saveAsTable(table)
+def _create(df: DataFrame, table: str, by: list[str]) -> None:
+    """Creates an empty table with the columns of ``df`` unless it exists."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    parts = f" PARTITIONED BY ({', '.join(by)})" if by else ""
+    df.sparkSession.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{parts}")
 
 
-def _overwrite_days(df: DataFrame, table: str) -> None:
-    """Replaces the days that occur in ``df``, at commit; it may read the table."""
-    conf = df.sparkSession.conf
-    name = "spark.sql.sources.partitionOverwriteMode"
-    before = conf.get(name)
-    conf.set(name, "dynamic")
-    try:
-        df.write.insertInto(table, overwrite=True)
-    finally:
-        conf.set(name, before)
+def _write(df: DataFrame, table: str, by: list[str], replace: bool) -> set[tuple]:
+    """Writes files into the parts of a table that occur in ``df``, beside those there or, at
+    commit, in their place; returns the parts. ``df`` may read the table.
+
+    The write mode goes with the write, so a job beside it keeps its own, and the catalog is
+    told of new parts in a few statements, without looking through the folders again.
+    """
+    spark = df.sparkSession
+    kept = Observation()
+    seen = df.observe(kept, F.collect_set(F.struct(*by)).alias("parts"))
+    mode = "overwrite" if replace else "append"
+    options = {"partitionOverwriteMode": "dynamic"} if replace else {}
+    seen.write.mode(mode).options(**options).partitionBy(*by).parquet(_location(spark, table))
+    parts = {tuple(part[c] for c in by) for part in kept.get["parts"]}
+    _alter(spark, table, "ADD IF NOT EXISTS", " ", [_spec(zip(by, part)) for part in parts])
+    spark.catalog.refreshTable(table)
+    return parts
+
+
+def beside(table: str, purpose: str) -> str:
+    """A name of its own for a table that lives as long as one job."""
+    return f"{table}__{purpose}_{uuid.uuid4().hex[:12]}"
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").collect()
+    return rows[-1]["data_type"]
+
+
+def _remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _overwrite_days(df: DataFrame, table: str, day: str) -> set:
+    """Replaces the days that occur in ``df`` and returns them."""
+    return {part[0] for part in _write(df, table, [day], True)}
 
 
 def write_partitioned(df: DataFrame, table: str, ts: str | None = "created_at",
@@ -82,23 +115,93 @@ def write_partitioned(df: DataFrame, table: str, ts: str | None = "created_at",
     ``append`` adds files. ``replace`` never deletes before the new rows are
     written, so the DataFrame may read the table and a failed job leaves the old
     content: days are overwritten one by one at commit, days without rows are
-    dropped after it, and a table not stored by day is written aside and renamed.
+    dropped after it, and a table not stored by day is written to a new folder
+    that the catalog then points to.
     """
     spark = df.sparkSession
     df, by = _by_day(df, ts, day)
-    if mode == "append" or not table_exists(spark, table):
-        _write(df, table, "append", by)
+    if not table_exists(spark, table):
+        if not by:
+            df.write.format("parquet").saveAsTable(table)
+            return
+        _create(df, table, by)
+        mode = "append"
+    if mode == "append" and by:
+        _write(df.select(spark.table(table).columns), table, by, False)
+    elif mode == "append":
+        df.select(spark.table(table).columns).write.insertInto(table)
     elif by:
-        kept = Observation()
-        df = df.observe(kept, F.collect_set(F.coalesce(F.col(day).cast("string"), F.lit("")))
-                        .alias("days"))
-        _overwrite_days(df.select(spark.table(table).columns), table)
-        present = {d and date.fromisoformat(d) or None for d in kept.get["days"]}
+        present = _overwrite_days(df.select(spark.table(table).columns), table, day)
         _drop_days(spark, table, day, stored_days(spark, table) - present)
     else:
-        _write(df, f"{table}__next", "overwrite", by)
-        spark.sql(f"DROP TABLE {table}")
-        spark.sql(f"ALTER TABLE {table}__next RENAME TO {table}")
+        _switch(df, table)
+
+
+def _switch(df: DataFrame, table: str) -> None:
+    """Replaces a table not stored by day by pointing it to a new folder.
+
+    Readers see the old or the new content at any time. The folder that was current stays
+    until the next replacement, for readers that have planned on it.
+    """
+    spark = df.sparkSession
+    current = _location(spark, table)
+    folder = f"{current.rsplit('/', 1)[0]}/{beside(table.rsplit('.', 1)[-1], 'v')}"
+    df.select(spark.table(table).columns).write.parquet(folder)
+    known = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('previous' = '{current}')")
+    spark.catalog.refreshTable(table)
+    if "previous" in known:
+        _remove_folder(spark, known["previous"])
+
+
+def drop_table(spark: SparkSession, table: str) -> None:
+    """Drops a table with the folder it had before its last replacement."""
+    if table_exists(spark, table):
+        known = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        if "previous" in known:
+            _remove_folder(spark, known["previous"])
+
+
+def replace_days(df: DataFrame, table: str, days: Iterable, ts: str = "created_at", day: str = DAY) -> None:
+    """Replaces ``days`` of a table by ``df``, which holds rows of these days only; a day
+    that has none is dropped."""
+    content, _ = _by_day(df, ts, day)
+    spark = df.sparkSession
+    present = _overwrite_days(content.select(spark.table(table).columns), table, day)
+    _drop_days(spark, table, day, set(days) - present)
+
+
+def put_parts(df: DataFrame, table: str, by: list[str]) -> None:
+    """Replaces the parts of a table, told apart by ``by``, that occur in ``df``; creates the
+    table if it is missing. Putting the same rows twice leaves them once."""
+    _create(df, table, by)
+    _write(df.hint("rebalance", *by), table, by, True)
+
+
+def drop_parts(spark: SparkSession, table: str, gone: Callable[[dict[str, str]], bool]) -> None:
+    """Drops the parts of a table whose values, as the catalog has them, ``gone`` picks."""
+    found = [dict(v.split("=", 1) for v in r[0].split("/")) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    _alter(spark, table, "DROP IF EXISTS", ", ", [_spec(part.items()) for part in found if gone(part)])
+
+
+# Parts named in one catalog statement.
+_SPECS = 1000
+
+
+def _spec(values: Iterable[tuple]) -> str:
+    def literal(value) -> str:
+        if value is None:
+            return "NULL"
+        return f"DATE'{value}'" if isinstance(value, date) else f"'{value}'"
+
+    return f"PARTITION ({', '.join(f'{c}={literal(v)}' for c, v in values)})"
+
+
+def _alter(spark: SparkSession, table: str, change: str, between: str, specs: list[str]) -> None:
+    for k in range(0, len(specs), _SPECS):
+        spark.sql(f"ALTER TABLE {table} {change} {between.join(specs[k : k + _SPECS])}")
 
 
 def stored_days(spark: SparkSession, table: str) -> set[date | None]:
@@ -108,9 +211,7 @@ def stored_days(spark: SparkSession, table: str) -> set[date | None]:
 
 
 def _drop_days(spark: SparkSession, table: str, day: str, days: set) -> None:
-    for value in days:
-        spec = f"DATE'{value}'" if value else "NULL"
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({day}={spec})")
+    _alter(spark, table, "DROP IF EXISTS", ", ", [_spec([(day, value)]) for value in days])
 
 
 def stored(spark: SparkSession, table: str, day: str = DAY) -> DataFrame:
@@ -187,7 +288,7 @@ def load_staging(spark: SparkSession, path: str, schema: T.StructType, table: st
         raise
     seen = Observation()
     counted = parsed.observe(seen, F.count_if("_bad").alias("bad"))
-    aside = f"{table}__parsed"
+    aside = beside(table, "parsed")
     write_partitioned(counted.where(~F.col("_bad")).select(schema.names), aside, None)
     rejected = seen.get["bad"]
     if rejected > max_bad:
@@ -238,20 +339,18 @@ def upsert_table(delta: DataFrame, table: str, keys: list[str], ts: str | None =
     ``before`` is told the days before any of them is written.
     """
     spark = delta.sparkSession
-    if not checked:
-        assert_unique(delta, keys, null_safe)
     target = spark.table(table)
     if ts is None:
-        kept = unmatched(target, delta, keys, null_safe)
-        write_partitioned(kept.unionByName(delta.select(target.columns)), table, None)
+        with ambiguous():
+            write_partitioned(upsert(target, delta.select(target.columns), keys, null_safe, checked), table, None)
         return set()
     delta = delta if ts == day else delta.withColumn(day, F.to_date(ts))
     delta = delta.select(target.columns)
-    arriving = _days(delta, day)
+    low, high, arriving = _extent(delta, keys[0], day)
     # A replaced row may lie on another day than its replacement.
     touched = arriving
-    if day not in keys:
-        within = target if null_safe else _within(target, delta, keys[0])
+    if day not in keys and arriving:
+        within = target if null_safe else target.where(F.col(keys[0]).between(low, high))
         touched = arriving | _days(
             matched(within.select(*keys, day), delta, keys, null_safe), day
         )
@@ -259,25 +358,59 @@ def upsert_table(delta: DataFrame, table: str, keys: list[str], ts: str | None =
         return touched
     if before:
         before(touched)
-    kept = unmatched(target.where(on_days(day, touched)), delta, keys, null_safe)
-    gone = touched - arriving
-    gone -= _days(kept.where(on_days(day, gone)), day) if gone else set()
-    content, _ = _by_day(kept.unionByName(delta), day, day)
-    _overwrite_days(content, table)
-    _drop_days(spark, table, day, gone)
+    content = upsert(target.where(on_days(day, touched)), delta, keys, null_safe, checked)
+    with ambiguous():
+        present = _overwrite_days(_by_day(content, day, day)[0], table, day)
+    _drop_days(spark, table, day, touched - present)
     return touched
 
 
+def _extent(delta: DataFrame, key: str, day: str) -> tuple:
+    """Least and greatest key and the days of a delta, in one pass."""
+    row = delta.agg(
+        F.min(key).alias("low"), F.max(key).alias("high"), F.collect_set(day).alias("days"),
+        F.count_if(F.col(day).isNull()).alias("without"),
+    ).first()
+    return row["low"], row["high"], set(row["days"]) | ({None} if row["without"] else set())
+
+
 def _days(df: DataFrame, day: str) -> set:
     """The distinct days of a DataFrame; a table has one folder for each."""
     return {row[0] for row in df.select(day).distinct().collect()}
 
 
+def _ranges(days: set) -> list[tuple[date, date]]:
+    """The days, but ``None``, as first and last day of unbroken ranges."""
+    ranges: list[tuple[date, date]] = []
+    for value in sorted(d for d in days if d is not None):
+        if ranges and value - ranges[-1][1] == timedelta(days=1):
+            ranges[-1] = ranges[-1][0], value
+        else:
+            ranges.append((value, value))
+    return ranges
+
+
 def on_days(day: str, days: set) -> Column:
-    """Condition on a storage day, with ``None`` for rows without one."""
-    known = [d for d in days if d is not None]
-    chosen = F.col(day).isin(known) if known else F.lit(False)
-    return chosen | F.col(day).isNull() if None in days else chosen
+    """Condition on a storage day, by ranges, with ``None`` for rows without one."""
+    chosen = F.col(day).isNull() if None in days else F.lit(False)
+    ranges = _ranges(days)
+    single = [low for low, high in ranges if low == high]
+    if single:
+        chosen = chosen | F.col(day).isin(single)
+    for low, high in ranges:
+        if low != high:
+            chosen = chosen | F.col(day).between(F.lit(low), F.lit(high))
+    return chosen
+
+
+def within_days(ts: str, days: set) -> Column:
+    """Condition on a time that lies on one of ``days``, by ranges that reach the files'
+    statistics, with ``None`` for rows without a time."""
+    chosen = F.col(ts).isNull() if None in days else F.lit(False)
+    for low, high in _ranges(days):
+        start, end = (F.to_timestamp_ntz(F.lit(f"{d} 00:00:00")) for d in (low, high + timedelta(days=1)))
+        chosen = chosen | ((F.col(ts) >= start) & (F.col(ts) < end))
+    return chosen
 
 
 # --- metrics ----------------------------------------------------------------------------------

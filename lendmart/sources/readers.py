@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
 from datetime import date, datetime, time, timedelta
+from decimal import Decimal
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -40,21 +42,95 @@ def slice_predicates(day: date | str, parts: int, ts: str = "created_at",
     return [f"{ts} >= '{low}' AND {ts} < '{high}'" for low, high in zip(cuts, cuts[1:])]
 
 
+# --- splitting a whole table by its keys ------------------------------------------
+# Rows a JDBC connection fetches at a time; the drivers' own defaults are ten, or all.
+FETCH_ROWS = 10_000
+
+
+def _literal(value) -> str:
+    """A key value as an SQL literal."""
+    if isinstance(value, bool) or value is None:
+        raise TypeError(f"no split point: {value!r}")
+    if isinstance(value, (int, float, Decimal)):
+        return str(value)
+    if isinstance(value, (datetime, date)):
+        return f"'{value.isoformat(sep=' ') if isinstance(value, datetime) else value.isoformat()}'"
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def split_query(table: str, keys: Sequence[str], parts: int) -> str:
+    """SQL for the points that cut a table into ``parts`` ranges of as many rows each.
+
+    The database numbers the rows by key (an index scan, if it has one) and returns the
+    first key of every range but the first, with its place: ``parts - 1`` rows at most. Their
+    order is the database's, which may not be that of their text. With several keys the
+    later ones cut ranges within one value of the earlier, so a value that very many
+    rows share is cut as well.
+    """
+    names, present = ", ".join(keys), " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    return (
+        f"SELECT {names}, place_ FROM (SELECT {names}, ROW_NUMBER() OVER (ORDER BY {names}) AS place_, "
+        f"COUNT(*) OVER () AS rows_ FROM {table} WHERE {present}) numbered_ "
+        f"WHERE place_ > 1 AND MOD(place_ - 1, CAST(CEIL(rows_ * 1.0 / {parts}) AS INTEGER)) = 0"
+    )
+
+
+def split_points(df: DataFrame, key: str, parts: int) -> list[tuple]:
+    """The same for a table Spark reads itself: quantiles of a number or time, from one
+    sketch a task, which stays small whatever the number of rows."""
+    if parts < 2:
+        return []
+    share = [k / parts for k in range(1, parts)]
+    accuracy = 100 * parts
+    found = df.agg(F.percentile_approx(key, share, accuracy)).first()[0] or []
+    return [(value,) for value in found]
+
+
+def split_predicates(keys: Sequence[str], points: Iterable[Sequence]) -> list[str]:
+    """SQL conditions that deal every row of a table to exactly one range of its keys.
+
+    ``points`` come in the order of the keys; a repeated one counts once. Keys compare one
+    after the other, as in an index. Rows with a NULL in their keys have a condition of
+    their own, the last.
+    """
+    cuts = list(dict.fromkeys(tuple(p) for p in points))
+
+    def below(cut: tuple) -> str:
+        ways, same = [], []
+        for key, value in zip(keys, cut):
+            ways.append(" AND ".join([*same, f"{key} < {_literal(value)}"]))
+            same.append(f"{key} = {_literal(value)}")
+        return "(" + " OR ".join(f"({w})" for w in ways) + ")"
+
+    present = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    ranges = [
+        " AND ".join(filter(None, [present, low and f"NOT {below(low)}", high and below(high)]))
+        for low, high in zip([None, *cuts], [*cuts, None])
+    ]
+    return [*ranges, " OR ".join(f"{k} IS NULL" for k in keys)]
+
+
 def read_source(spark: SparkSession, name: str, fmt: str = "parquet", *,
                 day: date | str | None = None, parts: int = 8, exact: bool = False,
-                **opts) -> DataFrame:
+                split_by: Sequence[str] = (), **opts) -> DataFrame:
     """One source table with all its columns.
 
     Files: ``path`` is the folder that holds ``<table>.<fmt>``. JDBC: ``url``,
-    optionally ``namespace`` and connection properties; with ``day`` the slice
-    is read over ``parts`` connections, each fetching its own time range.
+    optionally ``namespace`` and connection properties (``fetchsize`` is ``FETCH_ROWS``
+    unless given); with ``day`` the slice is read over ``parts`` connections, each fetching
+    its own time range. A whole table is read over ``parts`` connections if ``split_by``
+    names its keys: a first query asks the database for ranges of equal weight.
     """
     table = SOURCES.get(name, name)
     if fmt == "jdbc":
         url = opts.pop("url")
         namespace = opts.pop("namespace", None)
-        reader = spark.read.options(preferTimestampNTZ="true", **opts)
+        reader = spark.read.options(**{"preferTimestampNTZ": "true", "fetchsize": str(FETCH_ROWS), **opts})
         target = f"{namespace}.{table}" if namespace else table
+        if day is None and split_by:
+            found = reader.jdbc(url, f"({split_query(target, split_by, parts)}) points_").collect()
+            points = [row[:-1] for row in sorted(found, key=lambda row: row[-1])]
+            return reader.jdbc(url, target, predicates=split_predicates(split_by, points))
         if day is None:
             return reader.jdbc(url, target)
         return reader.jdbc(url, target, predicates=slice_predicates(day, parts, exact=exact))

@@ -260,3 +260,29 @@ def test_shared_folder_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_folder(spark, "x"), shared_folder(spark, "x")
     assert first.startswith(base) and first != second
+
+
+def test_day_noted_while_a_mart_is_computed_stays_owed(spark, layers, monkeypatch):
+    tables = source(spark)
+    jobs.run_layers(spark, tables | {"rents": tables["rents"].where("rent_id < 3")}, layers)
+    jobs.run_models(spark, tables, layers)
+    later = {date(2024, 12, 31)}
+    make = datamart.dmart_user_book
+    monkeypatch.setattr(jobs.datamart, "dmart_user_book", lambda *a, **k: (
+        jobs.note_days(spark, layers["datamart"], later), make(*a, **k))[1])
+    jobs.run_marts(spark, layers)
+    assert jobs.owed_days(spark, layers["datamart"], "dmart_user_book") == later
+    monkeypatch.undo()
+    jobs.run_marts(spark, layers)
+    assert not any(jobs.owed_days(spark, layers["datamart"], name) for name in jobs.MARTS)
+    assert stored_marts(spark, layers) == expected_marts(spark, layers)
+    # what every mart has settled is cleared away
+    assert spark.table(f"{layers['datamart']}.{jobs.OWED}").isEmpty()
+    assert spark.table(f"{layers['datamart']}.{jobs.SETTLED}").isEmpty()
+
+
+def test_failure_of_one_model_reaches_the_caller():
+    done = []
+    with pytest.raises(KeyError):
+        jobs._side_by_side(lambda: {}["x"], lambda: done.append(1))
+    assert done == [1]

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import os
 from datetime import date, datetime, timezone
 
 import pytest
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from conftest import at, rows
 from lendmart.schemas import RENTS, USERS, layer_name
 from lendmart.sources import landing, readers
+from lendmart.sources.readers import read_source, split_points, split_predicates, split_query
 from lendmart.operators.quality import table_head, table_profile
 
 ITEM = T.StructType([
@@ -80,7 +82,7 @@ def test_jdbc_reader_options(monkeypatch, spark):
     readers.read_source(Session(), "rents_data", "jdbc", url="jdbc:x", namespace="shop",
                         day="2025-01-01", parts=4, user="u")
     assert seen["table"] == "shop.rents" and len(seen["predicates"]) == 4
-    assert seen["options"] == {"preferTimestampNTZ": "true", "user": "u"}
+    assert seen["options"] == {"preferTimestampNTZ": "true", "fetchsize": "10000", "user": "u"}
 
 
 def test_normalize_cuts_subseconds(spark):
@@ -234,3 +236,130 @@ def test_epochs_of_every_numeric_type(spark):
         assert readers.normalize_ts(df).first()[0] == "2025-01-10 00:00:00"
     with pytest.raises(TypeError):
         readers.normalize_ts(spark.sql("SELECT true AS created_at"))
+
+
+# --- splitting whole tables ---------------------------------------------------------------
+def _dealt(rows_, keys, points):
+    """How many conditions each row meets, by the rules of a database."""
+    import duckdb
+    import pandas as pd
+
+    con = duckdb.connect()
+    con.register("t", pd.DataFrame(rows_))
+    parts = split_predicates(keys, points)
+    tests = ", ".join(f"count(*) FILTER ({p}) AS p{k}" for k, p in enumerate(parts))
+    met = " + ".join(f"CASE WHEN {p} THEN 1 ELSE 0 END" for p in parts)
+    sizes = con.execute(f"SELECT {tests} FROM t").fetchone()
+    return sizes, {r[0] for r in con.execute(f"SELECT DISTINCT {met} FROM t").fetchall()}
+
+
+@pytest.mark.parametrize("parts", [1, 2, 7, 50])
+def test_split_covers_every_row_once_and_evenly(parts):
+    """Gaps in the keys, a value that a third of the rows share, NULL keys, quotes."""
+    import duckdb
+    import pandas as pd
+
+    table = pd.DataFrame({
+        "a": [None if k % 11 == 0 else 7 if k % 3 == 0 else k * k for k in range(900)],
+        "b": [f"o'{k % 13}" for k in range(900)], "c": range(900),
+    })
+    con = duckdb.connect()
+    con.register("t", table)
+    for keys, worst in ((["c"], 1), (["a", "c"], 1), (["b", "a", "c"], 1), (["a"], 400), (["b"], 70)):
+        found = con.execute(split_query("t", keys, parts)).fetchall()
+        assert len(found) <= parts - 1
+        points = [row[:-1] for row in sorted(found, key=lambda row: row[-1])]
+        sizes, met = _dealt(table, keys, points)
+        assert met == {1}
+        assert sizes[-1] == table[keys].isna().any(axis=1).sum()
+        filled = table[keys].notna().all(axis=1).sum()
+        assert sum(sizes[:-1]) == filled and max(sizes[:-1]) <= max(-(-filled // parts), worst) + (worst > 1) * filled // parts
+
+
+def test_split_of_an_empty_table_and_odd_points():
+    assert split_predicates(["k"], []) == ["k IS NOT NULL", "k IS NULL"]
+    parts = split_predicates(["k"], [(3,), (3,), (5,)])
+    assert len(parts) == 4 and parts[0] == "k IS NOT NULL AND ((k < 3))"
+    with pytest.raises(TypeError):
+        split_predicates(["k"], [(None,)])
+    assert split_predicates(["d"], [(date(2025, 1, 2),), (datetime(2025, 1, 3, 4, 5),)])[1].count("'2025-01-0") == 2
+
+
+def test_split_points_of_a_table_spark_reads(spark):
+    df = spark.range(1000).selectExpr("CASE WHEN id % 9 = 0 THEN NULL WHEN id % 2 = 0 THEN 5 ELSE id END AS k", "id")
+    points = split_points(df, "k", 8)
+    assert len(points) == 7 and split_points(df, "k", 1) == []
+    met = df.select(sum(F.coalesce(F.expr(p).cast("int"), F.lit(0)) for p in split_predicates(["k"], points)).alias("n"))
+    assert {r.n for r in met.distinct().collect()} == {1}
+    assert split_points(df.where("k IS NULL"), "k", 4) == []
+
+
+def test_whole_jdbc_tables_are_read_by_ranges(spark, monkeypatch):
+    """What reaches the JDBC reader; no database is needed for that."""
+    from pyspark.sql import DataFrameReader
+
+    calls = []
+
+    def jdbc(self, url, table, predicates=None, **_):
+        calls.append((table, predicates))
+        return spark.createDataFrame([(5, 9, 3), (2, 1, 2)], "a long, b long, place_ long")
+
+    monkeypatch.setattr(DataFrameReader, "jdbc", jdbc)
+    read_source(spark, "rents_data", "jdbc", url="jdbc:x", namespace="lib", split_by=["a", "b"], parts=3)
+    (points, none), (table, predicates) = calls
+    assert none is None and "lib.rents" in points and "ROW_NUMBER() OVER (ORDER BY a, b)" in points
+    assert table == "lib.rents" and len(predicates) == 4
+    assert predicates[1].endswith("NOT ((a < 2) OR (a = 2 AND b < 1)) AND ((a < 5) OR (a = 5 AND b < 9))")
+
+
+# --- replacing tables under readers ---------------------------------------------------------
+def test_readers_never_miss_a_table_that_is_replaced(spark, database):
+    import threading
+
+    table = f"{database}.small"
+    landing.write_partitioned(spark.range(5).withColumn("v", F.lit(0)), table, None)
+    wrong, seen, done = [], set(), threading.Event()
+
+    def read():
+        while not done.is_set():
+            try:
+                found = {tuple(r) for r in spark.table(table).groupBy("v").count().collect()}
+                seen.update(v for v, _ in found)
+                if len(found) != 1 or {n for _, n in found} != {5}:
+                    wrong.append(found)
+            except Exception as error:  # noqa: BLE001
+                wrong.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for version in range(1, 6):
+        landing.write_partitioned(spark.range(5).withColumn("v", F.lit(version)), table, None)
+    done.set()
+    reader.join()
+    assert not wrong and len(seen) > 1
+    # its own content may be read while it is replaced
+    landing.write_partitioned(spark.table(table).where("id > 2"), table, None)
+    assert spark.table(table).count() == 2
+    folder = spark.sql(f"DESCRIBE DATABASE {database}").where("info_name = 'Location'").first()[1].removeprefix("file:")
+    assert len([d for d in os.listdir(folder) if d.startswith("small")]) == 2  # the current one and the last
+    landing.drop_table(spark, table)
+    assert not [d for d in os.listdir(folder) if d.startswith("small")]
+
+
+def test_writers_side_by_side_keep_their_own_mode(spark, database):
+    from concurrent.futures import ThreadPoolExecutor
+
+    table = f"{database}.days"
+    first = spark.range(60).selectExpr("id", "TIMESTAMP_NTZ'2025-01-01 10:00:00' + make_dt_interval(cast(id % 6 AS int)) AS created_at")
+    landing.write_partitioned(first, table)
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+
+    def replace(day):
+        part = first.where(F.dayofmonth("created_at") == day)
+        landing.replace_days(part.withColumn("id", F.col("id") + 100), table, {date(2025, 1, day)})
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(replace, (1, 2, 3)))
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+    got = rows(landing.stored(spark, table).selectExpr("id"))
+    assert got == sorted([(k + 100 if k % 6 < 3 else k,) for k in range(60)])

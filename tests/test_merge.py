@@ -80,6 +80,37 @@ def test_insert_ignore_keeps_the_first(spark):
     assert sorted(r.user_id for r in merged.collect()) == [1, 3, 4, 6]
 
 
+@settings(max_examples=15, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.one_of(st.none(), st.integers(-2, 2)),
+                          st.sampled_from(["x", "y"])), max_size=14), st.booleans())
+def test_insert_ignore_against_brute_force(spark, batch, by_text):
+    """Also with ties, NULL orders and repeated rows; NULLs come first."""
+    schema = "email string, n long, name string"
+    target = [("c", 9, "t")]
+    got = merge.insert_ignore(frame(spark, target, schema), frame(spark, batch, schema), "email",
+                              ["name", "n"] if by_text else "n").collect()
+    got = sorted(map(tuple, got), key=str)
+    nulls = [r for r in batch if r[0] is None]
+    assert sorted([r for r in got if r[0] is None], key=str) == sorted(nulls, key=str)
+    order = lambda r: (r[2], r[1] is not None, r[1] or 0) if by_text else (r[1] is not None, r[1] or 0)
+    for email in ("a", "b"):
+        mine = [r for r in batch if r[0] == email]
+        kept = [r for r in got if r[0] == email]
+        assert len(kept) == bool(mine)
+        if mine:
+            assert kept[0] in mine and order(kept[0]) == min(map(order, mine))
+    assert [r for r in got if r[0] == "c"] == target
+
+
+def test_insert_ignore_needs_no_sort(spark):
+    schema = "user_id long, email string, name string"
+    rows_ = frame(spark, [(k, f"e{k % 3}", "n") for k in range(9)], schema)
+    merged = merge.insert_ignore(rows_.limit(1), rows_, "email", "user_id")
+    merged.collect()
+    assert "SortAggregate" not in merged._jdf.queryExecution().executedPlan().toString()
+
+
 def test_stock(spark):
     books = frame(spark, [(1, 2), (2, 1), (3, 0), (4, None)], "book_id long, stock long")
     rents = frame(spark, [(1,), (2,), (2,), (9,), (None,)], "book_id long")
@@ -198,14 +229,50 @@ def test_upsert_leaves_other_days_alone(spark, database):
 def test_upsert_refuses_an_ambiguous_delta(spark):
     target = spark.createDataFrame([(1, "old")], "k int, v string")
     delta = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
-    with pytest.raises(merge.AmbiguousMerge):
-        merge.upsert(target, delta, "k")
+    with pytest.raises(merge.AmbiguousMerge), merge.ambiguous():
+        merge.upsert(target, delta, "k").collect()
     assert merge.upsert(target, delta, "k", checked=True).count() == 2
 
 
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_upsert_guard_rides_in_the_plan(spark, database, threshold):
+    """No job while the plan is built, and both readers of the delta share one exchange."""
+    import re
+
+    target = spark.range(2000).selectExpr("id % 1500 AS k", "id AS v")
+    delta = spark.range(40).selectExpr("id * 50 AS k", "-id AS v")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    tag = f"upsert{threshold}"
+    try:
+        spark.sparkContext.setJobGroup(tag, tag)
+        merged = merge.upsert(target, delta, "k")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(tag)
+        assert len(merged.collect()) == 2000 - (30 + 10) + 40
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    final = merged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Range (0, 40") == 1 and "ReusedExchange" in final
+    assert not re.search("SortAggregate", final)
+
+
+def test_stored_upsert_refuses_an_ambiguous_delta(spark, database):
+    table = f"{database}.t"
+    landing.write_partitioned(frame(spark, [(1, "a", T0), (2, "b", T1)]), table)
+    before = rows(landing.stored(spark, table))
+    frame(spark, [(1, "x", T2), (1, "y", T2)]).write.saveAsTable(f"{database}.d")
+    with pytest.raises(merge.AmbiguousMerge):
+        landing.upsert_table(spark.table(f"{database}.d"), table, ["k"])
+    assert rows(landing.stored(spark, table)) == before
+
+
 def test_null_safe_upsert_spreads_null_keys(spark):
     target = spark.range(500).selectExpr("CAST(NULL AS INT) AS k", "id AS v")
     delta = spark.createDataFrame([(None, -1), (2, -2)], "k int, v long")
-    kept = merge.upsert(target, delta, "k", null_safe=True)
+    hot = merge.hot_composite(target, ["k"])
+    assert len(hot.values) == 1  # the NULL pattern
+    kept = merge.upsert(target, delta, "k", null_safe=True, hot=hot)
     assert sorted(r.v for r in kept.collect()) == [-2, -1]
+    plain = merge.upsert(target, delta, "k", null_safe=True)
+    assert sorted(r.v for r in plain.collect()) == [-2, -1]
     assert "pmod" in kept._jdf.queryExecution().executedPlan().toString()

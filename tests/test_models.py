@@ -183,8 +183,7 @@ def test_marts_equal_plain_joins(spark, mart, broadcast):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
 
 
-def test_many_repeated_books_equal_plain_joins(spark, monkeypatch):
-    monkeypatch.setattr(datamart, "_FEW", 1)
+def test_many_repeated_books_equal_plain_joins(spark):
     inputs = _hot_inputs(spark)
     hot = hot_keys(inputs["fact_rents"], "book_id")["book_id"]
     assert 2 in hot.values
@@ -222,6 +221,20 @@ def test_presentation_order(spark):
     assert [tuple(r) for r in shown] == [(None, 2), ("Female", 9), ("Female", 3), ("Male", 1)]
 
 
+def test_constraint_report_shuffles_once(spark):
+    schema = "user_id long, name string, email string, gender string"
+    users = spark.createDataFrame([(1, "a", "e", "x" * 11), (1, None, "e", None), (None, "b", None, "f"), (2, "c", "e", "f")], schema)
+    books = spark.createDataFrame([(1, "t", "a", "Novel", "g", "p", 1)], "book_id long, title string, author string, book_type string, genre string, publisher string, stock long")
+    report = constraint_report({"users": users, "books": books})
+    found = {(r.table_name, r.column_name, r.rule): r.violations for r in report.collect()}
+    broken = {("users", "user_id", "not_null"): 1, ("users", "name", "not_null"): 1, ("users", "email", "not_null"): 1,
+              ("users", "gender", "max_length_10"): 1, ("users", "user_id", "primary_key"): 1, ("users", "email", "unique"): 2}
+    assert {k: v for k, v in found.items() if v} == broken and len(found) == 8 + 10
+    plan = report._jdf.queryExecution().sparkPlan().toString()
+    whole = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert whole.count("Exchange hashpartitioning(rule") == 2 and whole.count("high#") and "Window" not in plan
+
+
 def test_constraint_report(spark):
     users = spark.createDataFrame(
         [(1, "n", "a@x", "st", "Male"), (1, None, "a@x", "st", "Unspecified"),
