@@ -61,14 +61,24 @@ def cosines(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     return dots / (np.sqrt((rows * rows).sum(axis=1)) * np.sqrt((query * query).sum()))
 
 
+def _levelled(matrix: np.ndarray) -> np.ndarray:
+    """Each row by the power of two that brings its largest component to a half or more.
+
+    Scaling by a power of two rounds nothing, so cosines stay the same to the last bit,
+    and squares of very large or small components neither over- nor underflow.
+    """
+    exponent = np.frexp(np.abs(matrix).max(axis=1, keepdims=True))[1]
+    return np.ldexp(matrix, -exponent)
+
+
 def _pack(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Ids in order and their vectors; of equal ids the least vector."""
+    """Ids in order and their vectors, levelled; of equal ids the least vector."""
     best: dict[int, tuple] = {}
     for i, v in zip(rows["id"], rows["v"]):
         if (key := tuple(v)) < best.get(i, (float("inf"),)):
             best[i] = key
     ids = sorted(best)
-    return np.array(ids, np.int64), np.array([best[i] for i in ids], np.float64)
+    return np.array(ids, np.int64), _levelled(np.array([best[i] for i in ids], np.float64))
 
 
 def build_index(rows: DataFrame, blocks: int) -> DataFrame:
