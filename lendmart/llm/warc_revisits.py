@@ -16,7 +16,8 @@ Defined results: a revisit without earlier response is 'unresolved', one whose v
 disagree 'changed', one without a validator in common 'unverified'; the three have no
 payload, and the last two name the response that was found. At equal times the smaller
 record id is the earlier record. Null URLs and times match nothing. Records are told apart
-by their id; of responses with the same id one payload is taken. Header names are compared
+by all they hold, so records that share an id or have none are each resolved on their own,
+and a repeated revisit gives a row each time. Header names are compared
 in lower case; of a name given twice in different case, the value last in order counts.
 """
 
@@ -67,33 +68,38 @@ def resolve_revisits(records: DataFrame, slice_seconds: int = SLICE_SECONDS) ->
         "record_id", canonical_url(F.col("url")).alias("url_key"), "captured_at", "status",
         _lower_names(F.col("headers")).alias("headers"), "payload", "kind",
     )
+    base = base.withColumn("row_key", F.xxhash64(
+        "record_id", "url_key", "captured_at", "status", F.map_entries("headers"), "payload", "kind",
+        *[F.col(c).isNull() for c in ("record_id", "url_key", "captured_at", "status", "payload")],
+    ))
     is_full = (F.col("kind") == "response") & (F.col("status") == 200)
     is_revisit = F.col("kind") == "revisit"
     slot = F.floor(F.unix_micros(F.col("captured_at").cast("timestamp")) / F.lit(slice_seconds * 1_000_000))
     narrow = base.where((is_full | is_revisit) & F.col("url_key").isNotNull() & F.col("captured_at").isNotNull()).select(
-        "url_key", slot.alias("slot"), "captured_at", "record_id",
-        F.when(is_full, F.col("record_id")).alias("full_id"),
+        "url_key", slot.alias("slot"), "captured_at", "record_id", "row_key",
+        F.when(is_full, F.col("row_key")).alias("full_key"),
     )
-    inside = Window.partitionBy("url_key", "slot").orderBy("captured_at", "record_id").rowsBetween(
+    inside = Window.partitionBy("url_key", "slot").orderBy("captured_at", "record_id", "row_key").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    close = narrow.withColumn("near_id", F.last("full_id", ignorenulls=True).over(inside))
-    per_slot = narrow.groupBy("url_key", "slot").agg(
-        F.max(F.when(F.col("full_id").isNotNull(), F.struct("captured_at", "record_id"))).alias("latest")
-    )
+    close = narrow.withColumn("near_key", F.last("full_key", ignorenulls=True).over(inside))
+    per_slot = narrow.groupBy("url_key", "slot").agg(F.max(F.when(
+        F.col("full_key").isNotNull(), F.struct("captured_at", "record_id", "row_key")
+    )).alias("latest"))
     earlier = Window.partitionBy("url_key").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     carried = per_slot.select(
-        "url_key", "slot", F.last("latest.record_id", ignorenulls=True).over(earlier).alias("far_id")
+        "url_key", "slot", F.last("latest.row_key", ignorenulls=True).over(earlier).alias("far_key")
     )
-    found = close.where(F.col("full_id").isNull()).join(carried, ["url_key", "slot"]).select(
-        F.col("record_id").alias("found_for"), F.coalesce("near_id", "far_id").alias("ref_id")
-    ).where(F.col("ref_id").isNotNull()).dropDuplicates(["found_for"])
+    found = close.where(F.col("full_key").isNull()).join(carried, ["url_key", "slot"]).select(
+        F.col("row_key").alias("found_for"), F.coalesce("near_key", "far_key").alias("ref_key")
+    ).where(F.col("ref_key").isNotNull()).dropDuplicates(["found_for"])  # equal rows find the same
     full = base.where(is_full).select(
-        F.col("record_id").alias("ref_id"), F.col("headers").alias("stored"), F.col("payload").alias("whole"),
-    ).dropDuplicates(["ref_id"])
+        F.col("row_key").alias("ref_key"), F.col("record_id").alias("ref_id"), F.col("headers").alias("stored"),
+        F.col("payload").alias("whole"),
+    ).dropDuplicates(["ref_key"])
     revisits = base.where(is_revisit).drop("payload", "kind")
-    matched = revisits.join(found, F.col("record_id") == F.col("found_for"), "left").drop("found_for").join(
-        full, "ref_id", "left"
+    matched = revisits.join(found, F.col("row_key") == F.col("found_for"), "left").drop("found_for").join(
+        full, "ref_key", "left"
     )
     tag = lambda h: F.regexp_replace(F.try_element_at(h, F.lit("etag")), "^W/", "")
     stamp = lambda h: F.try_element_at(h, F.lit("last-modified"))
@@ -101,7 +107,7 @@ def resolve_revisits(records: DataFrame, slice_seconds: int = SLICE_SECONDS) ->
     same = [f(F.col("headers")) == f(F.col("stored")) for f in (tag, stamp, digest)]
     agree = F.coalesce(*same)  # the strongest validator that both have decides
     verdict = (
-        F.when(F.col("ref_id").isNull(), "unresolved").when(agree.isNull(), "unverified")
+        F.when(F.col("ref_key").isNull(), "unresolved").when(agree.isNull(), "unverified")
         .when(agree, "resolved").otherwise("changed")
     )
     newer = F.map_filter("headers", lambda name, _: ~name.isin(*KEPT_HEADERS))
