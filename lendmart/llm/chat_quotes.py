@@ -42,11 +42,12 @@ def _passages(text: Column) -> Column:
 
 
 def parsed_messages(messages: DataFrame) -> DataFrame:
-    """(conv_id, msg_id, role, own, quotes): own words, and quoted passages as
-    array<struct<level, lines>> in the order of the text."""
-    rows = messages.groupBy("conv_id", "msg_id").agg(
-        F.min(F.struct(F.coalesce("text", F.lit("")).alias("text"), "role")).alias("least")
-    ).select("conv_id", "msg_id", "least.role", _passages(F.col("least.text")).alias("lines"))
+    """(row, conv_id, msg_id, role, own, quotes): own words, and quoted passages as
+    array<struct<level, lines>> in the order of the text. ``row`` tells messages apart."""
+    columns = ["conv_id", "msg_id", "role", "text"]
+    said = messages.select("conv_id", "msg_id", "role", F.coalesce("text", F.lit("")).alias("text")).distinct()
+    row = F.xxhash64(*columns, *[F.col(c).isNull() for c in columns])
+    rows = said.select(row.alias("row"), "conv_id", "msg_id", "role", _passages(F.col("text")).alias("lines"))
     lines = F.col("lines")
     heads = F.filter(
         F.sequence(F.lit(0), F.size("lines") - 1),
@@ -63,7 +64,7 @@ def parsed_messages(messages: DataFrame) -> DataFrame:
     cut = with_heads.withColumn("runs", runs)
     own = F.flatten(F.transform(F.filter("runs", lambda r: r["level"] == 0), lambda r: r["lines"]))
     return cut.select(
-        "conv_id", "msg_id", "role", F.trim(F.array_join(own, "\n")).alias("own"),
+        "row", "conv_id", "msg_id", "role", F.trim(F.array_join(own, "\n")).alias("own"),
         F.filter("runs", lambda r: r["level"] > 0).alias("quotes"),
     )
 
@@ -82,25 +83,26 @@ def _keys(lines: Column) -> Column:
 
 
 def reply_links(parsed: DataFrame) -> DataFrame:
-    """(conv_id, msg_id, parent) of every message with a matched quotation."""
-    said = parsed.select("conv_id", "msg_id", F.explode(_keys(F.split("own", "\n"))).alias("k")).select(
-        "conv_id", "msg_id", F.col("k.hash").alias("hash")
-    )
-    # The two least ids are enough: one of them is not the quoting message itself.
-    first = said.groupBy("conv_id", "hash").agg(F.min("msg_id").alias("first"))
-    second = said.join(first, ["conv_id", "hash"]).where("msg_id <> first").groupBy("conv_id", "hash").agg(
-        F.min("msg_id").alias("second")
+    """(row, parent, above) of every message with a matched quotation: the id of the message
+    it answers and that one's row. A message without an id is nobody's parent."""
+    said = parsed.where("msg_id IS NOT NULL").select(
+        "conv_id", F.struct("msg_id", "row").alias("by"), F.explode(_keys(F.split("own", "\n"))).alias("k")
+    ).select("conv_id", "by", F.col("k.hash").alias("hash"))
+    # The two least are enough: one of them is not the quoting message itself.
+    first = said.groupBy("conv_id", "hash").agg(F.min("by").alias("first"))
+    second = said.join(first, ["conv_id", "hash"]).where("by.row <> first.row").groupBy("conv_id", "hash").agg(
+        F.min("by").alias("second")
     )
     originals = first.join(second, ["conv_id", "hash"], "left")
-    quoted = parsed.select("conv_id", "msg_id", F.explode("quotes").alias("q")).select(
-        "conv_id", "msg_id", F.col("q.level").alias("level"), F.explode(_keys(F.col("q.lines"))).alias("k")
-    ).select("conv_id", "msg_id", "level", "k.whole", "k.hash")
+    quoted = parsed.select("conv_id", "row", F.explode("quotes").alias("q")).select(
+        "conv_id", "row", F.col("q.level").alias("level"), F.explode(_keys(F.col("q.lines"))).alias("k")
+    ).select("conv_id", "row", "level", "k.whole", "k.hash")
     hits = quoted.join(originals, ["conv_id", "hash"]).withColumn(
-        "parent", F.when(F.col("first") != F.col("msg_id"), F.col("first")).otherwise(F.col("second"))
+        "parent", F.when(F.col("first.row") != F.col("row"), F.col("first")).otherwise(F.col("second"))
     ).where(F.col("parent").isNotNull())
-    return hits.groupBy("conv_id", "msg_id").agg(
+    return hits.groupBy("row").agg(
         F.min(F.struct("level", (-F.col("whole")).alias("part"), "parent")).alias("best")
-    ).select("conv_id", "msg_id", F.col("best.parent").alias("parent"))
+    ).select("row", F.col("best.parent.msg_id").alias("parent"), F.col("best.parent.row").alias("above"))
 
 
 def conversations(messages: DataFrame) -> DataFrame:
@@ -109,26 +111,26 @@ def conversations(messages: DataFrame) -> DataFrame:
     parsed = stored(parsed_messages(messages), "quotes")
     links = stored(reply_links(parsed), "quotes")
     # A row is open while the message above it has a parent itself; only open rows move.
-    linked = links.select("conv_id", F.col("msg_id").alias("above"), F.lit(True).alias("open"))
+    linked = links.select(F.col("row").alias("above"), F.lit(True).alias("open"))
     state = stored(
-        links.select("conv_id", "msg_id", F.col("parent").alias("above"), F.lit(1).cast("long").alias("steps"))
-        .join(linked, ["conv_id", "above"], "left").withColumn("open", F.coalesce("open", F.lit(False))), "quotes",
+        links.select("row", "above", F.lit(1).cast("long").alias("steps"))
+        .join(linked, "above", "left").withColumn("open", F.coalesce("open", F.lit(False))), "quotes",
     )
     for _ in range(MAX_ROUNDS):
         if state.where("open").isEmpty():
             break
         up = state.select(
-            "conv_id", F.col("msg_id").alias("above"), F.col("above").alias("next"), F.col("steps").alias("more"),
+            F.col("row").alias("above"), F.col("above").alias("next"), F.col("steps").alias("more"),
             F.col("open").alias("still"),
         )
-        moved = state.where("open").join(up, ["conv_id", "above"]).select(
-            "conv_id", F.col("next").alias("above"), "msg_id", (F.col("steps") + F.col("more")).alias("steps"),
+        moved = state.where("open").join(up, "above").select(
+            F.col("next").alias("above"), "row", (F.col("steps") + F.col("more")).alias("steps"),
             F.col("still").alias("open"),
         )
         state = stored(state.where("not open").unionByName(moved), "quotes")
     state = state.where("not open")  # what is open still runs in a circle
-    depths = state.select("conv_id", "msg_id", "steps")
-    return parsed.join(links, ["conv_id", "msg_id"], "left").join(depths, ["conv_id", "msg_id"], "left").select(
+    depths = state.select("row", "steps")
+    return parsed.join(links, "row", "left").join(depths, "row", "left").select(
         "conv_id", "msg_id", "parent",
         F.when(F.col("parent").isNull(), F.lit(0).cast("long")).otherwise(F.col("steps")).alias("depth"),
         "role", F.col("own").alias("text"),
