@@ -38,7 +38,9 @@ class Permutation:
         self.half = max(1, ((size - 1).bit_length() + 1) // 2)
         self.mask = (1 << self.half) - 1
         self.n_bytes = (self.half + 7) // 8
-        self.seed = hashlib.blake2b(tweak + b"/%d" % size, key=key[:64], digest_size=32).digest()
+        # A hash takes keys of up to 64 bytes; of longer ones every byte counts through a digest.
+        short = key if len(key) <= 64 else hashlib.blake2b(key).digest()
+        self.seed = hashlib.blake2b(tweak + b"/%d" % size, key=short, digest_size=32).digest()
         self.step = 1 + int.from_bytes(self._digest(255, 0, 32), "little") % max(1, size - 1)
 
     def _digest(self, number: int, half: int, n: int) -> bytes:
