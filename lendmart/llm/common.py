@@ -73,7 +73,19 @@ def map_rows(
                     yield pa.RecordBatch.from_arrays(arrays, schema=out)
 
     ship(df.sparkSession)
-    return df.select(*columns).mapInArrow(step, kind)
+    plain = df.select(*quoted(columns)).toDF(*[f"c{k}" for k in range(len(columns))])  # any names
+    return plain.mapInArrow(step, kind)
+
+
+def quoted(columns: list[str]) -> list[str]:
+    """Column names that hold dots or blanks as they are."""
+    return [f"`{c}`" for c in columns]
+
+
+def new_column(df: DataFrame, name: str | None) -> None:
+    """Refuses a column that would be there twice."""
+    if name and name.lower() in (c.lower() for c in df.columns):
+        raise ValueError(f"the table has a column {name} already")
 
 
 def any_of(parts: list[Column]) -> Column:

@@ -25,7 +25,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 
-from lendmart.llm.common import map_rows
+from lendmart.llm.common import map_rows, new_column
 
 ROUNDS = 10
 
@@ -322,7 +322,9 @@ FOUND = "array<struct<kind:string,start:int,end:int>>"
 
 def pseudonymised(docs: DataFrame, key: bytes, text_col: str = "text", found_col: str | None = None) -> DataFrame:
     """``docs`` with the text replaced, all columns; ``found_col`` adds what was found, its
-    places in the given text. ``key`` is the secret that links the pseudonyms."""
+    places in the given text, and is a new column. ``key`` is the secret that links the
+    pseudonyms."""
+    new_column(docs, found_col)
     place = docs.columns.index(text_col)
 
     def make():

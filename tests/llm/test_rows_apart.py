@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lendmart.llm import ann, chat_quotes, pseudonyms, warc_revisits
+import corpus_pipeline
+from lendmart.llm import ann, chat_quotes, line_dedup, pseudonyms, warc_revisits
 
 
 def test_records_that_share_an_id_or_have_none(spark):
@@ -66,6 +67,21 @@ def test_extreme_vectors_and_several_blocks(spark, monkeypatch, block, group):
     assert len(got) == 12 and hits >= 0.9 * 60
 
 
+def test_any_column_names_pass_all_stages(spark):
+    """Names with dots and blanks; a result column that would be there twice is refused."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs = docs.withColumn("a.b", F.lit(1)).withColumn("with blank", F.lit("x"))
+    for name, stage in corpus_pipeline.STAGES:
+        after = stage(spark, docs, None)
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert after.columns == docs.columns and after.count() > 0
+            docs = after
+    assert after.count() > 0
+    for make in (lambda c: pseudonyms.pseudonymised(docs, b"k", found_col=c), lambda c: line_dedup.without_repeats(docs, count_col=c)):
+        with pytest.raises(ValueError):
+            make("A.b")
+
+
 def test_every_byte_of_a_key_counts():
     one, other = b"k" * 64 + b"1", b"k" * 64 + b"2"
     draw = lambda key: [pseudonyms.Permutation(key, b"t", 10**9)(x) for x in range(20)]
