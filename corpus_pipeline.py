@@ -2,6 +2,12 @@
 
 Every stage works on all that its predecessor kept. All but the last return the columns of
 ``documents``; the last returns the packed pieces.
+
+Defined results: a document whose text is null, empty or blank, or has under twenty words,
+is rejected by the quality rules. Of repeated rows only the first keeps its lines, so the
+others go as empty. Rows that share an id, or have none, but not the text are judged each by
+its own text; near-dedup keeps those with the least id of their group. Further columns, with
+any names, are passed on up to packing. An empty table gives no pieces.
 """
 
 from __future__ import annotations
@@ -10,12 +16,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lendmart.llm import line_dedup, packing, pseudonyms, quality_rules, registry, simhash_near
-from lendmart.llm.common import stored
+from lendmart.llm.common import quoted, stored
 
 
 def _counted(docs: DataFrame, before: DataFrame) -> DataFrame:
     """The columns of ``documents`` in their order, n_chars as the text now has it."""
-    return docs.withColumn("n_chars", F.length("text").cast("long")).select(*before.columns)
+    return docs.withColumn("n_chars", F.length("text").cast("long")).select(*quoted(before.columns))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +36,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the least id of each group."""
-    return simhash_near.unique_documents(docs).select(*docs.columns)
+    return simhash_near.unique_documents(docs).select(*quoted(docs.columns))
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
