@@ -167,7 +167,7 @@ def similar_links(sets: DataFrame, percent: int, least: int) -> DataFrame:
     bins = max(1, total // BLOCK)
     tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
     other = F.sequence(F.lit(0), F.col("tiles") - 1)
-    marked = sets.join(F.broadcast(crowded) if bins < 4096 else crowded, "root", "left")
+    marked = sets.join(crowded, "root", "left")  # one row in BLOCK at most; Spark sees its size
     few = marked.where("tiles IS NULL").select(
         F.pmod(F.xxhash64("root"), F.lit(bins)).alias("bin"), F.lit(-1).alias("one"), F.lit(-1).alias("two"),
         F.lit(0).alias("side"), "root", "node", "members",
