@@ -391,22 +391,22 @@ def test_line_dedup_recall_by_length(spark, texts):
 
 
 def test_line_dedup_of_long_blocks(spark):
-    """Blocks of over 127 words are counted in wider numbers: a line with words put in by turns
+    """Blocks of over 63 words are counted bit by bit: a line with words put in by turns
     is found, and its SimHash equals the plain one."""
     rng = random.Random(6)
     words = ["v%d" % k for k in range(4000)]
     lines = [" ".join(words[:n]) for n in (300, 511, 2000, 4000)]
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
-    got = {r["doc"]: r["low"] % (1 << 64) | r["high"] << 64 for r in line_dedup.line_prints(docs).collect()}
+    got = {r["doc"]: r["low"] % (1 << 64) | r["high"] % (1 << 64) << 64 for r in line_dedup.line_prints(docs).collect()}
     for k, line in enumerate(lines):
         hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in line.split(" ")]
         want = 0
         for block in range(6):
             own = [h for h in hashes if (h >> 2 & 63) % 6 == block]
             for bit in range(16):
-                low, within = divmod(bit, 8)
-                place = low + 8 * within
-                want |= (2 * sum(h >> place & 1 for h in own) > len(own)) << (16 * block + bit)
+                within, low = divmod(bit, 2)
+                place = 8 * within + low
+                want |= (2 * sum(h >> place & 1 for h in own) > len(own)) << (64 * (block // 4) + place + 2 * (block % 4))
         assert got[k] == want
     changed = lines[3].split(" ")
     changed[rng.randrange(4000)] = "other"
