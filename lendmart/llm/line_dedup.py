@@ -6,15 +6,16 @@ hash, and a block's bits are the majority of its own words alone. One word repla
 two blocks at most and leaves the others equal, whatever the length of the line; two words
 touch four. Every line enters fifteen tables, one for each two blocks that hold words, so
 such pairs meet. Lines of ``SMALL`` distinct words or fewer also, or under ``DEALT`` words only,
-have one block a word: they enter a table for each word left out, and one for none. With
+have one block a word: they enter a table for each word left out, for each two words from
+``TWO_OUT`` words on, and one for none. With
 ``short_lines`` lines under ``MIN_WORDS`` words take part, too: up to ``SHORT`` characters they
 have one block a character, so a pair one character apart meets; beyond, their runs of
 ``GRAM`` characters are dealt like words, so scripts without blanks are compared as well.
 
-Lines under one key are sorted by size and each is compared with the one before it. Keys
-whose lines are still apart are completed: members of different groups that agree in a third
-block, or in one half of the word left out, are compared. Pairs of like size, within ``RADIUS`` bits
-of each other if both have blocks, are verified by edit similarity. Of every connected group of equal or linked lines the first occurrence stays,
+Lines under one key are sorted by size and each is compared with the one before it. Under
+keys whose lines are still apart all members of different groups are compared, in tiles of
+``TILE`` lines a side where a key is crowded. So every two lines of like size that share a key are
+compared or already in one group. Pairs are verified by edit similarity. Of every connected group of equal or linked lines the first occurrence stays,
 by document id, line number and a hash of the text; the others go.
 
 Defined results: null texts stay null and empty ones empty. A document is an id and a text,
@@ -35,22 +36,21 @@ from lendmart.operators.joins import hot_keys, spread_join
 
 MIN_WORDS = 5
 SMALL = 16
+TWO_OUT = 5
 DEALT = 12
 SHORT = 32
 GRAM = 2
 MIN_SIMILARITY = 0.8
 FILTER_SIZE = 1 << 20
-#: Bits of the SimHash's six blocks that two lines may differ in.
-RADIUS = 28
+#: Lines of one key that are compared in one piece.
+TILE = 256
 #: Words that are counted in eight 8-bit counts a long, with room for the test of the majority.
 CHUNK = 63
 BLOCKS = 6
 #: The bits of one block in a long that interlaces four.
 LANE = 0x0303030303030303
-#: The pairs of blocks that make a key, each with the four blocks left.
-TABLES = tuple(
-    ((i, j), tuple(k for k in range(BLOCKS) if k not in (i, j))) for i in range(BLOCKS) for j in range(i + 1, BLOCKS)
-)
+#: The pairs of blocks that make a key.
+TABLES = tuple((i, j) for i in range(BLOCKS) for j in range(i + 1, BLOCKS))
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -93,36 +93,31 @@ def _block_bits(block: Column) -> Column:
     return F.when(F.size(block) <= CHUNK, fast).otherwise(slow)
 
 
-def _halves(word: Column) -> Column:
-    """Hashes of a word's first and last characters: 1 of up to 3, 2 of up to 7, 4 of up to
-    15 and so on. One edit leaves one of the two as it was, but where it moves the length
-    from one range to the next."""
-    half = F.floor(F.log2(F.length(word).cast("double"))) - 1
-    n = F.when(F.length(word) < 4, 1).otherwise(F.pow(F.lit(2.0), half).cast("int"))
-    lane = F.lit(LANE)
-    first, last = F.xxhash64(F.left(word, n)).bitwiseAND(lane), F.xxhash64(F.right(word, n)).bitwiseAND(lane)
-    return first.bitwiseOR(F.shiftleft(last, 2))
-
-
-def _left_out_keys(norm: str) -> Column:
-    """Keys of a line without one of its words or characters: (key, rest), rest from what is
-    left out, zero if that cannot tell lines apart."""
+def _left_out_keys(lines: DataFrame) -> DataFrame:
+    """(h, size, key) of lines (h, size, small) without one or two of their words, or without
+    one of their characters."""
+    # A generator's output is a plain column that no later step computes again.
     nothing = F.lit(0).cast("long")
-    entry = lambda key, rest=nothing: F.struct(key.alias("key"), rest.alias("rest"))
-    words = F.array_distinct(F.split(norm, " "))
-    n, size = F.size(words), F.length(norm)
-    all_words = F.aggregate(F.transform(words, lambda w: F.xxhash64(w)), nothing, lambda have, w: have.bitwiseXOR(w))
-    no_keys = F.array().cast("array<struct<key:bigint,rest:bigint>>")
+    split = lines.select("h", "size", "small", F.explode(F.array(F.split("small", " "))).alias("words"))
+    hashed = split.select("h", "size", "small", F.size("words").alias("n"), F.explode(F.array(
+        F.transform(F.array_distinct("words"), lambda w: F.xxhash64(w)))).alias("hashes"))
+    summed = hashed.select("h", "size", "small", "n", "hashes", F.explode(F.array(
+        F.aggregate("hashes", nothing, lambda have, w: have.bitwiseXOR(w)))).alias("whole"))
+    n, size = F.size("hashes"), F.length("small")
+    no_keys = F.array().cast("array<bigint>")
+    key = lambda left: F.xxhash64(F.lit(1), left)
     by_word = F.when((n >= 3) & (n <= SMALL), F.concat(
-        F.array(entry(F.xxhash64(F.lit(1), all_words))),
-        F.transform(words, lambda w: entry(F.xxhash64(F.lit(1), all_words.bitwiseXOR(F.xxhash64(w))), _halves(w))),
+        F.array(key(F.col("whole"))), F.transform("hashes", lambda w: key(F.col("whole").bitwiseXOR(w))),
     )).otherwise(no_keys)
-    by_char = F.when((F.size(F.split(norm, " ")) < MIN_WORDS) & size.between(5, SHORT), F.concat(
-        F.array(entry(F.xxhash64(F.lit(2), F.col(norm)))),
-        F.transform(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: entry(
-            F.xxhash64(F.lit(2), F.concat(F.left(norm, i - 1), F.substring(norm, i + 1, size))))),
+    by_two = F.when(n.between(TWO_OUT, SMALL), F.flatten(F.transform("hashes", lambda w, i: F.transform(
+        F.slice("hashes", i + 2, n), lambda v: key(F.col("whole").bitwiseXOR(w).bitwiseXOR(v))
+    )))).otherwise(no_keys)
+    by_char = F.when((F.col("n") < MIN_WORDS) & size.between(5, SHORT), F.concat(
+        F.array(F.xxhash64(F.lit(2), "small")),
+        F.transform(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: F.xxhash64(
+            F.lit(2), F.concat(F.left("small", i - 1), F.substring("small", i + 1, size)))),
     )).otherwise(no_keys)
-    return F.concat(by_word, by_char)
+    return summed.select("h", "size", F.explode(F.array_distinct(F.concat(by_word, by_two, by_char))).alias("key"))
 
 
 def line_prints(
@@ -174,28 +169,24 @@ def line_prints(
 
 
 def _block_keys() -> Column:
-    """Keys of every two blocks that hold words: (key, rest), rest the other four blocks,
-    interlaced."""
+    """Keys of every two blocks that hold words."""
     block = lambda b: F.shiftrightunsigned("low" if b < 4 else "high", 2 * (b % 4)).bitwiseAND(F.lit(LANE))
     return F.filter(F.array(*[
-        F.when((block(i) != 0) & (block(j) != 0), F.struct(
-            # Tables have keys of their own by the hash of their number.
-            F.xxhash64(F.lit(t), F.shiftleft(block(i), 2).bitwiseOR(block(j))).alias("key"),
-            reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft(block(k), 2 * at) for at, k in enumerate(others)]).alias("rest"),
-        )) for t, ((i, j), others) in enumerate(TABLES)
+        # Tables have keys of their own by the hash of their number.
+        F.when((block(i) != 0) & (block(j) != 0), F.xxhash64(F.lit(t), F.shiftleft(block(i), 2).bitwiseOR(block(j))))
+        for t, (i, j) in enumerate(TABLES)
     ]), lambda k: k.isNotNull())
 
 
 def _keyed(prints: DataFrame) -> DataFrame:
-    """(key, h, size, rest) of the different lines; two texts under one h would show in the
+    """(key, h, size) of the different lines; two texts under one h would show in the
     second hash, and such lines are left alone."""
     dealt = prints.where("low is not null").groupBy("h").agg(
         F.min("low").alias("low"), F.min("high").alias("high"), F.min("size").alias("size"),
         F.min("check").alias("least"), F.max("check").alias("most"),
-    ).where("least = most").select("h", "size", F.explode(_block_keys()).alias("k"))
-    small = prints.where("small is not null").select("h", "size", "small").distinct().select(
-        "h", "size", F.explode(_left_out_keys("small")).alias("k"))
-    return dealt.unionByName(small).select("k.key", "h", "size", "k.rest")
+    ).where("least = most").select("h", "size", F.explode(_block_keys()).alias("key"))
+    small = _left_out_keys(prints.where("small is not null").select("h", "size", "small").distinct())
+    return dealt.unionByName(small).select("key", "h", "size")
 
 
 def _most(a: str, b: str) -> Column:
@@ -267,51 +258,48 @@ def _verified(pairs: DataFrame, prints: DataFrame, docs: DataFrame, id_col: str,
     return _similar_lines(both).select("a", "b")
 
 
+def _across(grouped: DataFrame) -> DataFrame:
+    """(root_a, root_b, a, b): all pairs of like size of (key, h, size, root) that share a key
+    and have different roots, each once. A key's lines are dealt to tiles, and every two tiles meet in a
+    task's piece of their own, so no task takes a crowded key whole."""
+    held = grouped.groupBy("key").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count("*") / TILE).alias("tiles")
+    ).where("lo < hi").select("key", "tiles")
+    dealt = grouped.join(held, "key").withColumn("tile", F.pmod(F.xxhash64("h"), F.col("tiles")))
+    placed = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))).select(
+        "key", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "h", "size", "root")
+    side = lambda s: placed.select("key", "i", "j", *[F.col(c).alias(f"{c}_{s}") for c in ("tile", "h", "size", "root")])
+    return side("a").join(side("b"), ["key", "i", "j"]).where(
+        (F.col("root_a") < F.col("root_b")) & _like_sizes("size_a", "size_b")
+        & ((F.col("i") == F.col("j")) | (F.col("tile_a") != F.col("tile_b")))
+    ).select("root_a", "root_b", F.least("h_a", "h_b").alias("a"), F.greatest("h_a", "h_b").alias("b")).distinct()
+
+
 def line_groups(docs: DataFrame, prints: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(h, root) of the lines that are linked to a different line."""
     by_key = Window.partitionBy("key").orderBy("size", "h")
     prior, after = F.lag("h").over(by_key), F.lead("h").over(by_key)
     tabled = _keyed(prints).select(
-        "key", "h", "size", "rest", prior.alias("before"), F.lag("size").over(by_key).alias("size_before"),
+        "key", "h", "size", prior.alias("before"), F.lag("size").over(by_key).alias("size_before"),
         after.alias("after"),
         (F.lag("h", 2).over(by_key).isNotNull() | F.lead("h", 2).over(by_key).isNotNull()
          | (prior.isNotNull() & after.isNotNull())).alias("many"),
     )
     shared = stored(
         tabled.where(F.col("before").isNotNull() | F.col("after").isNotNull()).drop("after"), "lines")
-    bits = stored(prints.where("low is not null").groupBy("h").agg(F.min("low").alias("low"), F.min("high").alias("high")), "lines")
-
-    def near(pairs: DataFrame) -> DataFrame:
-        """Pairs of which one has no blocks, or within the radius."""
-        sides = [bits.select(F.col("h").alias(s), F.col("low").alias(f"low_{s}"), F.col("high").alias(f"high_{s}")) for s in "ab"]
-        differ = sum(F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in ("low", "high"))
-        both = pairs.join(sides[0], "a", "left").join(sides[1], "b", "left")
-        return both.where(F.coalesce(differ <= RADIUS, F.lit(True))).select(*pairs.columns)
-
-    chained = near(shared.where(F.col("before").isNotNull() & _like_sizes("size", "size_before")).select(
+    chained = shared.where(F.col("before").isNotNull() & _like_sizes("size", "size_before")).select(
         F.least("h", "before").alias("a"), F.greatest("h", "before").alias("b")
-    ).distinct())
+    ).distinct()
     links = stored(_verified(stored(chained, "lines"), prints, docs, id_col, text_col), "lines")
     first = components(links, "lines")
 
-    # Under a key of three lines and more that several groups hold, members of different groups
-    # meet where they agree in more than the key.
-    grouped = shared.where("many").select("key", "h", "size", "rest").join(
+    # Under a key of three lines and more that several groups hold, all members of different
+    # groups meet.
+    grouped = shared.where("many").select("key", "h", "size").join(
         first.withColumnRenamed("node", "h"), "h", "left"
     ).withColumn("root", F.coalesce("root", "h"))
-    lane = lambda k: F.shiftrightunsigned("rest", 2 * k).bitwiseAND(F.lit(LANE))
-    open_ = grouped.select("h", "size", "root", F.explode(F.array(
-        *[F.when(lane(k) != 0, F.xxhash64("key", F.lit(k), lane(k))) for k in range(4)]
-    )).alias("sub")).where("sub is not null").distinct()
-    split = open_.groupBy("sub").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    open_ = stored(open_.join(split.select("sub"), "sub", "left_semi"), "lines")
-    side = lambda s: open_.select(
-        "sub", F.col("root").alias(f"root_{s}"), F.col("h").alias(s), F.col("size").alias(f"size_{s}")
-    )
-    paired = side("a").join(side("b"), "sub").where((F.col("root_a") < F.col("root_b")) & _like_sizes("size_a", "size_b")).select(
-        "root_a", "root_b", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    )
-    rest = stored(near(paired.distinct()), "lines")
+    paired = _across(stored(grouped, "lines")).join(links, ["a", "b"], "left_anti")
+    rest = stored(paired, "lines")
     more = _verified(rest, prints, docs, id_col, text_col)
     joined = stored(rest.join(more, ["a", "b"]).select(F.col("root_a").alias("a"), F.col("root_b").alias("b")), "lines")
     second = components(joined, "lines")

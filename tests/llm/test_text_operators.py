@@ -431,6 +431,45 @@ def test_line_dedup_recall_by_length(spark, texts):
     assert all(len(h) == 1 for h in holders.values())
 
 
+def test_line_dedup_of_two_words_replaced(spark, monkeypatch):
+    """Lines of 5 to 16 words whose sets differ by two words are linked whenever their
+    texts are similar; so are all lines that share a key, whatever lies between them."""
+    monkeypatch.setattr(line_dedup, "TILE", 4)
+    rng = random.Random(8)
+    draw = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    lines, pairs = [], []
+    for n in range(5, 17):
+        for _ in range(12):
+            base = [draw(8) for _ in range(n - 2)]
+            at = rng.randrange(n - 1)
+            own = [" ".join(base[:at] + [draw(3), draw(3)] + base[at:]) for _ in range(2)]
+            pairs.append((len(lines), len(lines) + 1))
+            lines += own
+    # A crowd under one key: some are similar, most not; the similar ones are not neighbours by size.
+    crowd = [" ".join(f"common{k}" for k in range(10)) + f" {draw(14 + k % 3)} {draw(14)}" for k in range(24)]
+    lines += crowd
+    names = linked(spark, lines)
+    for a, b in pairs:
+        alike = edits(lines[a], lines[b]) <= int(0.2 * max(len(lines[a]), len(lines[b])) + 1e-9)
+        assert (names[a] == names[b]) == alike, (lines[a], lines[b])
+    whole = components(len(lines), similar_lines(sorted(lines)))
+    root = dict(zip(sorted(lines), whole))
+    own = range(len(lines) - len(crowd), len(lines))
+    assert all((names[i] == names[j]) == (root[lines[i]] == root[lines[j]]) for i in own for j in own)
+
+
+def test_pairs_across_groups_are_whole(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "TILE", 4)
+    rng = random.Random(2)
+    rows = [(k, h, 100 + rng.randrange(40), h % 7 if h % 3 else h) for k in range(3) for h in range(k * 5, k * 5 + 30)]
+    got = line_dedup._across(spark.createDataFrame(rows, "key long, h long, size int, root long")).collect()
+    want = {
+        (min(a[3], b[3]), max(a[3], b[3]), min(a[1], b[1]), max(a[1], b[1])) for a in rows for b in rows
+        if a[0] == b[0] and a[3] != b[3] and abs(a[2] - b[2]) <= int(0.2 * max(a[2], b[2]) + 1e-9)
+    }
+    assert len(got) == len(set(got)) and set(map(tuple, got)) == want
+
+
 def test_line_dedup_of_long_blocks(spark):
     """Blocks of over 63 words are counted bit by bit: a line with words put in by turns
     is found, and its SimHash equals the plain one."""
