@@ -204,20 +204,33 @@ def matched(target: DataFrame, delta: DataFrame, keys: str | list[str],
     return _meet(target, _probe(delta, keys, null_safe, False), keys, null_safe, "left_semi", hot)
 
 
-def upsert(target: DataFrame, delta: DataFrame, keys: str | list[str],
-           null_safe: bool = False, checked: bool = False, hot: Hot = Hot()) -> DataFrame:
+def _probe_stored(delta: DataFrame, keys: list[str], null_safe: bool, guarded: bool) -> _Probe:
+    """The same for a delta that is cheap to read again: only its keys are dealt out."""
+    on = [_FLAGS, *(f"{_PART}{k}" for k in range(len(keys)))]
+    rows = encoded(delta, keys, null_safe, 1)
+    if not guarded:
+        return _Probe(rows, rows.select(*on).distinct(), on)
+    counted = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows"))
+    clash = (F.col("__rows") > 1) & (F.col(_FLAGS) >= 0)
+    flags = F.when(clash, F.raise_error(F.lit(f"{_GUARD} {keys}")).cast("long")).otherwise(F.col(_FLAGS))
+    return _Probe(rows, counted.select(flags.alias(_FLAGS), *on[1:]), on)
+
+
+def upsert(target: DataFrame, delta: DataFrame, keys: str | list[str], null_safe: bool = False,
+           checked: bool = False, hot: Hot = Hot(), stored: bool = False) -> DataFrame:
     """Target rows replaced by the delta rows of equal key, plus the other delta rows.
 
     The result raises when it is run if two delta rows claim one target row (see
     ``ambiguous``); ``checked`` is for callers that have made sure of it. Nothing runs while
-    the plan is built, and the delta is computed once.
+    the plan is built, and the delta is computed once. A ``stored`` delta is read twice
+    instead, and its rows are not shuffled.
 
     ``=`` never matches a NULL, so rows with a NULL in their key pile up;
     ``null_safe`` treats NULL as a value. ``hot`` (see ``hot_composite``) names keys that very
     many target rows share; others are left to adaptive execution.
     """
     keys = _names(keys)
-    probe = _probe(delta, keys, null_safe, not checked)
+    probe = (_probe_stored if stored else _probe)(delta, keys, null_safe, not checked)
     kept = _meet(target, probe, keys, null_safe, "left_anti", hot)
     return kept.unionByName(probe.rows.select(target.columns))
 

@@ -342,7 +342,7 @@ def upsert_table(delta: DataFrame, table: str, keys: list[str], ts: str | None =
     target = spark.table(table)
     if ts is None:
         with ambiguous():
-            write_partitioned(upsert(target, delta.select(target.columns), keys, null_safe, checked), table, None)
+            write_partitioned(upsert(target, delta.select(target.columns), keys, null_safe, checked, stored=True), table, None)
         return set()
     delta = delta if ts == day else delta.withColumn(day, F.to_date(ts))
     delta = delta.select(target.columns)
@@ -358,7 +358,7 @@ def upsert_table(delta: DataFrame, table: str, keys: list[str], ts: str | None =
         return touched
     if before:
         before(touched)
-    content = upsert(target.where(on_days(day, touched)), delta, keys, null_safe, checked)
+    content = upsert(target.where(on_days(day, touched)), delta, keys, null_safe, checked, stored=True)
     with ambiguous():
         present = _overwrite_days(_by_day(content, day, day)[0], table, day)
     _drop_days(spark, table, day, touched - present)
