@@ -15,7 +15,7 @@ from ..operators.merge import rows_after
 from ..operators.metrics import metric_snapshot, with_cards
 from ..schemas import KEYS, LAYERS, METRIC_LABELS, TABLES, layer_name
 from ..sources.landing import (
-    append_metrics, append_new_rows, beside, drop_parts, ensure_layer, load_staging, on_days, put_parts,
+    append_metrics, append_new_rows, beside, drop_parts, drop_table, ensure_layer, load_staging, on_days, put_parts,
     replace_days, stored, stored_days, stored_watermark, table_exists, upsert_table, write_csv, write_partitioned,
 )
 from ..sources.readers import EmptySlice, daily_slice, normalize_ts
@@ -241,7 +241,8 @@ def backfill_fact(spark: SparkSession, layers: dict = LAYERS) -> set:
 
     The regular run never looks at a rental again, so this is a job of its own.
     Only rentals with a gap are joined anew, and only their days are read from
-    the preparation layer. Returns the days that changed; the marts owe them until
+    the preparation layer; they are stored with what the fact knows of them, so that later
+    steps need no join by rental. Returns the days that changed; the marts owe them until
     the next run.
     """
     prep, database = layer_name("preparation", layers), layer_name("dimfact", layers)
@@ -250,18 +251,21 @@ def backfill_fact(spark: SparkSession, layers: dict = LAYERS) -> set:
     gaps = spark.table(table).where(gap).select("rent_id", "user_id", "book_id", "created_date")
     days = {row[0] for row in gaps.select("created_date").distinct().collect()}
     rents = spark.table(f"{prep}.prep_rents").where(on_days("created_date", days))
-    rents = rents.join(gaps.select("rent_id"), "rent_id", "left_semi")
+    known = gaps.select("rent_id", F.col("user_id").alias("_known_user"), F.col("book_id").alias("_known_book"))
+    aside = beside(table, "gaps")
+    write_partitioned(rents.join(known, "rent_id").drop("created_date"), aside, None)
+    rents = spark.table(aside)
     dims = {name: stored(spark, f"{database}.{name}") for name in ("dim_users", "dim_books")}
-    again = dimfact.fact_rents({"prep_rents": rents, **dims}, hot_keys(rents, "user_id", "book_id"))
-    known = gaps.select(
-        "rent_id", F.col("user_id").alias("_user"), F.col("book_id").alias("_book")
-    )
-    filled = again.join(known, "rent_id").where(
-        ~F.col("user_id").eqNullSafe(F.col("_user")) | ~F.col("book_id").eqNullSafe(F.col("_book"))
+    again = dimfact.fact_rents(
+        {"prep_rents": rents, **dims}, hot_keys(rents, "user_id", "book_id"), ("_known_user", "_known_book"))
+    filled = again.where(
+        ~F.col("user_id").eqNullSafe(F.col("_known_user")) | ~F.col("book_id").eqNullSafe(F.col("_known_book"))
     )
     marts = ensure_layer(spark, layer_name("datamart", layers))
-    return _publish(filled.select(again.columns), table, ["rent_id"], "created_at", False,
-                    before=lambda days: note_days(spark, marts, days))
+    changed = _publish(filled.select(*dimfact.FACT_COLUMNS), table, ["rent_id"], "created_at", False,
+                       before=lambda days: note_days(spark, marts, days))
+    drop_table(spark, aside)
+    return changed
 
 
 def _newer(spark: SparkSession, source: DataFrame, table: str, rebuild: bool,
