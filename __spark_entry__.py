@@ -522,13 +522,13 @@ def q_split_read(spark, sf_dir):
 
 
 def _deliveries(spark, sf_dir, *parts):
-    """A folder that takes events in parts, and the stream of its files, one a micro-batch."""
+    """A folder that takes events in parts, and the stream of its files; run after each part,
+    it has the part's files in micro-batches of their own."""
     events = rental_views.table(spark, sf_dir, "events")
     folder = temporary_folder(spark, "deliveries")
     for part in parts:
         rows = part(events)
-        yield rows.coalesce(1).write.mode("append").parquet(folder), jobs.stream_files(
-            spark, folder, events.schema, files=1)
+        yield rows.write.mode("append").parquet(folder), jobs.stream_files(spark, folder, events.schema)
 
 
 def q_stream_redelivered(spark, sf_dir):
@@ -538,9 +538,9 @@ def q_stream_redelivered(spark, sf_dir):
     again = lambda df, n: df.unionAll(df.where(F.col("event_id") % n == 0))
     early = F.col("ts") < F.to_timestamp_ntz(F.lit("2024-01-15 00:00:00"))
     parts = [lambda e: again(e.where(early), 10), lambda e: e.where(early), lambda e: again(e, 7)]
-    *_, (_, stream) = _deliveries(spark, sf_dir, *parts)
-    jobs.stream_insert_only(
-        stream, table, "event_id", temporary_folder(spark, "checkpoint"), ts="ts", within="1 hour").awaitTermination()
+    checkpoint = temporary_folder(spark, "checkpoint")
+    for _, stream in _deliveries(spark, sf_dir, *parts):
+        jobs.stream_insert_only(stream, table, "event_id", checkpoint, ts="ts", within="1 hour").awaitTermination()
     return landing.stored(spark, table)
 
 
