@@ -523,12 +523,13 @@ def q_split_read(spark, sf_dir):
 
 def _deliveries(spark, sf_dir, *parts):
     """A folder that takes events in parts, and the stream of its files; run after each part,
-    it has the part's files in micro-batches of their own."""
+    it has the part's files in a micro-batch of their own."""
     events = rental_views.table(spark, sf_dir, "events")
     folder = temporary_folder(spark, "deliveries")
     for part in parts:
         rows = part(events)
-        yield rows.write.mode("append").parquet(folder), jobs.stream_files(spark, folder, events.schema)
+        yield rows.write.mode("append").parquet(folder), jobs.stream_files(
+            spark, folder, events.schema, files=1 << 20)
 
 
 def q_stream_redelivered(spark, sf_dir):
