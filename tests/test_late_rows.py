@@ -208,3 +208,17 @@ def test_a_batch_that_failed_anywhere_counts_once(spark, database, monkeypatch,
         ("2025-01-01", "a"): 1, ("2025-01-01", "b"): 1, ("2025-01-02", "a"): 1, ("2025-01-02", None): 1,
         ("2025-01-03", "b"): 1, ("2025-01-04", "a"): 1}
     assert spark.table(f"{database}.c__late").count() == 3
+
+
+def test_deliveries_are_written_by_all_tasks(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    spark.range(100, numPartitions=4).selectExpr("id AS event_id").write.parquet(str(tmp_path / "events.parquet"))
+    (_, stream), = entry._deliveries(spark, str(tmp_path), lambda e: e.repartition(4))
+    batches = []
+    named = stream.selectExpr("event_id", "input_file_name() AS file")
+    named.writeStream.foreachBatch(
+        lambda rows, _: batches.append((rows.count(), rows.select("file").distinct().count()))
+    ).option(
+        "checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    assert sum(n for n, _ in batches) == 100 and len(batches) == 1 and batches[0][1] > 1

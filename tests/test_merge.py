@@ -276,3 +276,15 @@ def test_null_safe_upsert_spreads_null_keys(spark):
     plain = merge.upsert(target, delta, "k", null_safe=True)
     assert sorted(r.v for r in plain.collect()) == [-2, -1]
     assert "pmod" in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_upsert_shuffles_keys_only(spark):
+    """Of a stored delta only the keys are dealt out; a key claimed twice still ends the run."""
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k long, wide string")
+    delta = spark.createDataFrame([(2, "c"), (3, "d")], "k long, wide string")
+    merged = merge.upsert(target, delta, ["k"], stored=True)
+    assert {tuple(r) for r in merged.collect()} == {(1, "a"), (2, "c"), (3, "d")}
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" not in plan
+    with pytest.raises(merge.AmbiguousMerge), merge.ambiguous():
+        merge.upsert(target, delta.unionAll(delta), ["k"], stored=True).collect()

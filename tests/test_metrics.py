@@ -165,3 +165,14 @@ def test_feed(spark, database):
 @pytest.mark.parametrize("bad", ["<![x", "<!", "<div <p>", "<p/", "&#xZZ;", "<a href='"])
 def test_broken_markup_is_no_error(bad):
     assert cards(card("A", "1") + bad) in ([("A", "1")], [])
+
+
+def test_pages_are_read_in_slices():
+    import pyarrow as pa
+
+    from lendmart.functions import html_cards
+
+    for n in (0, 1, html_cards.SLICE_PAGES, 3 * html_cards.SLICE_PAGES + 1):
+        parts = list(html_cards._slices(pa.array(map(str, range(n)), pa.string())))
+        assert parts and max(map(len, parts)) <= html_cards.SLICE_PAGES
+        assert [x for part in parts for x in part.to_pylist()] == [str(k) for k in range(n)]
