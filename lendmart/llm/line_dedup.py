@@ -53,11 +53,16 @@ LANE = 0x0303030303030303
 TABLES = tuple((i, j) for i in range(BLOCKS) for j in range(i + 1, BLOCKS))
 
 
+def _normal(text: str) -> Column:
+    """A text whose lines are normalised but for blanks at their ends."""
+    return F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\n]+", " ")
+
+
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc, row, line, norm): all lines, normalised; ``row`` is a hash of the whole text,
     which tells rows of one id apart. A text is normalised once, as a whole; the
     generator's output is then a plain column that no later step computes again."""
-    whole = F.regexp_replace(F.lower(text_col), r"[^\p{L}\p{N}\n]+", " ")
+    whole = _normal(text_col)
     return docs.select(
         F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("row"),
         F.posexplode(F.split(whole, "\n")).alias("line", "raw"),
@@ -232,18 +237,35 @@ def _similar_lines(pairs: DataFrame) -> DataFrame:
     return left.where(F.col("enough") | any_of([*within, F.expr("levenshtein(rest.a, rest.b, most) >= 0")]))
 
 
+def _place() -> Column:
+    return F.xxhash64("doc", "row", "line")
+
+
+def _let_through(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of (place, ...) whose place is wanted (place), and few others: a broadcast bit
+    map of ``FILTER_SIZE`` longs at most, whatever the data, so the others stay out of shuffles
+    as long as the wanted are fewer than its bits."""
+    slot = F.pmod(F.shiftrightunsigned("place", 6), F.lit(FILTER_SIZE)).alias("slot")
+    bit = F.col("place").bitwiseAND(F.lit(63)).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    bits = wanted.select(slot, one.alias("bit")).groupBy("slot").agg(F.bit_or("bit").alias("bits"))
+    return rows.withColumn("slot", slot).join(F.broadcast(bits), "slot").where(
+        F.col("bits").bitwiseAND(one) != 0).drop("slot", "bits")
+
+
 def _texts(wanted: DataFrame, prints: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(h, norm) of the wanted lines (h). Only documents that hold a line's first occurrence
-    are normalised again: a broadcast set of remainders, ``FILTER_SIZE`` numbers at most
-    whatever the data, lets them and few others through."""
-    part = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_SIZE))
-    holders = prints.join(wanted, "h", "left_semi").groupBy("h").agg(F.min("doc").alias("doc"))
-    few = holders.select(part("doc").alias("part")).distinct()
-    own = docs.select(F.col(id_col).alias("doc_"), F.col(text_col).alias("text_"), part(id_col).alias("part"))
-    said = _lines(own.join(F.broadcast(few), "part", "left_semi"), "doc_", "text_").select(
-        F.xxhash64("norm").alias("h"), "norm"
-    )
-    return said.join(wanted, "h", "left_semi").dropDuplicates(["h"]).select("h", "norm")
+    """(h, norm) of the wanted lines (h). Only their first occurrences are normalised again and
+    dealt out, not the other lines of their documents."""
+    holders = prints.join(wanted, "h", "left_semi").groupBy("h").agg(
+        F.min(F.struct("doc", "row", "line")).alias("first")
+    ).select("first.*").select(_place().alias("place"))
+    said = docs.select(
+        F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("row"),
+        F.posexplode(F.split(text_col, "\n")).alias("line", "raw"),
+    ).select(_place().alias("place"), "raw")
+    # A generator's output is a plain column that no later step computes again.
+    own = _let_through(said, holders).select(F.explode(F.array(F.trim(_normal("raw")))).alias("norm"))
+    return own.select(F.xxhash64("norm").alias("h"), "norm").join(wanted, "h", "left_semi").dropDuplicates(["h"])
 
 
 def _verified(pairs: DataFrame, prints: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -277,16 +299,14 @@ def _across(grouped: DataFrame) -> DataFrame:
 
 def line_groups(docs: DataFrame, prints: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(h, root) of the lines that are linked to a different line."""
-    by_key = Window.partitionBy("key").orderBy("size", "h")
-    prior, after = F.lag("h").over(by_key), F.lead("h").over(by_key)
-    tabled = _keyed(prints).select(
-        "key", "h", "size", prior.alias("before"), F.lag("size").over(by_key).alias("size_before"),
-        after.alias("after"),
-        (F.lag("h", 2).over(by_key).isNotNull() | F.lead("h", 2).over(by_key).isNotNull()
-         | (prior.isNotNull() & after.isNotNull())).alias("many"),
-    )
-    shared = stored(
-        tabled.where(F.col("before").isNotNull() | F.col("after").isNotNull()).drop("after"), "lines")
+    # Most keys have one line: they go before lines are sorted by size.
+    by_key = Window.partitionBy("key")
+    held = _keyed(prints).withColumn("n", F.count("*").over(by_key)).where("n > 1")
+    by_size = by_key.orderBy("size", "h")
+    shared = stored(held.select(
+        "key", "h", "size", F.lag("h").over(by_size).alias("before"), F.lag("size").over(by_size).alias("size_before"),
+        (F.col("n") > 2).alias("many"),
+    ), "lines")
     chained = shared.where(F.col("before").isNotNull() & _like_sizes("size", "size_before")).select(
         F.least("h", "before").alias("a"), F.greatest("h", "before").alias("b")
     ).distinct()

@@ -470,6 +470,31 @@ def test_pairs_across_groups_are_whole(spark, monkeypatch):
     assert len(got) == len(set(got)) and set(map(tuple, got)) == want
 
 
+def test_texts_leave_other_lines_out(spark, monkeypatch):
+    """Texts for the comparison: one row a wanted line, though every document holds one, and next
+    to none of the other lines pass the bit map ahead of the shuffle; odd line ends and ids too."""
+    rng = random.Random(12)
+    docs, wanted = [], set()
+    for i in range(300):
+        lines = [f"line {rng.random()} of {i} --- ΟΔΟΣ\u2028İ!" for _ in range(40)]
+        docs.append((None if i % 50 == 0 else i % 200, "\n".join(lines) + "\n\r\n"))
+        wanted.add(plain_norm(lines[i % 40]))
+    frame = spark.createDataFrame([*docs, docs[3], (7, None)], "doc_id long, text string")
+    prints = common.stored(line_dedup.line_prints(frame), "lines")
+    asked = spark.createDataFrame([(line,) for line in wanted], "norm string").select(F.xxhash64("norm").alias("h"))
+    passed = []
+    let_through = line_dedup._let_through
+    monkeypatch.setattr(line_dedup, "_let_through", lambda *a: passed.append(let_through(*a)) or passed[0])
+    got = line_dedup._texts(asked, prints, frame, "doc_id", "text").collect()
+    assert Counter(r["norm"] for r in got) == Counter(wanted)
+    # 300 wanted and the repeated row's one, of 12,640 lines and more.
+    assert 300 <= passed[0].count() <= 320
+    # A map that is too small lets more through and loses none.
+    monkeypatch.setattr(line_dedup, "FILTER_SIZE", 2)
+    again = line_dedup._texts(asked, prints, frame, "doc_id", "text").collect()
+    assert Counter(r["norm"] for r in again) == Counter(wanted)
+
+
 def test_line_dedup_of_long_blocks(spark):
     """Blocks of over 63 words are counted bit by bit: a line with words put in by turns
     is found, and its SimHash equals the plain one."""
