@@ -31,7 +31,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lendmart.llm.common import any_of, components, new_column, quoted, stored
+from lendmart.llm.common import components, new_column, quoted, stored
 from lendmart.operators.joins import hot_keys, spread_join
 
 MIN_WORDS = 5
@@ -42,6 +42,12 @@ SHORT = 32
 GRAM = 2
 MIN_SIMILARITY = 0.8
 FILTER_SIZE = 1 << 20
+#: Edits that are tried first, and the number that counts from which lines are long.
+FEW_EDITS = 6
+LONG_EDITS = 32
+#: Characters of a piece of a long line, and the different pieces that characters can stand for.
+PIECE = 4
+PIECES = 1 << 20
 #: Lines of one key that are compared in one piece.
 TILE = 256
 #: Words that are counted in eight 8-bit counts a long, with room for the test of the majority.
@@ -55,7 +61,8 @@ TABLES = tuple((i, j) for i in range(BLOCKS) for j in range(i + 1, BLOCKS))
 
 def _normal(text: str) -> Column:
     """A text whose lines are normalised but for blanks at their ends."""
-    return F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\n]+", " ")
+    # Single blanks stay as they are, which saves most of the replacing.
+    return F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\n ][^\p{L}\p{N}\n]*| [^\p{L}\p{N}\n]+", " ")
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -69,15 +76,16 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     ).select("doc", "row", "line", F.trim("raw").alias("norm"))
 
 
-def _count_up(hashes: Column, shift: int, mask: Column) -> Column:
-    """Sum of the masked bits of all hashes, shifted right first."""
-    return F.aggregate(
-        hashes, F.lit(0).cast("long"), lambda have, w: have + F.shiftrightunsigned(w, shift).bitwiseAND(mask))
+def _dealt(hash_: Column) -> Column:
+    """A hash with the number of its block, by bits that the SimHash does not use, ahead of those
+    that it does."""
+    block = F.shiftrightunsigned(hash_, 2).bitwiseAND(F.lit(63)) % F.lit(BLOCKS)
+    return F.shiftleft(block, 60).bitwiseOR(hash_.bitwiseAND(F.lit(LANE)))
 
 
-def _dealt(hashes: str, block: int) -> Column:
-    """The hashes of one block, by bits that the SimHash does not use."""
-    return F.filter(hashes, lambda w: F.shiftrightunsigned(w, 2).bitwiseAND(F.lit(63)) % F.lit(BLOCKS) == block)
+def _count_up(block: Column, mask: int) -> Column:
+    """Sum of the masked bits of a block's hashes."""
+    return F.aggregate(block, F.lit(0).cast("long"), lambda have, w: have + w.bitwiseAND(F.lit(mask)))
 
 
 def _block_bits(block: Column) -> Column:
@@ -85,7 +93,7 @@ def _block_bits(block: Column) -> Column:
     long."""
     ones, half = F.lit(0x0101010101010101), F.floor(F.size(block) / 2)
     # A count and what its majority lacks to 64 add up to 64 or more, in all eight at once.
-    sums = [_count_up(block, t, ones) + (CHUNK - half) * ones for t in range(2)]
+    sums = [F.shiftrightunsigned(_count_up(block, 0x0101010101010101 << t), t) + (CHUNK - half) * ones for t in range(2)]
     fast = F.lit(0).cast("long")
     for t, eight in enumerate(sums):
         fast = fast.bitwiseOR(F.shiftrightunsigned(eight.bitwiseAND(F.lit(0x4040404040404040)), 6 - t))
@@ -100,29 +108,26 @@ def _block_bits(block: Column) -> Column:
 
 def _left_out_keys(lines: DataFrame) -> DataFrame:
     """(h, size, key) of lines (h, size, small) without one or two of their words, or without
-    one of their characters."""
-    # A generator's output is a plain column that no later step computes again.
+    one of their characters. A key may come twice for one line."""
     nothing = F.lit(0).cast("long")
-    split = lines.select("h", "size", "small", F.explode(F.array(F.split("small", " "))).alias("words"))
-    hashed = split.select("h", "size", "small", F.size("words").alias("n"), F.explode(F.array(
-        F.transform(F.array_distinct("words"), lambda w: F.xxhash64(w)))).alias("hashes"))
-    summed = hashed.select("h", "size", "small", "n", "hashes", F.explode(F.array(
-        F.aggregate("hashes", nothing, lambda have, w: have.bitwiseXOR(w)))).alias("whole"))
-    n, size = F.size("hashes"), F.length("small")
-    no_keys = F.array().cast("array<bigint>")
-    key = lambda left: F.xxhash64(F.lit(1), left)
-    by_word = F.when((n >= 3) & (n <= SMALL), F.concat(
-        F.array(key(F.col("whole"))), F.transform("hashes", lambda w: key(F.col("whole").bitwiseXOR(w))),
-    )).otherwise(no_keys)
-    by_two = F.when(n.between(TWO_OUT, SMALL), F.flatten(F.transform("hashes", lambda w, i: F.transform(
-        F.slice("hashes", i + 2, n), lambda v: key(F.col("whole").bitwiseXOR(w).bitwiseXOR(v))
-    )))).otherwise(no_keys)
-    by_char = F.when((F.col("n") < MIN_WORDS) & size.between(5, SHORT), F.concat(
-        F.array(F.xxhash64(F.lit(2), "small")),
-        F.transform(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: F.xxhash64(
-            F.lit(2), F.concat(F.left("small", i - 1), F.substring("small", i + 1, size)))),
-    )).otherwise(no_keys)
-    return summed.select("h", "size", F.explode(F.array_distinct(F.concat(by_word, by_two, by_char))).alias("key"))
+    split = lines.withColumn("words", F.split("small", " "))
+    hashed = split.select("h", "size", "small", F.size("words").alias("n"), F.array_distinct(
+        F.transform("words", lambda w: F.xxhash64(w))).alias("hashes"))
+    words = hashed.withColumn("whole", F.aggregate("hashes", nothing, lambda have, w: have.bitwiseXOR(w))).where(
+        F.size("hashes").between(3, SMALL))
+    # One generator's output: the whole is computed once a line, not once a word.
+    words = words.select("h", "size", "hashes", F.explode(F.array("whole")).alias("whole"))
+    words = words.withColumn("less", F.transform("hashes", lambda w: w.bitwiseXOR(F.col("whole"))))
+    two = F.when(F.size("hashes") >= TWO_OUT, F.flatten(F.transform("less", lambda rest, i: F.transform(
+        F.slice("hashes", i + 2, SMALL), lambda v: rest.bitwiseXOR(v)
+    )))).otherwise(F.array().cast("array<bigint>"))
+    left = words.select("h", "size", F.explode(F.concat(F.array("whole"), "less", two)).alias("left"))
+    size = F.length("small")
+    chars = hashed.where((F.col("n") < MIN_WORDS) & size.between(5, SHORT)).select("h", "size", F.explode(F.array_distinct(F.concat(
+        F.array("small"), F.transform(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: F.concat(
+            F.left("small", i - 1), F.substring("small", i + 1, size)))))).alias("left"))
+    return left.select("h", "size", F.xxhash64(F.lit(1), "left").alias("key")).unionByName(
+        chars.select("h", "size", F.xxhash64(F.lit(2), "left").alias("key")))
 
 
 def line_prints(
@@ -137,8 +142,8 @@ def line_prints(
     stay within the row, so no word is shuffled; they are exact up to 2^31 - 1 words a line.
     """
     lines = _lines(docs, id_col, text_col).where(F.length("norm") > 0)
-    # A generator's output is a plain column that no later step computes again.
-    split = lines.select("doc", "row", "line", "norm", F.explode(F.array(F.split("norm", " "))).alias("words"))
+    # Columns that a later step uses more than once are computed once, by compiled code.
+    split = lines.withColumn("words", F.split("norm", " "))
     size, few = F.length("norm"), F.size("words") < MIN_WORDS
     if not short_lines:
         split = split.where(~few)
@@ -147,24 +152,28 @@ def line_prints(
     features = F.when(few & (size > SHORT), runs).otherwise(F.col("words"))
     hashed = split.select(
         "doc", "row", "line", "norm", few.alias("few"), size.alias("size"),
-        F.explode(F.array(F.array_distinct(F.transform(features, lambda w: F.xxhash64(w))))).alias("hashes"),
+        F.array_distinct(F.transform(features, lambda w: F.xxhash64(w))).alias("hashes"),
     )
     n = F.size("hashes")
+    # Sorted, a block's hashes lie between the bare numbers of this block and the next.
+    numbers = F.array(*[F.lit(b << 60) for b in range(BLOCKS)])
     dealt = hashed.select(
         "doc", "row", "line", "norm", "size", (F.col("few") | (n <= SMALL)).alias("is_small"),
-        F.explode(F.array(F.when(F.when(F.col("few"), F.col("size") > SHORT).otherwise(n >= DEALT), F.struct(*[
-            _dealt("hashes", b).alias(f"b{b}") for b in range(BLOCKS)
-        ])))).alias("blocks"),
-    )
-    summed = dealt.select(
-        "doc", "row", "line", "norm", "size", "is_small",
-        F.explode(F.array(F.when(F.col("blocks").isNotNull(), F.struct(*[
-            _block_bits(F.col("blocks")[f"b{b}"]).alias(f"s{b}") for b in range(BLOCKS)
-        ])))).alias("bits"),
+        F.when(
+            F.when(F.col("few"), F.col("size") > SHORT).otherwise(n >= DEALT),
+            F.sort_array(F.concat(numbers, F.transform("hashes", _dealt))),
+        ).alias("dealt"),
     )
+    start = [F.array_position("dealt", F.lit(b << 60)).cast("int") for b in range(BLOCKS)] + [F.size("dealt") + 1]
+    blocks = dealt.select("doc", "row", "line", "norm", "size", "is_small", *[
+        F.slice("dealt", start[b] + 1, start[b + 1] - start[b] - 1).alias(f"b{b}") for b in range(BLOCKS)
+    ])
+    summed = blocks.select("doc", "row", "line", "norm", "size", "is_small", *[
+        F.when(F.col(f"b{b}").isNotNull(), _block_bits(F.col(f"b{b}"))).alias(f"s{b}") for b in range(BLOCKS)
+    ])
     # Four blocks interlaced in a long, two in the next.
     joined = lambda first, last: reduce(lambda x, y: x.bitwiseOR(y), [
-        F.shiftleft(F.col("bits")[f"s{b}"], 2 * (b - first)) for b in range(first, last)
+        F.shiftleft(f"s{b}", 2 * (b - first)) for b in range(first, last)
     ])
     return summed.select(
         "doc", "row", "line", F.xxhash64("norm").alias("h"), F.xxhash64(F.lit(1), "norm").alias("check"), "size",
@@ -174,13 +183,13 @@ def line_prints(
 
 
 def _block_keys() -> Column:
-    """Keys of every two blocks that hold words."""
+    """Keys of every two blocks, null unless both hold words."""
     block = lambda b: F.shiftrightunsigned("low" if b < 4 else "high", 2 * (b % 4)).bitwiseAND(F.lit(LANE))
-    return F.filter(F.array(*[
+    return F.array(*[
         # Tables have keys of their own by the hash of their number.
         F.when((block(i) != 0) & (block(j) != 0), F.xxhash64(F.lit(t), F.shiftleft(block(i), 2).bitwiseOR(block(j))))
         for t, (i, j) in enumerate(TABLES)
-    ]), lambda k: k.isNotNull())
+    ])
 
 
 def _keyed(prints: DataFrame) -> DataFrame:
@@ -189,7 +198,9 @@ def _keyed(prints: DataFrame) -> DataFrame:
     dealt = prints.where("low is not null").groupBy("h").agg(
         F.min("low").alias("low"), F.min("high").alias("high"), F.min("size").alias("size"),
         F.min("check").alias("least"), F.max("check").alias("most"),
-    ).where("least = most").select("h", "size", F.explode(_block_keys()).alias("key"))
+    ).where("least = most").select("h", "size", _block_keys().alias("keys")).select(
+        # The outer form infers no filter that would compute the keys twice.
+        "h", "size", F.explode_outer("keys").alias("key")).where("key is not null")
     small = _left_out_keys(prints.where("small is not null").select("h", "size", "small").distinct())
     return dealt.unionByName(small).select("key", "h", "size")
 
@@ -209,8 +220,9 @@ def _similar_lines(pairs: DataFrame) -> DataFrame:
     The bounded distance costs its bound times the length and a walk of the length squared.
     So lines of as many words are compared word by word first: these edits suffice, though
     fewer may. The others lose the words that they begin and end with alike, which takes no
-    edit; a word beside the difference stays, for its blank counts. Then a few small bounds are tried
-    first; the last is the one that counts.
+    edit; a word beside the difference stays, for its blank counts. Then a small bound is tried
+    first. Long lines beyond it are compared in pieces of up to ``PIECE`` characters before the
+    bound that counts is tried on the characters: such edits suffice, too, at a tenth of the work.
     """
     pairs = pairs.select("a", "b", _most(F.length("text_a"), F.length("text_b")).alias("most"), F.explode(F.array(F.struct(
         F.split("text_a", " ").alias("a"), F.split("text_b", " ").alias("b"),
@@ -233,8 +245,31 @@ def _similar_lines(pairs: DataFrame) -> DataFrame:
     enough = F.coalesce(F.col("m.by_word") <= F.col("most"), F.lit(False))
     left = measured.select("a", "b", "most", enough.alias("enough"), F.explode(F.array(F.when(
         ~enough, F.struct(middle(one).alias("a"), middle(other).alias("b"))))).alias("rest"))
-    within = [(F.lit(n) < F.col("most")) & F.expr(f"levenshtein(rest.a, rest.b, {n}) >= 0") for n in (32, 512)]
-    return left.where(F.col("enough") | any_of([*within, F.expr("levenshtein(rest.a, rest.b, most) >= 0")]))
+    few = (F.lit(FEW_EDITS) < F.col("most")) & F.expr(f"levenshtein(rest.a, rest.b, {FEW_EDITS}) >= 0")
+    tried = left.select("a", "b", "most", "rest", F.explode(F.array(F.col("enough") | few)).alias("enough"))
+    pieces = lambda c: F.regexp_extract_all(f"rest.{c}", F.lit(f"[^ ]{{1,{PIECE - 1}}} ?| "), F.lit(0))
+    cut = tried.select("a", "b", "most", "rest", "enough", F.explode(F.array(F.when(
+        ~F.col("enough") & (F.col("most") > LONG_EDITS), F.struct(pieces("a").alias("a"), pieces("b").alias("b"))))).alias("cut"))
+    known = F.array_distinct(F.concat("cut.a", "cut.b"))
+    coded = cut.select("a", "b", "most", "rest", "enough", "cut", F.explode(F.array(known)).alias("known"))
+    apart = F.size(F.array_distinct(F.transform("known", _slot))) == F.size("known")
+    coded = coded.withColumn("apart", F.explode(F.array(apart)))
+    # Each edit of a piece stands for at most as many as it has characters.
+    by_piece = (F.size("known") < PIECES) & (F.call_function(
+        "levenshtein", _symbols("cut.a"), _symbols("cut.b"), F.floor(F.col("most") / PIECE).cast("int")) >= 0)
+    return coded.where(F.col("enough") | by_piece | F.expr("levenshtein(rest.a, rest.b, most) >= 0"))
+
+
+def _slot(piece: Column) -> Column:
+    return F.pmod(F.xxhash64(piece), F.lit(PIECES))
+
+
+def _symbols(pieces: str) -> Column:
+    """One character a piece: by its hash if the ``known`` have hashes ``apart``, else by its place among
+    them. Past the surrogates all numbers are characters."""
+    at = lambda w: F.when(F.col("apart"), _slot(w)).otherwise(F.array_position("known", w))
+    return F.decode(F.unhex(F.array_join(F.transform(
+        pieces, lambda w: F.lpad(F.hex(at(w) + F.lit(0xE000)), 8, "0")), "")), "UTF-32")
 
 
 def _place() -> Column:
@@ -307,7 +342,7 @@ def line_groups(docs: DataFrame, prints: DataFrame, id_col: str = "doc_id", text
         "key", "h", "size", F.lag("h").over(by_size).alias("before"), F.lag("size").over(by_size).alias("size_before"),
         (F.col("n") > 2).alias("many"),
     ), "lines")
-    chained = shared.where(F.col("before").isNotNull() & _like_sizes("size", "size_before")).select(
+    chained = shared.where((F.col("before") != F.col("h")) & _like_sizes("size", "size_before")).select(
         F.least("h", "before").alias("a"), F.greatest("h", "before").alias("b")
     ).distinct()
     links = stored(_verified(stored(chained, "lines"), prints, docs, id_col, text_col), "lines")

@@ -519,6 +519,37 @@ def test_line_dedup_of_long_blocks(spark):
     assert names[0] == names[1] != names[2]
 
 
+def test_long_lines_by_pieces(spark, monkeypatch):
+    """Lines with many small changes are compared in pieces; only pairs of edit similarity 0.8
+    pass, also if pieces share a hash or are too many to stand for."""
+    rng = random.Random(3)
+    draw = lambda: "".join(rng.choice("aböñ語") for _ in range(rng.randrange(1, 9)))
+    rows = []
+    for k in range(24):
+        base = [draw() for _ in range(90)]
+        own = list(base)
+        for _ in range(2 + 2 * k):
+            at = rng.randrange(len(own))
+            own[at:at + 1] = rng.choice(([draw()], [], [own[at], draw()]))
+        rows.append((2 * k, 2 * k + 1, " ".join(base), " ".join(own)))
+    pairs = spark.createDataFrame(rows, "a long, b long, text_a string, text_b string")
+    want = {(a, b) for a, b, x, y in rows if edits(x, y) <= int(0.2 * max(len(x), len(y)) + 1e-9)}
+    assert 5 <= len(want) <= 22
+    seen = []
+    for pieces in (line_dedup.PIECES, 400, 4):
+        monkeypatch.setattr(line_dedup, "PIECES", pieces)
+        got = line_dedup._similar_lines(pairs)
+        seen.append(got._jdf.queryExecution().toString())
+        assert {(r["a"], r["b"]) for r in got.collect()} == want
+    assert all("regexp_extract_all" in plan for plan in seen)
+
+
+def test_line_prints_are_compiled(spark, odd):
+    """Hashes and blocks of words are plain columns: but for the lines there is no generator, which
+    would compute them by interpreted code."""
+    assert line_dedup.line_prints(odd)._jdf.queryExecution().optimizedPlan().toString().count("Generate ") == 1
+
+
 def test_line_dedup_is_native(spark, odd):
     plan = line_dedup.without_repeats(odd)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
