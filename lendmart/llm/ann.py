@@ -8,8 +8,11 @@ search radius (virtual rehashing, nothing is hashed again). Rows that lie in at
 A block is done when its k-th best lies within the radius; beyond the largest distance that
 unit vectors can have, all rows count as found. Blocks' results meet in one top-k.
 
-Every row is indexed. Query rows travel to the blocks in groups, so neither side is
-broadcast and no task holds more than one block and one group.
+Every row is indexed. A block's index moves once, to a partition of its own, and single
+query rows travel there behind it, so nothing is joined, neither side is broadcast and no
+task holds more than one block and one Arrow batch of queries. While there are fewer
+blocks than the cores could take, a block goes to several partitions, each with a share of
+the queries.
 
 Defined results: null or zero vectors and those with null or non-finite components take no
 part, neither as queries nor as candidates. Of rows with the same id the least vector
@@ -18,8 +21,11 @@ counts. Vectors of different lengths are not compared. Ties go to the smaller id
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lendmart.llm.common import ship, stored
@@ -31,6 +37,9 @@ REACH = 1.1
 RADII = tuple(0.25 * 1.35**k for k in range(8))
 BLOCK_ROWS = 8192
 GROUP_QUERIES = 256
+#: Partitions at most: what the driver keeps of a shuffle must not follow the rows.
+MOST_PARTITIONS = 4096
+TASKS_A_CORE = 3
 SEED = 11
 
 
@@ -91,12 +100,12 @@ def build_index(rows: DataFrame, blocks: int) -> DataFrame:
         places = np.take_along_axis(projected, order, axis=1).astype(np.float32)
         return pd.DataFrame({
             "dim": [vectors.shape[1]], "block": [int(group["block"].iloc[0])], "ids": [ids.tobytes()],
-            "vectors": [vectors.tobytes()], "order": [order.tobytes()], "places": [places.tobytes()],
+            "vectors": [vectors.tobytes()], "order": [order.astype(np.int32).tobytes()], "places": [places.tobytes()],
         })
 
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     schema = "dim int, block int, ids binary, vectors binary, order binary, places binary"
-    return dealt.repartition(blocks, "dim", "block").groupBy("dim", "block").applyInPandas(index, schema)
+    return dealt.repartition(min(blocks, MOST_PARTITIONS), "dim", "block").groupBy("dim", "block").applyInPandas(index, schema)
 
 
 def search(ids, vectors, order, places, query_ids, queries, k: int) -> list[tuple[int, int, float]]:
@@ -152,48 +161,77 @@ def search(ids, vectors, order, places, query_ids, queries, k: int) -> list[tupl
     return out
 
 
+def _comparison(k: int, together: int):
+    """A step over partitions in which a block's index row stands before its query rows."""
+    kind = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, index = None, ()
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy() for c in ("share", "block", "dim")])
+            is_index = batch.column("query_id").is_null().to_numpy(zero_copy_only=False)
+            starts = np.ones(batch.num_rows, bool)
+            starts[1:] = is_index[1:] | is_index[:-1] | (keys[:, 1:] != keys[:, :-1]).any(axis=0)
+            at = np.flatnonzero(starts)
+            for start, end in zip(at, [*at[1:], batch.num_rows]):
+                if is_index[start]:
+                    held, index = tuple(keys[:, start]), _unpacked(batch, start)
+                    continue
+                if tuple(keys[:, start]) != held:  # no row of that length lies in the block
+                    continue
+                for first in range(start, end, together):
+                    some = batch.slice(first, min(together, end - first))
+                    queries = np.frombuffer(b"".join(some.column("query").to_pylist()), np.float64)
+                    query_ids = some.column("query_id").to_numpy()
+                    found = search(*index, query_ids, queries.reshape(len(query_ids), -1), k)
+                    if found:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(v, f.type) for v, f in zip(zip(*found), kind)], schema=kind
+                        )
+
+    return compare
+
+
+def _unpacked(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, vectors, order, places) of an index row, for ``search``."""
+    part = lambda name, kind: np.frombuffer(batch.column(name)[row].as_py(), kind)
+    ids = part("ids", np.int64)
+    n = len(ids)
+    order = part("order", np.int32).astype(np.int64).reshape(-1, n)
+    return ids, part("vectors", np.float64).reshape(n, -1), order, part("places", np.float32).reshape(-1, n)
+
+
 def nearest(
     vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
     """(query_id, rank, id, score): each query row's k nearest by cosine."""
-    ship(vectors.sparkSession)
+    spark = vectors.sparkSession
+    ship(spark)
     asked = vectors.where(is_query)
     rows, queries = usable(vectors, id_col, vector_col), usable(asked, id_col, vector_col)
     blocks = max(1, -(-rows.count() // BLOCK_ROWS))
     groups = max(1, -(-queries.count() // GROUP_QUERIES))
+    shares = min(groups, -(-TASKS_A_CORE * spark.sparkContext.defaultParallelism // blocks))
     index = stored(build_index(rows, blocks), "ann")
 
     def gather(group: pd.DataFrame) -> pd.DataFrame:
         ids, matrix = _pack(group)
-        return pd.DataFrame({
-            "dim": [matrix.shape[1]], "part": [int(group["part"].iloc[0])],
-            "query_ids": [ids.tobytes()], "queries": [matrix.tobytes()],
-        })
+        return pd.DataFrame({"dim": matrix.shape[1], "query_id": ids, "query": [v.tobytes() for v in matrix]})
 
-    parts = (
+    single = (
         queries.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int"))
-        .groupBy("dim", "part").applyInPandas(gather, "dim int, part int, query_ids binary, queries binary")
+        .groupBy("dim", "part").applyInPandas(gather, "dim int, query_id long, query binary")
+        .withColumn("share", F.pmod(F.xxhash64("query_id"), F.lit(shares)).cast("int"))
     )
-    sent = parts.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        r = group.iloc[0]
-        ids = np.frombuffer(r["ids"], np.int64)
-        matrix = np.frombuffer(r["vectors"], np.float64).reshape(len(ids), -1)
-        order = np.frombuffer(r["order"], np.int64).reshape(-1, len(ids))
-        places = np.frombuffer(r["places"], np.float32).reshape(-1, len(ids))
-        query_ids = np.frombuffer(r["query_ids"], np.int64)
-        asked = np.frombuffer(r["queries"], np.float64).reshape(len(query_ids), -1)
-        found = search(ids, matrix, order, places, query_ids, asked, k)
-        return pd.DataFrame(found, columns=["query_id", "id", "score"]).astype(
-            {"query_id": "int64", "id": "int64", "score": "float64"}
-        )
-
-    pairs = index.join(sent, ["dim", "block"])
-    width = max(1, min(blocks * groups, 4096))
-    best = pairs.repartition(width, "dim", "block", "part").groupBy("dim", "block", "part").applyInPandas(
-        compare, "query_id long, id long, score double"
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    both = index.withColumn("share", each(shares)).unionByName(
+        single.withColumn("block", each(blocks)), allowMissingColumns=True
     )
+    # Only an index row has no query_id, so it comes first of its block.
+    dealt = both.repartitionById(
+        min(blocks * shares, MOST_PARTITIONS), F.col("block") * shares + F.col("share")
+    ).sortWithinPartitions("share", "block", "dim", F.asc_nulls_first("query_id"))
+    best = dealt.mapInArrow(_comparison(k, GROUP_QUERIES), "query_id long, id long, score double")
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return (
         best.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)

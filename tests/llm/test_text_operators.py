@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import textwrap
@@ -727,6 +728,37 @@ def test_neighbour_odd_cases(spark):
     assert ann.nearest(frame.limit(0), F.col("vec_id") % 50 == 0).isEmpty()
 
 
+@pytest.mark.parametrize("block, group, partitions", [(4, 2, 4096), (16, 4, 4096), (4, 2, 3), (1000, 256, 4096)])
+def test_each_query_meets_each_block_once_without_a_broadcast(spark, monkeypatch, block, group, partitions):
+    """Blocks of fewer than k rows are found whole, so the result is that of all pairs. Some blocks
+    hold no vector of one of the lengths; ids repeat within a length and across them."""
+    monkeypatch.setattr(ann, "BLOCK_ROWS", block)
+    monkeypatch.setattr(ann, "GROUP_QUERIES", group)
+    monkeypatch.setattr(ann, "MOST_PARTITIONS", partitions, raising=False)
+    rng = np.random.default_rng(8)
+    rows = [(i % 90, rng.standard_normal(5 if i < 100 else 3).tolist()) for i in range(106)] + [(None, [1.0] * 5), (3, None)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = ann.nearest(frame, F.col("vec_id") % 6 == 0, 70 if block < 1000 else 200)
+    got = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    least, best = {}, {}
+    for i, v in rows:
+        if i is not None and v:
+            least[len(v), i] = min(v, least.get((len(v), i), [float("inf")]))
+    cosine = lambda a, b: math.sumprod(a, b) / math.sqrt(math.sumprod(a, a) * math.sumprod(b, b))
+    for (n, q), v in least.items():
+        if q % 6 == 0:
+            best.setdefault(q, []).extend((-cosine(v, w), i) for (m, i), w in least.items() if m == n and i != q)
+    assert got.keys() == best.keys()
+    for q, pairs in best.items():
+        pairs = sorted(pairs)[: 70 if block < 1000 else 200]
+        assert [(k, i) for k, i, _ in got[q]] == [(k, i) for k, (_, i) in enumerate(pairs, 1)]
+        assert [x for *_, x in got[q]] == pytest.approx([-x for x, _ in pairs], abs=1e-14)
+
+
 # --- 7 pseudonyms -----------------------------------------------------------------------------
 KEY = b"test"
 
